@@ -118,7 +118,7 @@ def tool_arguments(call: Column) -> Column:
 
 def looks_numeric(text: Column) -> Column:
     """Digits only, once dots and dashes are removed."""
-    return F.coalesce(F.translate(text, ".-", "").rlike(r"(?U)^\d+$"), F.lit(False))
+    return F.coalesce(F.translate(text, ".-", "").rlike(r"(?U)^\d+\z"), F.lit(False))
 
 
 # --- comparison with a truth -----------------------------------------------------------------------
