@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from candor.functions.text import blank_to_null, last_of, leading_object, strip
+from candor.functions.text import bind, first_match, last_of, leading_object, strip
 
 MAP = "map<string,variant>"
 ITEMS = "array<variant>"
@@ -19,7 +19,7 @@ def parse(text: Column) -> Column:
     `try_parse_json` ignores what follows the first value; inside brackets it cannot.
     """
     items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast(ITEMS)
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+    return bind(items, lambda i: F.when(F.size(i) == 1, F.get(i, F.lit(0))))
 
 
 def as_object(value: Column) -> Column:
@@ -38,17 +38,21 @@ def field(obj: Column, name: str) -> Column:
 
 def kind(value: Column) -> Column:
     """JSON type name of a VARIANT: object, array, string, boolean, null, integer or number."""
-    text = F.schema_of_variant(value)
-    return (
-        F.when(F.startswith(text, F.lit("OBJECT")), F.lit("object"))
-        .when(F.startswith(text, F.lit("ARRAY")), F.lit("array"))
-        .when(text == "STRING", F.lit("string"))
-        .when(text == "BOOLEAN", F.lit("boolean"))
-        .when(text == "VOID", F.lit("null"))
-        .when(text == "BIGINT", F.lit("integer"))
-        .when(value.try_cast("double").isNotNull() & (value.try_cast("double") % 1 == 0), F.lit("integer"))
-        .when(value.isNotNull(), F.lit("number"))
-    )
+
+
+    def name(text: Column) -> Column:
+        return (
+            F.when(F.startswith(text, F.lit("OBJECT")), F.lit("object"))
+            .when(F.startswith(text, F.lit("ARRAY")), F.lit("array"))
+            .when(text == "STRING", F.lit("string"))
+            .when(text == "BOOLEAN", F.lit("boolean"))
+            .when(text == "VOID", F.lit("null"))
+            .when(text == "BIGINT", F.lit("integer"))
+            .when(F.coalesce(value.try_cast("double") % 1 == 0, F.lit(False)), F.lit("integer"))
+            .when(text.isNotNull(), F.lit("number"))
+        )
+
+    return bind(F.schema_of_variant(value), name)
 
 
 def canonical(value: Column) -> Column:
@@ -68,29 +72,35 @@ def header_call(text: Column) -> Column:
 
     Unreadable parameters count as an empty object.
     """
-    recipient = blank_to_null(F.regexp_extract(text, r"(?U)to=([\w.]+)", 1))
-    arguments = parse(blank_to_null(F.regexp_extract(text, r"(?s)\{.*\}", 0)))
-    return F.when(
-        recipient.isNotNull(),
-        F.struct(
-            F.substring_index(recipient, ".", -1).alias("tool"),
-            recipient.alias("recipient"),
-            F.when(F.contains(recipient, F.lit(".")), F.regexp_extract(recipient, r"^(.*)\.[^.]*$", 1))
-            .otherwise(F.lit(""))
-            .alias("namespace"),
-            F.coalesce(arguments, F.parse_json(F.lit("{}"))).alias("parameters"),
-        ),
-    )
+    arguments = parse(first_match(text, r"(?s)\{.*\}", 0))
+
+    def call(recipient: Column) -> Column:
+        return F.when(
+            recipient != "",
+            F.struct(
+                F.substring_index(recipient, ".", -1).alias("tool"),
+                recipient.alias("recipient"),
+                F.when(F.contains(recipient, F.lit(".")), F.regexp_extract(recipient, r"^(.*)\.[^.]*$", 1))
+                .otherwise(F.lit(""))
+                .alias("namespace"),
+                F.coalesce(arguments, F.parse_json(F.lit("{}"))).alias("parameters"),
+            ),
+        )
+
+    return bind(F.regexp_extract(text, r"(?U)to=([\w.]+)", 1), call)
 
 
 def json_in(text: Column) -> Column:
     """VARIANT found in an answer: commentary body, then json fence, then widest braces, then the whole text."""
-    commentary = F.regexp_extract(text, r"(?ius)<COMMENTARY>(.*?)</COMMENTARY>", 0)
-    body = F.when(commentary != "", strip(F.regexp_extract(text, r"(?ius)<COMMENTARY>(.*?)</COMMENTARY>", 1))).otherwise(text)
-    fence = F.regexp_extract(body, r"(?iusU)```json\s*\n(.*?)```", 0)
-    inner = strip(F.regexp_extract(body, r"(?iusU)```json\s*\n(.*?)```", 1))
-    braces = blank_to_null(F.regexp_extract(body, r"(?s)(\{.*\}|\[.*\])", 1))
-    return parse(F.when(fence != "", inner).otherwise(F.coalesce(braces, strip(body))))
+
+
+    def found(body: Column) -> Column:
+        fence = first_match(body, r"(?iusU)```json\s*\n(.*?)```")
+        braces = first_match(body, r"(?s)(\{.*\}|\[.*\])")
+        return parse(F.coalesce(strip(fence), braces, strip(body)))
+
+    commentary = first_match(text, r"(?ius)<COMMENTARY>(.*?)</COMMENTARY>")
+    return bind(F.coalesce(strip(commentary), text), found)
 
 
 # Keys that may name the tool, and keys that may hold its arguments, in order.
@@ -133,23 +143,39 @@ def plain_key(key: Column) -> Column:
     return F.translate(F.lower(key), "_-", "")
 
 
-def _number(value: Column) -> Column:
-    return F.when(kind(value).isin("integer", "number"), value.try_cast("double")).otherwise(
-        text_of(value).try_cast("double")
-    )
+def _leaf(value: Column) -> Column:
+    """What loose comparison needs of a VARIANT: canonical text, its word if it is one, its number if it is one."""
+
+    def read(type_name: Column) -> Column:
+        plain = value.try_cast("string")
+        return F.struct(
+            canonical(value).alias("whole"),
+            F.lower(F.when(type_name.isin("string", "boolean"), plain)).alias("word"),
+            (type_name == "string").alias("is_text"),
+            F.when(type_name.isin("integer", "number", "string"), plain.try_cast("double")).alias("number"),
+        )
+
+    return bind(kind(value), read)
 
 
 def same_value(a: Column, b: Column) -> Column:
     """Loose equality of two VARIANT leaves: canonical text, case, numbers, truth words."""
-    words = [F.lower(F.when(kind(v).isin("string", "boolean"), v.try_cast("string"))) for v in (a, b)]
-    both_true = words[0].isin(*TRUE_WORDS) & words[1].isin(*TRUE_WORDS)
-    both_false = words[0].isin(*FALSE_WORDS) & words[1].isin(*FALSE_WORDS)
-    same_text = F.lower(text_of(a)) == F.lower(text_of(b))
-    parts = [canonical(a) == canonical(b), same_text, _number(a) == _number(b), both_true, both_false]
-    result = F.lit(False)
-    for part in parts:
-        result = result | F.coalesce(part, F.lit(False))
-    return result
+
+    def same(both: Column) -> Column:
+        x, y = both["x"], both["y"]
+        parts = [
+            x["whole"] == y["whole"],
+            x["is_text"] & y["is_text"] & (x["word"] == y["word"]),
+            x["number"] == y["number"],
+            x["word"].isin(*TRUE_WORDS) & y["word"].isin(*TRUE_WORDS),
+            x["word"].isin(*FALSE_WORDS) & y["word"].isin(*FALSE_WORDS),
+        ]
+        result = F.lit(False)
+        for part in parts:
+            result = result | F.coalesce(part, F.lit(False))
+        return result
+
+    return bind(F.struct(_leaf(a).alias("x"), _leaf(b).alias("y")), same)
 
 
 def covers_fuzzily(data: Column, truth: Column, depth: int = DEPTH) -> Column:
@@ -157,12 +183,17 @@ def covers_fuzzily(data: Column, truth: Column, depth: int = DEPTH) -> Column:
 
     def holds(entry: Column) -> Column:
         found = last_of(F.filter(F.map_entries(data), lambda d: plain_key(d["key"]) == plain_key(entry["key"])))
-        leaf = same_value(found["value"], entry["value"])
-        if depth > 1:
-            inner_data, inner_truth = as_object(found["value"]), as_object(entry["value"])
-            both = inner_data.isNotNull() & inner_truth.isNotNull()
-            leaf = F.when(both, covers_fuzzily(inner_data, inner_truth, depth - 1)).otherwise(leaf)
-        return F.coalesce(found.isNotNull() & leaf, F.lit(False))
+        return F.coalesce(bind(found, lambda f: F.when(f.isNotNull(), matches(f["value"], entry["value"]))), F.lit(False))
+
+    def matches(value: Column, wanted: Column) -> Column:
+        if depth <= 1:
+            return same_value(value, wanted)
+        return bind(
+            F.struct(as_object(value).alias("data"), as_object(wanted).alias("truth")),
+            lambda o: F.when(
+                o["data"].isNotNull() & o["truth"].isNotNull(), covers_fuzzily(o["data"], o["truth"], depth - 1)
+            ).otherwise(same_value(value, wanted)),
+        )
 
     return F.forall(F.map_entries(truth), holds)
 
@@ -177,23 +208,30 @@ def covers_exactly(data: Column, truth: Column) -> Column:
 
 def same_result(actual: Column, expected: Column, depth: int = DEPTH) -> Column:
     """Result comparison: equal, or all expected keys present (values only matter when objects), or numbers within 1 %."""
-    a, b = as_object(actual), as_object(expected)
 
-    def holds(entry: Column) -> Column:
-        present = F.map_contains_key(a, entry["key"])
-        if depth <= 1:
-            return present
-        inner = as_object(entry["value"])
-        nested = same_result(F.try_element_at(a, entry["key"]), entry["value"], depth - 1)
-        return present & F.when(inner.isNotNull(), nested).otherwise(F.lit(True))
-
-    x = F.when(kind(actual).isin("integer", "number"), actual.try_cast("double"))
-    y = F.when(kind(expected).isin("integer", "number"), expected.try_cast("double"))
-    near = F.abs(x - y) < 0.01 * F.greatest(F.abs(x), F.abs(y), F.lit(1.0))
-    return (
-        F.when(canonical(actual) == canonical(expected), F.lit(True))
-        .when(a.isNotNull() & b.isNotNull(), F.forall(F.map_entries(b), holds))
-        .otherwise(F.coalesce(near, F.lit(False)))
+
+    def covered(maps: Column) -> Column:
+        a = maps["a"]
+
+        def holds(entry: Column) -> Column:
+            present = F.map_contains_key(a, entry["key"])
+            if depth <= 1:
+                return present
+            nested = bind(F.try_element_at(a, entry["key"]), lambda value: same_result(value, entry["value"], depth - 1))
+            return present & F.when(as_object(entry["value"]).isNotNull(), nested).otherwise(F.lit(True))
+
+        return F.when(a.isNotNull() & maps["b"].isNotNull(), F.forall(F.map_entries(maps["b"]), holds))
+
+    def near(numbers: Column) -> Column:
+        x, y = numbers["x"], numbers["y"]
+        return F.coalesce(F.abs(x - y) < 0.01 * F.greatest(F.abs(x), F.abs(y), F.lit(1.0)), F.lit(False))
+
+    numbers = [F.when(kind(v).isin("integer", "number"), v.try_cast("double")) for v in (actual, expected)]
+    return F.when(canonical(actual) == canonical(expected), F.lit(True)).otherwise(
+        F.coalesce(
+            bind(F.struct(as_object(actual).alias("a"), as_object(expected).alias("b")), covered),
+            bind(F.struct(numbers[0].alias("x"), numbers[1].alias("y")), near),
+        )
     )
 
 
@@ -206,6 +244,10 @@ def repair_json(text: Column) -> Column:
     already looks like an object with double quotes, quotes and True/False/None are rewritten."""
     # A backslash is kept when a JSON escape letter (or nothing) follows.
     escaped = F.regexp_replace(text, r'\\(?=[^"\\bfnrtu/])', r"\\\\")
+    return bind(escaped, _repair_quotes)
+
+
+def _repair_quotes(escaped: Column) -> Column:
     keys = F.regexp_replace(escaped, r"(?U)'(\w+)'(\s*:)", r'"$1"$2')
     values = F.regexp_replace(keys, r"(?U):\s*'([^']*)'", r': "$1"')
     words = values
@@ -217,8 +259,15 @@ def repair_json(text: Column) -> Column:
 
 def judge_json(response: Column) -> Column:
     """VARIANT of a judge response: whole text, fenced object, leading balanced object, then a repaired form."""
-    body = strip(response)
-    fenced = blank_to_null(F.regexp_extract(body, r"(?sU)```(?:json)?\s*(\{.*?\})\s*```", 1))
-    head = leading_object(body)
-    best = F.coalesce(head, fenced, body)
-    return F.coalesce(parse(body), parse(fenced), parse(head), parse(repair_json(best)))
+
+
+    def repaired(parts: Column) -> Column:
+        best = F.coalesce(parts["head"], parts["fenced"], parts["body"])
+        return F.coalesce(parse(parts["fenced"]), parse(parts["head"]), parse(bind(best, repair_json)))
+
+    def recovered(body: Column) -> Column:
+        fenced = first_match(body, r"(?sU)```(?:json)?\s*(\{.*?\})\s*```")
+        parts = F.struct(leading_object(body).alias("head"), fenced.alias("fenced"), body.alias("body"))
+        return F.coalesce(parse(body), bind(parts, repaired))
+
+    return bind(strip(response), recovered)

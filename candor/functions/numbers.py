@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from candor.functions.text import blank_to_null, boxed, boxed_flat, last_of, strip
+from candor.functions.text import bind, blank_to_null, boxed, boxed_flat, last_of, strip
 
 # Number shapes in order of preference.
 SCIENTIFIC = r"(-?\d+\.?\d*[eE][+-]?\d+)"
@@ -23,6 +23,10 @@ def _last(text: Column, pattern: str) -> Column:
     return last_of(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
 
 
+def _non_blank(text: Column) -> Column:
+    return bind(text, blank_to_null)
+
+
 def _double(text: Column) -> Column:
     return text.try_cast("double")
 
@@ -32,26 +36,34 @@ def number_in(text: Column) -> Column:
 
     The last match wins, except for fractions, where the first one does.
     """
-    body = F.coalesce(blank_to_null(boxed(text)), text)
-    numerator = _double(F.regexp_extract(body, FRACTION, 1))
-    denominator = _double(F.regexp_extract(body, FRACTION, 2))
-    return F.coalesce(
-        _double(_last(body, SCIENTIFIC)),
-        F.try_divide(numerator, denominator),
-        _double(_last(body, PERCENT)),
-        _double(F.replace(_last(body, MONEY), F.lit(","), F.lit(""))),
-    )
+
+
+    def read(body: Column) -> Column:
+        numerator = _double(F.regexp_extract(body, FRACTION, 1))
+        denominator = _double(F.regexp_extract(body, FRACTION, 2))
+        return F.coalesce(
+            _double(_last(body, SCIENTIFIC)),
+            F.try_divide(numerator, denominator),
+            _double(_last(body, PERCENT)),
+            _double(F.replace(_last(body, MONEY), F.lit(","), F.lit(""))),
+        )
+
+    return bind(F.coalesce(_non_blank(boxed(text)), text), read)
 
 
 def simple_number_in(text: Column) -> Column:
     """Simpler reader: drops `$ % ,` first and always takes the last match."""
-    body = F.translate(F.coalesce(boxed_flat(text), text), "$%,", "")
-    pair = F.split(_last(body, PLAIN_FRACTION), "/")
-    return F.coalesce(
-        _double(_last(body, SCIENTIFIC)),
-        F.try_divide(_double(F.get(pair, F.lit(0))), _double(F.get(pair, F.lit(1)))),
-        _double(_last(body, PLAIN_NUMBER)),
-    )
+
+
+    def read(body: Column) -> Column:
+        pair = F.split(_last(body, PLAIN_FRACTION), "/")
+        return F.coalesce(
+            _double(_last(body, SCIENTIFIC)),
+            bind(pair, lambda p: F.try_divide(_double(F.get(p, F.lit(0))), _double(F.get(p, F.lit(1))))),
+            _double(_last(body, PLAIN_NUMBER)),
+        )
+
+    return bind(F.translate(F.coalesce(boxed_flat(text), text), "$%,", ""), read)
 
 
 def is_close(a: Column, b: Column, rel: float, abs_: float) -> Column:
@@ -69,8 +81,8 @@ def is_close(a: Column, b: Column, rel: float, abs_: float) -> Column:
 def expression_in(text: Column) -> Column:
     """Boxed part, else the value after '=', else the last arithmetic token, else the whole text."""
     return F.coalesce(
-        blank_to_null(boxed(text)),
-        blank_to_null(strip(F.regexp_extract(text, EQUATION, 1))),
+        _non_blank(boxed(text)),
+        _non_blank(strip(F.regexp_extract(text, EQUATION, 1))),
         strip(_last(text, ARITHMETIC)),
         strip(text),
     )
@@ -105,20 +117,30 @@ def quantity_in(text: Column) -> Column:
     The unit table is a constant of fixed size, so it is a map literal inside the expression:
     no join, no shuffle and nothing that grows with the data.
     """
-    body = strip(text)
-    unit = F.regexp_extract(body, QUANTITY, 2)
     dims = F.create_map(*[F.lit(x) for name, (dim, _) in UNITS.items() for x in (name, dim)])
     factors = F.create_map(*[F.lit(x) for name, (_, factor) in UNITS.items() for x in (name, factor)])
-    value = _double(F.regexp_extract(body, QUANTITY, 1))
-    return F.struct(
-        F.try_element_at(dims, unit).alias("dim"),
-        value.alias("value"),
-        F.try_element_at(factors, unit).alias("factor"),
-    )
+
+
+    def read(body: Column) -> Column:
+        return bind(
+            F.regexp_extract(body, QUANTITY, 2),
+            lambda unit: F.struct(
+                F.try_element_at(dims, unit).alias("dim"),
+                _double(F.regexp_extract(body, QUANTITY, 1)).alias("value"),
+                F.try_element_at(factors, unit).alias("factor"),
+            ),
+        )
+
+    return bind(strip(text), read)
 
 
 def same_quantity(answer: Column, truth: Column, tolerance: float) -> Column:
     """Both texts are quantities of one dimension and agree when expressed in the answer's unit."""
-    a, t = quantity_in(answer), quantity_in(truth)
-    converted = t["value"] * t["factor"] / a["factor"]
-    return F.coalesce((a["dim"] == t["dim"]) & is_close(a["value"], converted, tolerance, tolerance), F.lit(False))
+
+
+    def same(both: Column) -> Column:
+        a, t = both["a"], both["t"]
+        converted = t["value"] * t["factor"] / a["factor"]
+        return F.coalesce((a["dim"] == t["dim"]) & is_close(a["value"], converted, tolerance, tolerance), F.lit(False))
+
+    return bind(F.struct(quantity_in(answer).alias("a"), quantity_in(truth).alias("t")), same)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -19,6 +20,19 @@ LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C\x1D\x1E\x85\u2028\u2029]"
 TRUNCATION_MARKER = "\n[TRUNCATED]"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` computed once per row, however often `use` mentions it.
+
+    Without it every mention repeats the whole expression, which multiplies both work and generated code.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def first_match(text: Column, pattern: str, group: int = 1) -> Column:
+    """Group of the first match: NULL without a match, '' for an empty group. One regex pass."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Unicode-aware strip; `btrim` with a character set needs no regex."""
     return F.btrim(text, F.lit(SPACES))
@@ -60,11 +74,18 @@ def _closing_segment(opens: Column, open_before: int) -> Column:
 
 def _balanced_head(tail: Column, open_before: int) -> Column:
     """Text up to (excluding) the '}' that closes `open_before` already opened braces."""
-    segments = F.split(tail, r"\}", -1)
-    closed = F.slice(segments, F.lit(1), F.size(segments) - 1)
-    opens = F.transform(closed, lambda s: F.length(s) - F.length(F.replace(s, F.lit("{"), F.lit(""))))
-    hit = _closing_segment(opens, open_before)
-    return F.when(hit >= 0, F.array_join(F.slice(closed, F.lit(1), hit + 1), "}"))
+
+
+    def head(segments: Column) -> Column:
+        # What follows the last '}' is not closed.
+        closed = F.slice(segments, F.lit(1), F.size(segments) - 1)
+        opens = F.transform(closed, lambda s: F.length(s) - F.length(F.replace(s, F.lit("{"), F.lit(""))))
+        return bind(
+            _closing_segment(opens, open_before),
+            lambda hit: F.when(hit >= 0, F.array_join(F.slice(segments, F.lit(1), hit + 1), "}")),
+        )
+
+    return bind(F.split(tail, r"\}", -1), head)
 
 
 def boxed(text: Column) -> Column:
@@ -86,20 +107,23 @@ def leading_object(text: Column) -> Column:
 
 def tag_body(text: Column, tag: str) -> Column:
     """Body of `<tag>`: up to its end tag, else to the end of the text unless another tag follows; '' if none."""
+
+
+    def body(parts: Column) -> Column:
+        """`parts` is what follows the opening tag, cut at the end tag if there is one."""
+        return bind(
+            strip(F.get(parts, F.lit(0))),
+            lambda b: F.when(F.size(parts) == 2, b).when(non_empty(b) & ~b.rlike(r"(?U)^<\w+>"), b).otherwise(F.lit("")),
+        )
+
     rest = F.get(F.split(text, f"(?iu)<{tag}>", 2), F.lit(1))
-    parts = F.split(rest, f"(?iu)</{tag}>", 2)
-    unclosed = strip(rest)
-    return (
-        F.when(F.size(parts) == 2, strip(F.get(parts, F.lit(0))))
-        .when(non_empty(unclosed) & ~unclosed.rlike(r"(?U)^<\w+>"), unclosed)
-        .otherwise(F.lit(""))
-    )
+    return F.coalesce(bind(F.split(rest, f"(?iu)</{tag}>", 2), body), F.lit(""))
 
 
 def score_tag(text: Column) -> Column:
     """First number of the text clamped to [0, 5]; NULL if there is none."""
     value = F.regexp_extract(text, r"[-+]?\d*\.?\d+", 0).try_cast("double")
-    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(5.0), value)))
+    return bind(value, lambda v: F.when(v.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(5.0), v))))
 
 
 def _plain_lines(text: Column) -> Column:
@@ -111,27 +135,25 @@ def _no_strings() -> Column:
     return F.array().cast("array<string>")
 
 
+def _items_or_lines(text: Column, pattern: str) -> Column:
+    """Stripped matches of the pattern if there is any, else the plain lines."""
+
+    def steps(items: Column) -> Column:
+        kept = F.filter(F.transform(items, strip), lambda s: s != "")
+        return F.when(F.size(items) > 0, kept).otherwise(_plain_lines(text))
+
+    found = bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), steps)
+    return F.when(~non_empty(text), _no_strings()).otherwise(found)
+
+
 def plan_steps(text: Column) -> Column:
     """`<step>` bodies if any, else the non-empty lines without list dashes."""
-    tagged = F.regexp_extract_all(text, F.lit(r"(?ius)<step>(.*?)</step>"), F.lit(1))
-    steps = F.filter(F.transform(tagged, strip), lambda s: s != "")
-    return (
-        F.when(~non_empty(text), _no_strings())
-        .when(F.size(tagged) > 0, steps)
-        .otherwise(_plain_lines(text))
-    )
+    return _items_or_lines(text, r"(?ius)<step>(.*?)</step>")
 
 
 def listed_steps(text: Column) -> Column:
     """Numbered or bulleted items if any, else the non-empty lines."""
-    pattern = r"(?mdU)(?:^|\n)\s*(?:\d+[\.)]\s*|[-•*]\s*)(.+)"
-    items = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    steps = F.filter(F.transform(items, strip), lambda s: s != "")
-    return (
-        F.when(~non_empty(text), _no_strings())
-        .when(F.size(items) > 0, steps)
-        .otherwise(_plain_lines(text))
-    )
+    return _items_or_lines(text, r"(?mdU)(?:^|\n)\s*(?:\d+[\.)]\s*|[-•*]\s*)(.+)")
 
 
 def self_score(evaluation: Column) -> Column:

@@ -15,7 +15,7 @@ from candor.config import DEFAULTS, Thresholds
 from candor.functions import jsontext as J
 from candor.functions.code import code_in, code_or_text, javascript_syntax, language_of, python_syntax_of
 from candor.functions.numbers import is_close, normalized_expression, number_in, same_quantity
-from candor.functions.text import non_empty, strip
+from candor.functions.text import bind, non_empty, strip
 from candor.operators.selection import scorer_for
 
 SCORE = "struct<is_correct:boolean,confidence:double,explanation:string,method:string,verifier_name:string>"
@@ -39,20 +39,25 @@ def math_score(answer: Column, truth: Column, limits: Thresholds = DEFAULTS) ->
     """Equal expressions 1.0, equal quantities with units 1.0, equal numbers 0.9, else 0."""
     name = "math"
     short = [F.when(F.length(t) <= limits.max_expression_size, t) for t in (answer, truth)]
-    left, right = number_in(short[0]), number_in(short[1])
-    infinite = F.lit(float("inf"))
     tolerance = limits.numeric_tolerance
-    same_number = is_close(left, right, tolerance, tolerance)
+
+    def numeric(numbers: Column) -> Column:
+        left, right = numbers["left"], numbers["right"]
+        same = is_close(left, right, tolerance, tolerance)
+        return (
+            F.when(left.isNull() | right.isNull(), failure(name, "No numeric value", "no_number"))
+            .when(same & (F.abs(left) == float("inf")), score(name, True, 1.0, "Same infinite value", "numeric"))
+            .when(same, score(name, True, 0.9, "Same number", "numeric"))
+            .otherwise(failure(name, "Different numbers", "numeric"))
+        )
+
     return (
         F.when(truth.isNull(), failure(name, "No ground truth", "missing_truth"))
         .when(~non_empty(answer), failure(name, "No answer text", "missing_answer"))
         .when(short[0].isNull() | short[1].isNull(), failure(name, "Expression too large", "too_large"))
         .when(normalized_expression(short[0]) == normalized_expression(short[1]), score(name, True, 1.0, "Same expression", "expression"))
         .when(same_quantity(short[0], short[1], limits.unit_tolerance), score(name, True, 1.0, "Same quantity", "units"))
-        .when(left.isNull() | right.isNull(), failure(name, "No numeric value", "no_number"))
-        .when(same_number & (F.abs(left) == infinite), score(name, True, 1.0, "Same infinite value", "numeric"))
-        .when(same_number, score(name, True, 0.9, "Same number", "numeric"))
-        .otherwise(failure(name, "Different numbers", "numeric"))
+        .otherwise(bind(F.struct(number_in(short[0]).alias("left"), number_in(short[1]).alias("right")), numeric))
     )
 
 
@@ -69,15 +74,23 @@ def succeeded(exit_code: Column, timed_out: Column, error: Column) -> Column:
 def output_score(ran: Column, stdout: Column, truth: Column) -> Column:
     """Output equal 1.0, containing the truth 0.85, numerically equal 0.95; without a truth, having run counts 0.5."""
     name = "code"
-    actual, expected = strip(F.coalesce(stdout, F.lit(""))), strip(truth)
-    close = F.abs(expected.try_cast("double") - actual.try_cast("double")) < 1e-6
+
+
+    def compared(texts: Column) -> Column:
+        actual, expected = texts["actual"], texts["expected"]
+        close = F.abs(expected.try_cast("double") - actual.try_cast("double")) < 1e-6
+        return (
+            F.when(actual == expected, score(name, True, 1.0, "Output matches", "output_exact"))
+            .when(F.contains(actual, expected), score(name, True, 0.85, "Output contains the truth", "output_substring"))
+            .when(close, score(name, True, 0.95, "Output is numerically equal", "output_numeric"))
+            .otherwise(failure(name, "Output differs", "output"))
+        )
+
+    texts = F.struct(strip(F.coalesce(stdout, F.lit(""))).alias("actual"), strip(truth).alias("expected"))
     return (
         F.when(~ran, failure(name, "Execution failed", "execution"))
         .when(truth.isNull(), score(name, True, 0.5, "Code ran", "execution_only"))
-        .when(actual == expected, score(name, True, 1.0, "Output matches", "output_exact"))
-        .when(F.contains(actual, expected), score(name, True, 0.85, "Output contains the truth", "output_substring"))
-        .when(close, score(name, True, 0.95, "Output is numerically equal", "output_numeric"))
-        .otherwise(failure(name, "Output differs", "output"))
+        .otherwise(bind(texts, compared))
     )
 
 
@@ -85,10 +98,11 @@ def code_score(answer: Column, truth: Column, ran: Column, stdout: Column, langu
     """Output score of answers that hold code at all."""
     name = "code"
     spoken = language_of(answer)["language"]
-    code = code_in(answer, F.coalesce(language, spoken) if language is not None else spoken)
+    spoken = F.coalesce(language, spoken) if language is not None else spoken
+    found = bind(spoken, lambda used: bind(code_in(answer, used), non_empty))
     return (
         F.when(~non_empty(answer), failure(name, "No answer text", "missing_answer"))
-        .when(~non_empty(code), failure(name, "No code in the answer", "no_code"))
+        .when(~found, failure(name, "No code in the answer", "no_code"))
         .otherwise(output_score(ran, stdout, truth))
     )
 
@@ -107,77 +121,98 @@ def required_fields_missing(call: Column, required: Column) -> Column:
 
 def parameter_types(call: Column) -> Column:
     """struct(ok, confidence): parameters must be an object; number-looking strings only lower the confidence."""
-    arguments = J.tool_arguments(call)
-    fields = J.as_object(arguments)
-    suspicious = F.exists(F.map_values(fields), lambda v: J.looks_numeric(J.text_of(v)))
-    return F.struct(
-        (call.isNull() | arguments.isNull() | fields.isNotNull()).alias("ok"),
-        F.when(call.isNull() | arguments.isNull(), 0.8).when(fields.isNull(), 0.0).when(suspicious, 0.7).otherwise(0.9).alias("confidence"),
-    )
 
 
-def _type_matches(value: Column, wanted: Column) -> Column:
-    actual = J.kind(value)
+    def judged(parts: Column) -> Column:
+        nothing, fields = parts["nothing"], parts["fields"]
+        suspicious = F.exists(F.map_values(fields), lambda v: J.looks_numeric(J.text_of(v)))
+        return F.struct(
+            (nothing | fields.isNotNull()).alias("ok"),
+            F.when(nothing, 0.8).when(fields.isNull(), 0.0).when(suspicious, 0.7).otherwise(0.9).alias("confidence"),
+        )
+
+    def parts(arguments: Column) -> Column:
+        return F.struct((call.isNull() | arguments.isNull()).alias("nothing"), J.as_object(arguments).alias("fields"))
+
+    return bind(bind(J.tool_arguments(call), parts), judged)
+
+
+def _type_matches(actual: Column, wanted: Column) -> Column:
     return (actual == wanted) | ((wanted == "number") & (actual == "integer"))
 
 
 def conforms(value: Column, schema: Column, depth: int = 3) -> Column:
     """The set-checkable part of a JSON Schema: type, enum, required, properties, additionalProperties."""
-    rules, fields = J.as_object(schema), J.as_object(value)
-    wanted, choices = J.field(rules, "type"), J.as_items(J.field(rules, "enum"))
-    type_ok = F.coalesce(
-        _type_matches(value, J.text_of(wanted)),
-        F.exists(J.as_items(wanted), lambda w: _type_matches(value, J.text_of(w))),
-        F.lit(True),
+
+    def checked(parts: Column) -> Column:
+        rules, fields, actual, whole = parts["rules"], parts["fields"], parts["actual"], parts["whole"]
+        properties = J.as_object(J.field(rules, "properties"))
+        one_type = bind(J.text_of(J.field(rules, "type")), lambda t: _type_matches(actual, t))
+        any_type = F.exists(J.as_items(J.field(rules, "type")), lambda w: bind(J.text_of(w), lambda t: _type_matches(actual, t)))
+        choices = F.exists(J.as_items(J.field(rules, "enum")), lambda c: J.canonical(c) == whole)
+        required = F.transform(J.as_items(J.field(rules, "required")), J.text_of)
+        missing = F.size(F.array_except(required, F.map_keys(fields)))
+        open_ended = F.coalesce(J.canonical(J.field(rules, "additionalProperties")) != "false", F.lit(True))
+        known = F.coalesce(F.map_keys(properties), F.array().cast("array<string>"))
+        extras = F.size(F.array_except(F.map_keys(fields), known))
+        tests = [F.coalesce(one_type, any_type), choices, missing == 0, open_ended | F.coalesce(extras == 0, F.lit(True))]
+        if depth > 1:
+
+            def member_ok(member: Column) -> Column:
+                inner = bind(F.try_element_at(fields, member["key"]), lambda v: conforms(v, member["value"], depth - 1))
+                return F.when(F.map_contains_key(fields, member["key"]), inner).otherwise(F.lit(True))
+
+            tests.append(F.forall(F.map_entries(properties), member_ok))
+        result = F.lit(True)
+        for test in tests:
+            result = result & F.coalesce(test, F.lit(True))
+        return result
+
+    parts = F.struct(
+        J.as_object(schema).alias("rules"), J.as_object(value).alias("fields"), J.kind(value).alias("actual"), J.canonical(value).alias("whole")
     )
-    enum_ok = F.coalesce(F.exists(choices, lambda c: J.canonical(c) == J.canonical(value)), F.lit(True))
-    properties = J.as_object(J.field(rules, "properties"))
-    required = F.transform(J.as_items(J.field(rules, "required")), J.text_of)
-    no_extras = F.coalesce(J.canonical(J.field(rules, "additionalProperties")) == "false", F.lit(False))
-    known = F.coalesce(F.map_keys(properties), F.array().cast("array<string>"))
-    present = F.map_keys(fields)
-    complete = F.coalesce(F.size(F.array_except(required, present)) == 0, F.lit(True))
-    closed = ~no_extras | F.coalesce(F.size(F.array_except(present, known)) == 0, F.lit(True))
-    nested = F.lit(True)
-    if depth > 1:
-        nested = F.coalesce(
-            F.forall(
-                F.map_entries(properties),
-                lambda p: F.when(F.map_contains_key(fields, p["key"]), conforms(F.try_element_at(fields, p["key"]), p["value"], depth - 1))
-                .otherwise(F.lit(True)),
-            ),
-            F.lit(True),
-        )
-    return type_ok & enum_ok & complete & closed & nested
+    return bind(parts, checked)
 
 
 def truth_comparison(data: Column, truth: Column) -> Column:
     """VARIANT against a truth text: equal 1.0, truth contained 0.9, loosely contained 0.85, else 0."""
     name = "tool"
-    expected = J.parse(truth)
-    a, b = J.as_object(data), J.as_object(expected)
-    return (
-        F.when(expected.isNull(), failure(name, "Ground truth is not valid JSON", "bad_truth"))
-        .when(J.canonical(data) == J.canonical(expected), score(name, True, 1.0, "Equal to the truth", "ground_truth_exact"))
-        .when(a.isNull() | b.isNull(), failure(name, "Differs from the truth", "ground_truth"))
-        .when(J.covers_exactly(a, b), score(name, True, 0.9, "Contains the truth", "ground_truth_lenient"))
-        .when(
-            J.covers_fuzzily(a, b),
-            score(name, True, F.when(F.size(b) == 0, 1.0).otherwise(0.85), "Loosely contains the truth", "ground_truth_fuzzy"),
+
+    def compared(maps: Column) -> Column:
+        a, b = maps["a"], maps["b"]
+        return (
+            F.when(a.isNull() | b.isNull(), failure(name, "Differs from the truth", "ground_truth"))
+            .when(J.covers_exactly(a, b), score(name, True, 0.9, "Contains the truth", "ground_truth_lenient"))
+            .when(
+                J.covers_fuzzily(a, b),
+                score(name, True, F.when(F.size(b) == 0, 1.0).otherwise(0.85), "Loosely contains the truth", "ground_truth_fuzzy"),
+            )
+            .otherwise(failure(name, "Differs from the truth", "ground_truth"))
         )
-        .otherwise(failure(name, "Differs from the truth", "ground_truth"))
-    )
+
+    def against(expected: Column) -> Column:
+        return (
+            F.when(expected.isNull(), failure(name, "Ground truth is not valid JSON", "bad_truth"))
+            .when(J.canonical(data) == J.canonical(expected), score(name, True, 1.0, "Equal to the truth", "ground_truth_exact"))
+            .otherwise(bind(F.struct(J.as_object(data).alias("a"), J.as_object(expected).alias("b")), compared))
+        )
+
+    return bind(J.parse(truth), against)
 
 
 def call_in(answer: Column) -> Column:
     """VARIANT of the tool call in an answer: header form first, then JSON; NULL if unreadable."""
-    header = J.header_call(answer)
-    as_call = F.parse_json(F.to_json(F.struct(
-        header["tool"].alias("tool"), header["tool"].alias("function"), header["recipient"].alias("recipient"),
-        header["namespace"].alias("namespace"), header["parameters"].alias("parameters"),
-    )))
-    found = J.json_in(answer)
-    return F.when(header.isNotNull(), as_call).when(J.kind(found) != "null", found)
+
+
+    def as_call(header: Column) -> Column:
+        whole = F.struct(
+            header["tool"].alias("tool"), header["tool"].alias("function"), header["recipient"].alias("recipient"),
+            header["namespace"].alias("namespace"), header["parameters"].alias("parameters"),
+        )
+        return F.when(header.isNotNull(), F.parse_json(F.to_json(whole)))
+
+    found = bind(J.json_in(answer), lambda v: F.when(J.kind(v) != "null", v))
+    return F.coalesce(bind(J.header_call(answer), as_call), found)
 
 
 def tool_scores(
