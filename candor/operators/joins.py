@@ -104,7 +104,7 @@ def retry_pairs(df: DataFrame) -> DataFrame:
         "query_id", "candidate_idx", F.col("verification_is_verified").alias("original_verified"),
         F.col("verification_score").alias("original_score"), "refusal_type",
     )
-    return retries.join(originals, ["query_id", "candidate_idx"])
+    return retries.join(one_per_key(originals, ["query_id", "candidate_idx"]), ["query_id", "candidate_idx"])
 
 
 def match_tool_calls(candidate: Column, expected: Column, accept: float = 0.8) -> Column:

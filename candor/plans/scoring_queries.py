@@ -112,7 +112,7 @@ SCRIPT = case(
     text("'x => {'", NL, "'return x;'", NL, "'}'"),
 )
 SCRIPTS = {"query_id": CANDIDATES["query_id"], "arrival": CANDIDATES["arrival"], "code": SCRIPT}
-LITERAL = "regexp_replace(regexp_replace(code, '(?s)\\\\.', chr(92), 'g'), '\"[^\"]*(\"|$)|''[^'']*(''|$)|`[^`]*(`|$)', '', 'g')"
+LITERAL = "regexp_replace(regexp_replace(code, '(?s)\\\\.', '', 'g'), '\"[^\"]*(\"|$)|''[^'']*(''|$)|`[^`]*(`|$)', '', 'g')"
 
 
 def reduced(x: str, times: int = 6) -> str:
