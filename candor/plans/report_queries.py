@@ -26,17 +26,17 @@ def rate_sql(flag: str) -> str:
 
 @query("a01_record_count", W + "SELECT count(*) AS records FROM cand")
 def a01(spark: SparkSession, folder: str) -> DataFrame:
-    return R.record_count(candidates(spark, folder))
+    return R.record_count(candidates(spark, folder, spread=False))
 
 
 @query("a02_query_count", W + "SELECT count(DISTINCT query_id) AS queries FROM cand")
 def a02(spark: SparkSession, folder: str) -> DataFrame:
-    return R.query_count(candidates(spark, folder))
+    return R.query_count(candidates(spark, folder, spread=False))
 
 
 @query("a03_split_overview", W + f"SELECT string_agg(DISTINCT split, ',' ORDER BY split) AS splits, {rate_sql(V)} AS verified_rate FROM cand")
 def a03(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.split_overview(candidates(spark, folder)), "verified_rate")
+    return rounded(R.split_overview(candidates(spark, folder, spread=False)), "verified_rate")
 
 
 @query(
@@ -45,12 +45,12 @@ def a03(spark: SparkSession, folder: str) -> DataFrame:
     "FROM cand WHERE split IS NOT NULL GROUP BY split",
 )
 def a04(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.split_rates(candidates(spark, folder)), "verified_rate", "avg_score")
+    return rounded(R.split_rates(candidates(spark, folder, spread=False)), "verified_rate", "avg_score")
 
 
 @query("a05_candidate_rates", W + f'SELECT candidate_idx, count({V}) AS "count", {rate_sql(V)} AS verified_rate FROM cand GROUP BY candidate_idx')
 def a05(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.candidate_rates(candidates(spark, folder)), "verified_rate")
+    return rounded(R.candidate_rates(candidates(spark, folder, spread=False)), "verified_rate")
 
 
 @query(
@@ -59,7 +59,7 @@ def a05(spark: SparkSession, folder: str) -> DataFrame:
     f"FROM (SELECT query_id, bool_or({V}) AS any_v FROM cand GROUP BY query_id)",
 )
 def a06(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.first_versus_any(candidates(spark, folder)), "first_rate", "any_rate")
+    return rounded(R.first_versus_any(candidates(spark, folder, spread=False)), "first_rate", "any_rate")
 
 
 @query(
@@ -70,12 +70,12 @@ def a06(spark: SparkSession, folder: str) -> DataFrame:
       (SELECT split, query_id, bool_or({V}) AS any_v FROM cand GROUP BY split, query_id) GROUP BY split) USING (split) GROUP BY split""",
 )
 def a04_a06(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.split_report(candidates(spark, folder)), "verified_rate", "avg_score", "first_rate", "any_rate")
+    return rounded(R.split_report(candidates(spark, folder, spread=False)), "verified_rate", "avg_score", "first_rate", "any_rate")
 
 
 @query("a07_refusal_summary", W + f"SELECT {rate_sql('refusal_is_refusal')} AS refusal_rate, count(*) FILTER (WHERE refusal_is_refusal) AS refusals FROM cand")
 def a07(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.refusal_summary(candidates(spark, folder)), "refusal_rate")
+    return rounded(R.refusal_summary(candidates(spark, folder, spread=False)), "refusal_rate")
 
 
 REFUSAL_TYPES = (
@@ -86,7 +86,7 @@ REFUSAL_TYPES = (
 
 @query("a07_k03_w06_refusal_types", W + REFUSAL_TYPES)
 def a07_types(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.refusal_types(candidates(spark, folder)), "share")
+    return rounded(R.refusal_types(candidates(spark, folder, spread=False)), "share")
 
 
 @query(
@@ -95,7 +95,7 @@ def a07_types(spark: SparkSession, folder: str) -> DataFrame:
     "median(quality_reasoning_length) AS reasoning_median, round(avg(quality_reasoning_length), 6) AS reasoning_mean FROM cand",
 )
 def a08(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.length_summary(candidates(spark, folder)), "answer_mean", "reasoning_mean")
+    return rounded(R.length_summary(candidates(spark, folder, spread=False)), "answer_mean", "reasoning_mean")
 
 
 @query(
@@ -104,7 +104,7 @@ def a08(spark: SparkSession, folder: str) -> DataFrame:
     f"round(avg(quality_completeness_score), 6) AS completeness_mean, {rate_sql('harmony_channels_detected')} AS channel_rate FROM cand",
 )
 def a09(spark: SparkSession, folder: str) -> DataFrame:
-    report = R.quality_rates(candidates(spark, folder))
+    report = R.quality_rates(candidates(spark, folder, spread=False))
     return rounded(report, *report.columns)
 
 
@@ -114,7 +114,7 @@ def a09(spark: SparkSession, folder: str) -> DataFrame:
     "round(count(*) FILTER (WHERE quality_is_short_answer AND quality_reasoning_length > 100) * 1.0 / count(*), 6) AS share FROM cand",
 )
 def a10(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.terse_but_reasoned(candidates(spark, folder)), "share")
+    return rounded(R.terse_but_reasoned(candidates(spark, folder, spread=False)), "share")
 
 
 def runs(spark: SparkSession) -> DataFrame:
@@ -133,12 +133,12 @@ def runs(spark: SparkSession) -> DataFrame:
     CAST(4 + CAST(run_id AS INT) AS INT) AS num_candidates FROM cand GROUP BY run_id""",
 )
 def a11(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.compare_run_files(candidates(spark, folder), runs(spark)), "verified_rate", "first_rate")
+    return rounded(R.compare_run_files(candidates(spark, folder, spread=False), runs(spark)), "verified_rate", "first_rate")
 
 
 @query("a12_first_model", W + "SELECT model, temperature FROM cand ORDER BY query_id, arrival LIMIT 1")
 def a12(spark: SparkSession, folder: str) -> DataFrame:
-    return R.first_model(candidates(spark, folder), ["query_id", "arrival"])
+    return R.first_model(candidates(spark, folder, spread=False), ["query_id", "arrival"])
 
 
 CASES = """SELECT query_id, candidate_idx, split, quantity, exec_exit_code = 0 AND NOT exec_timed_out AND exec_error IS NULL
@@ -154,7 +154,7 @@ CASES = """SELECT query_id, candidate_idx, split, quantity, exec_exit_code = 0 A
 def a20(spark: SparkSession, folder: str) -> DataFrame:
     from candor.operators.scoring import case_passed, succeeded
 
-    rows = candidates(spark, folder).where((F.col("split") == "code") & F.col("ground_truth_answer").isNotNull())
+    rows = candidates(spark, folder, spread=False).where((F.col("split") == "code") & F.col("ground_truth_answer").isNotNull())
     ran = succeeded(F.col("exec_exit_code"), F.col("exec_timed_out"), F.col("exec_error"))
     cases = rows.withColumn("passed", case_passed(ran, F.col("exec_stdout"), F.col("ground_truth_answer")))
     return rounded(R.case_pass_rates(cases), "confidence")
@@ -166,7 +166,7 @@ def a20(spark: SparkSession, folder: str) -> DataFrame:
     f"{rate_sql('refusal_is_refusal')} AS avg_refusal_rate, round(avg(persona_score), 6) AS avg_persona_score FROM cand GROUP BY run_id",
 )
 def a22(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.run_statistics(candidates(spark, folder)), "avg_verification_rate", "avg_refusal_rate", "avg_persona_score")
+    return rounded(R.run_statistics(candidates(spark, folder, spread=False)), "avg_verification_rate", "avg_refusal_rate", "avg_persona_score")
 
 
 @query(
@@ -192,17 +192,17 @@ def describe_sql(name: str) -> str:
 
 @query("a24_describe", W + " UNION ALL ".join(describe_sql(n) for n in QUALITY_NUMBERS))
 def a24(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(R.numeric_describe(candidates(spark, folder), QUALITY_NUMBERS), "mean", "std", "p25", "p50", "p75")
+    return rounded(R.numeric_describe(candidates(spark, folder, spread=False), QUALITY_NUMBERS), "mean", "std", "p25", "p50", "p75")
 
 
 @query("k01_histogram", W + 'SELECT candidate_idx, count(*) AS "count" FROM cand GROUP BY candidate_idx ORDER BY candidate_idx')
 def k01(spark: SparkSession, folder: str) -> DataFrame:
-    return candidates(spark, folder).groupBy("candidate_idx").agg(F.count("*").alias("count")).orderBy("candidate_idx")
+    return candidates(spark, folder, spread=False).groupBy("candidate_idx").agg(F.count("*").alias("count")).orderBy("candidate_idx")
 
 
 @query("w05_first_candidate_flag", W + f"SELECT candidate_idx = 0 AS is_first, count(*) AS rows, {rate_sql(V)} AS verified_rate FROM cand GROUP BY 1")
 def w05(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = candidates(spark, folder).withColumn("is_first", F.col("candidate_idx") == 0)
+    flagged = candidates(spark, folder, spread=False).withColumn("is_first", F.col("candidate_idx") == 0)
     grouped = flagged.groupBy("is_first").agg(F.count("*").alias("rows"), R.rate(V).alias("verified_rate"))
     return rounded(grouped, "verified_rate")
 
@@ -227,7 +227,7 @@ RANKED = """SELECT query_id, candidate_idx, CAST(row_number() OVER (PARTITION BY
 
 @query("o01_ranked_candidates", W + f"SELECT query_id, candidate_idx, rank FROM ({RANKED})")
 def o01(spark: SparkSession, folder: str) -> DataFrame:
-    return R.rank_candidates(candidates(spark, folder)).select("query_id", "candidate_idx", "rank")
+    return R.rank_candidates(candidates(spark, folder, spread=False)).select("query_id", "candidate_idx", "rank")
 
 
 @query(
@@ -237,7 +237,7 @@ def o01(spark: SparkSession, folder: str) -> DataFrame:
     GROUP BY query_id HAVING bool_or({V}) AND bool_or(NOT {V})""",
 )
 def o02(spark: SparkSession, folder: str) -> DataFrame:
-    return R.contrast_examples(candidates(spark, folder))
+    return R.contrast_examples(candidates(spark, folder, spread=False))
 
 
 def share(cond: str, base: str) -> str:
@@ -251,6 +251,6 @@ CALIBRATION = f"""SELECT model, {share('r', 'm')} AS correct_refusal_rate, {shar
 
 @query("o04_calibration", W + CALIBRATION)
 def o04(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = candidates(spark, folder).withColumn("malformed", F.col("verification_score") < 0.5)
+    labelled = candidates(spark, folder, spread=False).withColumn("malformed", F.col("verification_score") < 0.5)
     report = R.calibration(labelled)
     return rounded(report, *[c for c in report.columns if c != "model"])

@@ -15,6 +15,7 @@ from candor.operators import scoring as S
 from candor.operators.joins import refusal_key, verdict_key
 from candor.plans.fixtures import CAND_CTE, CANDIDATES, DQ, NL, Q, SQ, candidates, case, select_sql, table, text
 from candor.plans.registry import query
+from candor.sources.candidates import spread_small
 from candor.plans.text_queries import CODE_IN, CODE_OR_TEXT, EXPRESSION, JSON_TEXT, KEY, LANGUAGE, NUMBER, boxed_sql, strip_sql
 
 W = f"WITH {CAND_CTE} "
@@ -245,7 +246,7 @@ def documents_with_sentence(spark: SparkSession, folder: str) -> DataFrame:
     sentence = F.lit(SENTENCES[-1])
     for i in range(len(SENTENCES) - 1):
         sentence = F.when(F.col("doc_id") % 9 == i, F.lit(SENTENCES[i])).otherwise(sentence)
-    return table(spark, folder, "documents").select("doc_id", "source", F.concat_ws("\n", "text", sentence).alias("response"))
+    return spread_small(table(spark, folder, "documents")).select("doc_id", "source", F.concat_ws("\n", "text", sentence).alias("response"))
 
 
 REPLIES = f"SELECT doc_id, source, text || chr(10) || {SENTENCE} AS response FROM documents"

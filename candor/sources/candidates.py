@@ -12,6 +12,16 @@ from candor.operators.selection import dataset_version, filter_quality
 from candor.schema import normalize_schema
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deals rows out to all cores when the scan itself has fewer partitions than the session has cores.
+
+    A small file is often one row group, which one task reads; per-row scoring would then use one core.
+    Inputs with enough partitions, and so all big ones, pass unchanged: no shuffle is added to them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_candidates(spark: SparkSession, *paths: str) -> DataFrame:
     """One or several candidate files or globs, with the file each row came from."""
     df = spark.read.option("mergeSchema", "true").parquet(*paths)
