@@ -181,9 +181,15 @@ def same_value(a: Column, b: Column) -> Column:
 def covers_fuzzily(data: Column, truth: Column, depth: int = DEPTH) -> Column:
     """Every key of the `truth` map has a loosely equal value in the `data` map (extra keys allowed)."""
 
-    def holds(entry: Column) -> Column:
-        found = last_of(F.filter(F.map_entries(data), lambda d: plain_key(d["key"]) == plain_key(entry["key"])))
-        return F.coalesce(bind(found, lambda f: F.when(f.isNotNull(), matches(f["value"], entry["value"]))), F.lit(False))
+    def keyed(entries: Column) -> Column:
+        return F.transform(F.map_entries(entries), lambda e: F.struct(plain_key(e["key"]).alias("key"), e["value"].alias("value")))
+
+    def covered(sides: Column) -> Column:
+        def holds(wanted: Column) -> Column:
+            found = last_of(F.filter(sides["data"], lambda d: d["key"] == wanted["key"]))
+            return F.coalesce(bind(found, lambda f: F.when(f.isNotNull(), matches(f["value"], wanted["value"]))), F.lit(False))
+
+        return F.forall(sides["truth"], holds)
 
     def matches(value: Column, wanted: Column) -> Column:
         if depth <= 1:
@@ -195,7 +201,7 @@ def covers_fuzzily(data: Column, truth: Column, depth: int = DEPTH) -> Column:
             ).otherwise(same_value(value, wanted)),
         )
 
-    return F.forall(F.map_entries(truth), holds)
+    return bind(F.struct(keyed(data).alias("data"), keyed(truth).alias("truth")), covered)
 
 
 def covers_exactly(data: Column, truth: Column) -> Column:

@@ -39,12 +39,13 @@ def number_in(text: Column) -> Column:
 
 
     def read(body: Column) -> Column:
+        # Shapes with a sign of their own are only tried on texts that hold the sign.
         numerator = _double(F.regexp_extract(body, FRACTION, 1))
         denominator = _double(F.regexp_extract(body, FRACTION, 2))
         return F.coalesce(
             _double(_last(body, SCIENTIFIC)),
-            F.try_divide(numerator, denominator),
-            _double(_last(body, PERCENT)),
+            F.when(F.contains(body, F.lit("/")), F.try_divide(numerator, denominator)),
+            F.when(F.contains(body, F.lit("%")), _double(_last(body, PERCENT))),
             _double(F.replace(_last(body, MONEY), F.lit(","), F.lit(""))),
         )
 
@@ -112,7 +113,7 @@ QUANTITY = r"^([+-]?\d+\.?\d*(?:[eE][+-]?\d+)?)\s*([A-Za-z]+)$"
 
 
 def quantity_in(text: Column) -> Column:
-    """`value unit` -> struct(dim, value, factor); NULL fields when the text is no known quantity.
+    """`value unit` -> struct(dim, value, factor); NULL, or NULL fields, when the text is no known quantity.
 
     The unit table is a constant of fixed size, so it is a map literal inside the expression:
     no join, no shuffle and nothing that grows with the data.
@@ -124,10 +125,13 @@ def quantity_in(text: Column) -> Column:
     def read(body: Column) -> Column:
         return bind(
             F.regexp_extract(body, QUANTITY, 2),
-            lambda unit: F.struct(
-                F.try_element_at(dims, unit).alias("dim"),
-                _double(F.regexp_extract(body, QUANTITY, 1)).alias("value"),
-                F.try_element_at(factors, unit).alias("factor"),
+            lambda unit: F.when(
+                unit != "",
+                F.struct(
+                    F.try_element_at(dims, unit).alias("dim"),
+                    _double(F.regexp_extract(body, QUANTITY, 1)).alias("value"),
+                    F.try_element_at(factors, unit).alias("factor"),
+                ),
             ),
         )
 
@@ -143,4 +147,7 @@ def same_quantity(answer: Column, truth: Column, tolerance: float) -> Column:
         converted = t["value"] * t["factor"] / a["factor"]
         return F.coalesce((a["dim"] == t["dim"]) & is_close(a["value"], converted, tolerance, tolerance), F.lit(False))
 
-    return bind(F.struct(quantity_in(answer).alias("a"), quantity_in(truth).alias("t")), same)
+    compared = bind(F.struct(quantity_in(answer).alias("a"), quantity_in(truth).alias("t")), same)
+    # A quantity ends in a letter.
+    possible = answer.rlike(r"[A-Za-z]\s*$") & truth.rlike(r"[A-Za-z]\s*$")
+    return F.when(F.coalesce(possible, F.lit(False)), compared).otherwise(F.lit(False))

@@ -1,8 +1,8 @@
 """Keyed joins between candidates and side tables.
 
-No join hints: side tables grow with the data, so Spark picks broadcast or shuffle by size, and
-adaptive execution splits hot keys. Right sides are reduced to one row per key first, so that a
-join never multiplies rows.
+No join hints: side tables grow with the data, so Spark picks broadcast or shuffle by size. Right
+sides are reduced to one row per key first, so that a join never multiplies rows, and they join on a
+fresh key column (see `fresh`), so that adaptive execution can split a hot key of the left side.
 """
 
 from __future__ import annotations
@@ -24,9 +24,20 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None)
     return df.groupBy(*keys).agg(picked.alias("_row")).select(*keys, "_row.*")
 
 
+def fresh(key: Column) -> Column:
+    """The same string as a new expression, for the reduced side of a join.
+
+    Spark splits a hot key only between two plain shuffles. A side that was just grouped by the key
+    would join in place, without a shuffle of its own, and one task would get all rows of the hot
+    key. The fresh expression costs one more shuffle of the small side and makes the split possible.
+    """
+    return F.concat(key, F.lit(""))
+
+
 def skip_completed(df: DataFrame, done: DataFrame, key: str = "query_id") -> DataFrame:
     """Rows whose key is not among the finished ones; rows without a key stay."""
-    return df.join(done.select(key).distinct(), key, "left_anti")
+    finished = done.select(key).distinct().select(fresh(F.col(key)).alias(key))
+    return df.join(finished, key, "left_anti")
 
 
 def compare_runs(base: DataFrame, other: DataFrame) -> DataFrame:
@@ -59,7 +70,7 @@ def compare_runs_summary(compared: DataFrame) -> DataFrame:
 
 def known_tools(calls: DataFrame, catalog: DataFrame, known: bool = True) -> DataFrame:
     """Calls whose tool is (or is not) in the catalog of their query."""
-    names = catalog.select("query_id", "tool_name").distinct()
+    names = catalog.select("query_id", "tool_name").distinct().withColumn("query_id", fresh(F.col("query_id")))
     return calls.join(names, ["query_id", "tool_name"], "left_semi" if known else "left_anti")
 
 
@@ -87,8 +98,8 @@ def attach_by_key(df: DataFrame, table: DataFrame, key: Column, wanted: Column,
     """
     own = F.concat(F.lit("-"), F.xxhash64(*spread).cast("string"))
     values = [c for c in table.columns if c != "key"]
-    side = one_per_key(table.where(F.col("key").isNotNull()), ["key"]).select(
-        F.col("key").alias("_key"), *[F.col(c).alias(f"{prefix}{c}") for c in values], F.lit(True).alias(f"{prefix}found")
+    side = one_per_key(table, ["key"]).select(
+        fresh(F.col("key")).alias("_key"), *[F.col(c).alias(f"{prefix}{c}") for c in values], F.lit(True).alias(f"{prefix}found")
     )
     joined = df.withColumn("_key", F.when(wanted, key).otherwise(own)).join(side, "_key", "left").drop("_key")
     return joined.withColumn(f"{prefix}found", F.coalesce(F.col(f"{prefix}found"), F.lit(False)))
@@ -104,7 +115,8 @@ def retry_pairs(df: DataFrame) -> DataFrame:
         "query_id", "candidate_idx", F.col("verification_is_verified").alias("original_verified"),
         F.col("verification_score").alias("original_score"), "refusal_type",
     )
-    return retries.join(one_per_key(originals, ["query_id", "candidate_idx"]), ["query_id", "candidate_idx"])
+    single = one_per_key(originals, ["query_id", "candidate_idx"]).withColumn("query_id", fresh(F.col("query_id")))
+    return retries.join(single, ["query_id", "candidate_idx"])
 
 
 def match_tool_calls(candidate: Column, expected: Column, accept: float = 0.8) -> Column:
@@ -131,7 +143,8 @@ def attach_execution(df: DataFrame, results: DataFrame, keys: list[str] | None =
     """Execution result of each candidate (and case) as exec_* columns."""
     keys = keys or ["query_id", "candidate_idx"]
     side = one_per_key(results.select(*keys, *EXEC_COLUMNS), keys)
-    renamed = side.select(*keys, *[F.col(c).alias(f"exec_{c}") for c in EXEC_COLUMNS])
+    first = fresh(F.col(keys[0]).cast("string")).alias(keys[0])
+    renamed = side.select(first, *keys[1:], *[F.col(c).alias(f"exec_{c}") for c in EXEC_COLUMNS])
     return df.join(renamed, keys, "left")
 
 

@@ -9,8 +9,9 @@ from candor.session import scratch_root
 
 # A window sorts one group in one task, so it is used up to this group size only.
 GROUP_LIMIT = 2_000_000
-# Largest rank for which Spark trims each partition before the shuffle of a ranking window.
-RANK_PUSHDOWN_LIMIT = 1_000
+# Largest rank taken by a ranking window. Spark trims each partition to that many rows per group before
+# the shuffle, so the one task of a hot group gets this many rows per partition at most.
+RANK_PUSHDOWN_LIMIT = 100
 
 _ROW_BITS = 33
 
@@ -55,10 +56,11 @@ def _number_spread(df: DataFrame, keys: list[str], order: list[str], name: str,
     located = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     located = located.withColumn("_pos", F.col("_offset") + F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1))
     firsts = located.groupBy(*keys).agg(F.min("_pos").alias("_first"))
-    firsts = firsts.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_first")
+    # Keys as text in new columns: a shuffle of its own for this side, so that a hot key can be split.
+    firsts = firsts.select(*[F.concat(F.col(k).cast("string"), F.lit("")).alias(f"_key_{k}") for k in keys], "_first")
     same = F.lit(True)
     for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+        same = same & F.col(key).cast("string").eqNullSafe(F.col(f"_key_{key}"))
     numbered = located.join(firsts, same).withColumn(name, (F.col("_pos") - F.col("_first") + start).cast("int"))
     return numbered.drop("_at", "_part", "_offset", "_pos", "_first", *[f"_key_{k}" for k in keys])
 

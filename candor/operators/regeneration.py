@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from candor.functions.messages import MESSAGES, message, to_json_text
 from candor.functions.quality import SHORT_ANSWER
 from candor.functions.text import blank_to_null, non_empty, strip
-from candor.operators.joins import one_per_key
+from candor.operators.joins import fresh, one_per_key
 from candor.operators.numbering import number_rows
 from candor.operators.selection import filter_rows
 from candor.schema import first_present, optional, stored_question
@@ -80,8 +80,8 @@ def merge_results(
     by_question = one_per_key(
         regenerated.where(~non_empty(F.col("query_id"))).select("question", *dict.fromkeys(["candidates", *order])), ["question"], order
     )
-    by_id = by_id.select(F.col("query_id").alias("_id"), F.col("candidates").alias("_by_id"))
-    by_question = by_question.select(F.col("question").alias("_text"), F.col("candidates").alias("_by_question"))
+    by_id = by_id.select(fresh(F.col("query_id")).alias("_id"), F.col("candidates").alias("_by_id"))
+    by_question = by_question.select(fresh(F.col("question")).alias("_text"), F.col("candidates").alias("_by_question"))
 
     in_scope = F.lit(True) if split is None else F.coalesce(F.col("split") == split, F.lit(False))
     rows = original.withColumn("_question", stored_question(original))
@@ -122,6 +122,7 @@ def build_retries(originals: DataFrame, retried: DataFrame) -> DataFrame:
     `retried` has query_id, retry_of_candidate_idx, answer, is_correct, confidence and verifier_name.
     """
     sizes = originals.groupBy("query_id").agg((F.max("candidate_idx") + 1).alias("_next"))
+    sizes = sizes.withColumn("query_id", fresh(F.col("query_id")))
     numbered = number_rows(
         retried.join(sizes, "query_id"), ["query_id"], ["retry_of_candidate_idx", "answer"], "candidate_idx", F.col("_next")
     )

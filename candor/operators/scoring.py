@@ -211,7 +211,7 @@ def call_in(answer: Column) -> Column:
         )
         return F.when(header.isNotNull(), F.parse_json(F.to_json(whole)))
 
-    found = bind(J.json_in(answer), lambda v: F.when(J.kind(v) != "null", v))
+    found = bind(J.json_in(answer), lambda v: F.when(~F.is_variant_null(v), v))
     return F.coalesce(bind(J.header_call(answer), as_call), found)
 
 
@@ -234,7 +234,7 @@ def tool_scores(
     verifier = "tool"
     text = F.col(answer) if only is None else F.when(only, F.col(answer))
     usable = F.when(F.length(text) <= limits.max_json_size, text)
-    parsed = df.withColumn("_call", call_in(usable)).withColumn("_fields", J.as_object(F.col("_call")))
+    parsed = df.withColumn("_call", F.when(usable.isNotNull(), call_in(usable))).withColumn("_fields", J.as_object(F.col("_call")))
     call, fields = F.col("_call"), F.col("_fields")
     result = (
         F.when(~non_empty(text), failure(verifier, "No answer text", "missing_answer"))
@@ -257,6 +257,7 @@ def tool_scores(
     if truth:
         result = result.when(non_empty(F.col(truth)), truth_comparison(call, F.col(truth)))
     result = result.otherwise(score(verifier, True, 0.95, "Valid tool call", "full_validation"))
+    result = result if only is None else F.when(only, result)
     return parsed.withColumn(name, result).drop("_call", "_fields")
 
 
@@ -289,6 +290,8 @@ def syntax_audit(df: DataFrame, answer: str = "answer") -> DataFrame:
 
 Scorer = Callable[[DataFrame], DataFrame]
 _SCORERS: dict[str, Scorer] = {}
+# Scorer name of each row, computed once for all scorers.
+ROUTE = "_route"
 
 
 def register(name: str, scorer: Scorer) -> None:
@@ -311,25 +314,29 @@ def scorers() -> list[str]:
 def score_by_split(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Runs the registered scorers in one pass and picks each row's result by the route of its split."""
     result = F.lit(None).cast(SCORE)
+    df = df.withColumn(ROUTE, scorer_for(F.col("split")))
     for name in names or ["math", "code", "tool"]:
         df = scorer(name)(df)
-        result = F.when(scorer_for(F.col("split")) == name, F.col(f"{name}_score")).otherwise(result)
-    return df.withColumn("local_score", result)
+        result = F.when(F.col(ROUTE) == name, F.col(f"{name}_score")).otherwise(result)
+    return df.withColumn("local_score", result).drop(ROUTE)
+
+
+def _routed_to(df: DataFrame, name: str) -> Column:
+    """Rows of a scorer: by the route column when the cascade has added it, else by the split."""
+    return (F.col(ROUTE) if ROUTE in df.columns else scorer_for(F.col("split"))) == name
 
 
 def _math_scorer(df: DataFrame) -> DataFrame:
-    routed = scorer_for(F.col("split")) == "math"
-    return df.withColumn("math_score", F.when(routed, math_score(F.col("answer"), F.col("ground_truth"))))
+    return df.withColumn("math_score", F.when(_routed_to(df, "math"), math_score(F.col("answer"), F.col("ground_truth"))))
 
 
 def _code_scorer(df: DataFrame) -> DataFrame:
-    routed = scorer_for(F.col("split")) == "code"
     ran = succeeded(F.col("exec_exit_code"), F.col("exec_timed_out"), F.col("exec_error"))
-    return df.withColumn("code_score", F.when(routed, code_score(F.col("answer"), F.col("ground_truth"), ran, F.col("exec_stdout"))))
+    return df.withColumn("code_score", F.when(_routed_to(df, "code"), code_score(F.col("answer"), F.col("ground_truth"), ran, F.col("exec_stdout"))))
 
 
 def _tool_scorer(df: DataFrame) -> DataFrame:
-    return tool_scores(df, only=scorer_for(F.col("split")) == "tool")
+    return tool_scores(df, only=_routed_to(df, "tool"))
 
 
 register("math", _math_scorer)

@@ -20,6 +20,8 @@ def local_session(cpus: int = 8, app: str = "candor") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CANDOR_DRIVER_MEMORY", "6g"))
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every expression costs seconds on plans this wide.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -356,3 +356,42 @@ def test_duplicates_on_a_stream_need_a_landing_time(spark):
     T.score_landed(T.without_duplicates(stream, landing_time="at"), lambda df: df, sink, progress).awaitTermination()
     assert spark.read.parquet(sink).count() == 2
     assert T.without_duplicates(rows).count() == 2
+
+
+def skew_plans(spark, make):
+    """Final plans of a join over 40 000 rows of which a third has one key, with broadcasts off and low skew limits."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("query_id"), F.col("id").cast("int").alias("candidate_idx"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        df = make(rows)
+        count = df.count()
+        plan = df.agg(F.max(F.xxhash64(*df.columns)))
+        plan.collect()
+        return count, plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["anti", "lookup", "merge", "execution"])
+def test_hot_key_is_split(spark, name):
+    """A third of the rows under one key must not end in one task."""
+    side = table(spark, "query_id string", [("hot",), ("1",), ("2",)])
+    results = side.select("query_id", *[F.lit(None).cast(k).alias(c) for c, k in zip(J.EXEC_COLUMNS, ("string", "string", "int", "boolean", "string"))])
+    entries = side.select("query_id", F.lit("?").alias("question"), F.array(F.struct(F.lit("r").alias("raw_text"), F.lit("a").alias("analysis"), F.lit("f").alias("final_answer"))).alias("candidates"))
+    makers = {
+        "anti": lambda rows: J.skip_completed(rows, side.where("query_id = '1'")),
+        "lookup": lambda rows: J.attach_by_key(rows, side.select(F.col("query_id").alias("key"), F.lit(1).alias("v")), F.col("query_id"), F.lit(True), "x_", ["candidate_idx"]),
+        "merge": lambda rows: G.merge_results(rows.withColumn("question", F.lit("")), entries, stamp=F.lit("now")),
+        "execution": lambda rows: J.attach_execution(rows, results, ["query_id"]),
+    }
+    count, plan = skew_plans(spark, makers[name])
+    assert count == (39999 if name == "anti" else 40000)
+    assert "skew=true" in plan, plan[:3000]
