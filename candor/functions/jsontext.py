@@ -16,9 +16,11 @@ DEPTH = 4
 def parse(text: Column) -> Column:
     """Strict parse: NULL unless the whole text is one JSON value.
 
-    `try_parse_json` ignores what follows the first value; inside brackets it cannot.
+    `try_parse_json` ignores what follows the first value; inside brackets it cannot. Text that cannot
+    start a value is not tried: a failed parse costs far more than this look at the first characters.
     """
-    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast(ITEMS)
+    possible = F.when(text.rlike(r'^\s*(?:[{\["0-9-]|true|false|null)'), text)
+    items = F.try_parse_json(F.concat(F.lit("["), possible, F.lit("]"))).try_cast(ITEMS)
     return bind(items, lambda i: F.when(F.size(i) == 1, F.get(i, F.lit(0))))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from candor.functions import jsontext as J
-from candor.functions.text import blank_to_null, boxed, non_empty, strip, tag_body
+from candor.functions.text import bind, blank_to_null, boxed, non_empty, strip, tag_body
 
 MESSAGE = "struct<role:string,content:string,channel:string,recipient:string,content_type:string>"
 MESSAGES = f"array<{MESSAGE}>"
@@ -209,45 +209,53 @@ def block_conversation_messages(turns_json: Column, tools_json: Column | None =
 
     The first turn, the prompt itself, drops out.
     """
-    turns = J.as_items(J.parse(turns_json))
+    nothing = F.array().cast(MESSAGES)
 
-    def blocks_of(turn: Column, block_type: str) -> Column:
-        blocks = F.transform(J.as_items(J.field(turn, "content")), J.as_object)
+    def of_type(blocks: Column, block_type: str) -> Column:
         return F.filter(blocks, lambda b: J.text_of(J.field(b, "type")) == block_type)
 
     def text_field(block: Column, name: str) -> Column:
-        value = J.field(block, name)
-        return F.coalesce(J.text_of(value), J.canonical(value), F.lit(""))
+        return F.coalesce(bind(J.field(block, name), lambda v: F.coalesce(J.text_of(v), J.canonical(v))), F.lit(""))
 
-    def convert(turn: Column) -> Column:
-        role = J.text_of(J.field(turn, "role"))
-        plain = J.text_of(J.field(turn, "content"))
-        results = F.transform(
-            blocks_of(turn, "tool_result"),
-            lambda b: message(
-                "tool",
-                F.to_json(F.struct(text_field(b, "tool_use_id").alias("tool_use_id"), text_field(b, "content").alias("content"))),
-                "tool_result",
-            ),
+    def tool_results(blocks: Column) -> Column:
+        def result(block: Column) -> Column:
+            body = F.struct(text_field(block, "tool_use_id").alias("tool_use_id"), text_field(block, "content").alias("content"))
+            return message("tool", F.to_json(body), "tool_result")
+
+        return F.transform(of_type(blocks, "tool_result"), result)
+
+    def assistant_message(parts: Column) -> Column:
+        call = F.to_json(F.struct(parts["texts"].alias("thinking"), parts["calls"].alias("tool_calls")))
+        return F.when(F.size(parts["calls"]) > 0, message("assistant", call, "tool_call")).otherwise(
+            message("assistant", F.coalesce(parts["plain"], parts["texts"]), "final")
         )
-        uses = blocks_of(turn, "tool_use")
-        texts = F.array_join(F.transform(blocks_of(turn, "text"), lambda b: text_field(b, "text")), "\n")
+
+    def assistant_parts(blocks: Column, plain: Column) -> Column:
+        texts = F.transform(of_type(blocks, "text"), lambda b: text_field(b, "text"))
         calls = F.transform(
-            uses,
+            of_type(blocks, "tool_use"),
             lambda b: F.struct(
                 text_field(b, "id").alias("id"), text_field(b, "name").alias("name"),
                 F.coalesce(J.field(b, "input"), F.parse_json(F.lit("{}"))).alias("input"),
             ),
         )
-        request = F.to_json(F.struct(texts.alias("thinking"), calls.alias("tool_calls")))
-        answer = F.when(F.size(uses) > 0, message("assistant", request, "tool_call")).otherwise(
-            message("assistant", F.coalesce(plain, texts), "final")
-        )
-        nothing = F.array().cast(MESSAGES)
-        return F.when(role == "user", F.coalesce(results, nothing)).when(role == "assistant", F.array(answer)).otherwise(nothing)
+        return F.struct(F.coalesce(F.array_join(texts, "\n"), F.lit("")).alias("texts"), calls.alias("calls"), plain.alias("plain"))
 
-    later = F.transform(F.slice(turns, F.lit(2), F.greatest(F.size(turns), F.lit(1))), J.as_object)
-    kept = F.flatten(F.transform(later, convert))
+    def convert(turn: Column) -> Column:
+        def by_role(role: Column) -> Column:
+            blocks = F.transform(J.as_items(J.field(turn, "content")), J.as_object)
+            plain = J.text_of(J.field(turn, "content"))
+            answer = bind(bind(blocks, lambda b: assistant_parts(b, plain)), assistant_message)
+            return (
+                F.when(role == "user", F.coalesce(bind(blocks, tool_results), nothing))
+                .when(role == "assistant", F.array(answer))
+                .otherwise(nothing)
+            )
+
+        return bind(J.text_of(J.field(turn, "role")), by_role)
+
+    turns = F.transform(J.as_items(J.parse(turns_json)), J.as_object)
+    kept = bind(turns, lambda t: F.flatten(F.transform(F.slice(t, F.lit(2), F.greatest(F.size(t), F.lit(1))), convert)))
     if tools_json is None:
         return kept
     tools = F.array(message("system", tools_json, "tools"))
@@ -259,20 +267,25 @@ TOOLS = "array<struct<name:string,description:string,parameters:variant>>"
 
 def tools_in(metadata: Column) -> Column:
     """`tools[]` of a metadata JSON text, its three definition shapes unified; NULL when there are none."""
-    items = J.as_items(J.field(J.as_object(J.parse(metadata)), "tools"))
 
-    def unify(item: Column) -> Column:
-        top = J.as_object(item)
-        nested = J.as_object(J.field(top, "function"))
-        use_nested = ~F.map_contains_key(top, "input_schema") & ~F.map_contains_key(top, "name") & nested.isNotNull()
-        chosen = F.when(use_nested, nested).otherwise(top)
+
+    def definition(chosen: Column) -> Column:
         return F.struct(
             F.coalesce(J.text_of(J.field(chosen, "name")), F.lit("")).alias("name"),
             F.coalesce(J.text_of(J.field(chosen, "description")), F.lit("")).alias("description"),
             F.coalesce(J.field(chosen, "input_schema"), J.field(chosen, "parameters"), F.parse_json(F.lit("{}"))).alias("parameters"),
         )
 
-    return F.when(F.size(items) > 0, F.transform(items, unify))
+    def chosen_part(top: Column) -> Column:
+        """The nested function object, unless the definition is flat."""
+        is_flat = F.map_contains_key(top, "input_schema") | F.map_contains_key(top, "name")
+        return F.when(is_flat, top).otherwise(F.coalesce(J.as_object(J.field(top, "function")), top))
+
+    def unify(item: Column) -> Column:
+        return bind(bind(J.as_object(item), chosen_part), definition)
+
+    items = J.as_items(J.field(J.as_object(J.parse(metadata)), "tools"))
+    return bind(items, lambda i: F.when(F.size(i) > 0, F.transform(i, unify)))
 
 
 def conversation(inputs: Column, outputs: Column) -> Column:

@@ -232,7 +232,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, folder: str, name: str, expressions: dict[str, str]) -> DataFrame:
-    return table(spark, folder, name).selectExpr(*[f"{e} AS {n}" for n, e in expressions.items()])
+    return spread_small(table(spark, folder, name)).selectExpr(*[f"{e} AS {n}" for n, e in expressions.items()])
 
 
 def candidates(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from candor.functions import jsontext as J
 from candor.functions import messages as M
 from candor.functions.text import plan_steps, tag_body
 from candor.operators import selection as S
-from candor.plans.fixtures import CAND_CTE, CANDIDATES, METADATA, NL, PROMPT_CTE, Q, candidates, case, prompts, select_sql, table, text
+from candor.plans.fixtures import CAND_CTE, CANDIDATES, METADATA, NL, PROMPT_CTE, Q, candidates, case, prompts, derived, select_sql, table, text
 from candor.plans.registry import query
 from candor.plans.text_queries import KEY, boxed_sql, strip_sql, tag_sql
 from candor.schema import FLAT_COLUMNS, flatten, unflatten
@@ -219,7 +219,7 @@ BLOCK_ROWS = {"query_id": CANDIDATES["query_id"], "arrival": CANDIDATES["arrival
     f"SELECT query_id, arrival, 'tool_call,tool_result,final' AS channels, 'hm ' || quantity AS thinking, CAST(quantity AS STRING) AS argument, 'r ' || quantity AS result, 'done ' || quantity AS final FROM ({select_sql(BLOCK_ROWS, 'lineitem')})",
 )
 def p24_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in BLOCK_ROWS.items()])
+    rows = derived(spark, folder, "lineitem", BLOCK_ROWS)
     rows = rows.withColumn("messages", M.block_conversation_messages(F.col("turns")))
     content = lambda i: F.col("messages")[i]["content"]
     return rows.select(
@@ -233,12 +233,13 @@ TOOL_ROWS = {"query_id": CANDIDATES["query_id"], "arrival": CANDIDATES["arrival"
 
 @query(
     "p25_tools_in",
-    f"""SELECT query_id, arrival, 'f' || regexp_extract(metadata, '"f(\\d+)"', 1) || ',g,h' AS names, 'd,,' AS descriptions, '{{"type":"object"}};{{}};{{"a":1}}' AS parameters
-    FROM ({select_sql(TOOL_ROWS, 'lineitem')}) WHERE json_valid(metadata) AND json_array_length(metadata, '$.tools') > 0""",
+    f"""SELECT query_id, arrival, CASE WHEN ok THEN 'f' || regexp_extract(metadata, '"f(\\d+)"', 1) || ',g,h' END AS names, CASE WHEN ok THEN 'd,,' END AS descriptions,
+    CASE WHEN ok THEN '{{"type":"object"}};{{}};{{"a":1}}' END AS parameters
+    FROM (SELECT *, CASE WHEN json_valid(metadata) THEN json_array_length(metadata, '$.tools') > 0 ELSE false END AS ok FROM ({select_sql(TOOL_ROWS, 'lineitem')}))""",
 )
 def p25(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in TOOL_ROWS.items()])
-    found = rows.withColumn("tools", M.tools_in(F.col("metadata"))).where(F.col("tools").isNotNull())
+    rows = derived(spark, folder, "lineitem", TOOL_ROWS)
+    found = rows.withColumn("tools", M.tools_in(F.col("metadata")))
     return found.select(
         *KEY, F.array_join(F.transform("tools", lambda t: t["name"]), ",").alias("names"), F.array_join(F.transform("tools", lambda t: t["description"]), ",").alias("descriptions"),
         F.array_join(F.transform("tools", lambda t: J.canonical(t["parameters"])), ";").alias("parameters"),

@@ -13,7 +13,7 @@ from candor.operators import cascade as K
 from candor.operators import refusals as R
 from candor.operators import scoring as S
 from candor.operators.joins import refusal_key, verdict_key
-from candor.plans.fixtures import CAND_CTE, CANDIDATES, DQ, NL, Q, SQ, candidates, case, select_sql, table, text
+from candor.plans.fixtures import CAND_CTE, CANDIDATES, DQ, NL, Q, SQ, candidates, case, derived, select_sql, table, text
 from candor.plans.registry import query
 from candor.sources.candidates import spread_small
 from candor.plans.text_queries import CODE_IN, CODE_OR_TEXT, EXPRESSION, JSON_TEXT, KEY, LANGUAGE, NUMBER, boxed_sql, strip_sql
@@ -64,7 +64,7 @@ QUANTITIES = {
       regexp_extract(t, '([a-z]+)$', 1) AS ut_name FROM ({select_sql(QUANTITIES, 'lineitem')})) LEFT JOIN (VALUES {UNIT_ROWS}) ua(unit, dim, factor) ON ua_name = ua.unit LEFT JOIN (VALUES {UNIT_ROWS}) ut(unit, dim, factor) ON ut_name = ut.unit""",
 )
 def v02(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in QUANTITIES.items()])
+    rows = derived(spark, folder, "lineitem", QUANTITIES)
     return rows.select(*KEY, S.units_score(F.col("a"), F.col("t"))["is_correct"].alias("is_correct"))
 
 
@@ -135,7 +135,7 @@ SCRIPT_PATTERNS = """CAST(regexp_matches(code, 'function\\s+\\w+|const\\s+\\w+\\
     f"SELECT query_id, arrival, is_valid, round(CASE WHEN is_valid THEN least(0.7e0, 0.4e0 + n * 0.1e0) ELSE 0.8e0 END, 6) AS confidence FROM (SELECT *, {SCRIPT_VALID} AS is_valid, {SCRIPT_PATTERNS} AS n FROM ({select_sql(SCRIPTS, 'lineitem')}))",
 )
 def v05_script(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in SCRIPTS.items()])
+    rows = derived(spark, folder, "lineitem", SCRIPTS)
     return opened(rows.withColumn("s", javascript_syntax(F.col("code"))), "s", "is_valid", "confidence")
 
 

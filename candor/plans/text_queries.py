@@ -11,7 +11,7 @@ from candor.functions import numbers as N
 from candor.functions import style as S
 from candor.functions import text as T
 from candor.functions.quality import completeness_from_fields, completeness_from_steps, quality
-from candor.plans.fixtures import CAND_CTE, CANDIDATES, NL, Q, BS, DQ, SQ, candidates, case, select_sql, table, text
+from candor.plans.fixtures import CAND_CTE, CANDIDATES, NL, Q, BS, DQ, SQ, candidates, case, derived, select_sql, table, text
 from candor.plans.registry import query
 
 W = f"WITH {CAND_CTE} "
@@ -334,7 +334,7 @@ SAME = f"""SELECT query_id, arrival, coalesce(a = b, false) OR coalesce(sa = sb,
 
 @query("f25_same_value", SAME)
 def f25(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in VALUE_PAIRS.items()])
+    pairs = derived(spark, folder, "lineitem", VALUE_PAIRS)
     parsed = pairs.withColumns({"a": J.parse(F.col("a")), "b": J.parse(F.col("b"))})
     return parsed.select(*KEY, J.same_value(F.col("a"), F.col("b")).alias("same"))
 
@@ -363,7 +363,7 @@ JUDGE = {"query_id": CANDIDATES["query_id"], "arrival": CANDIDATES["arrival"], "
     try_cast(nullif(regexp_extract(response, 'confidence[^:]: *([0-9.]+)', 1), '') AS DOUBLE) AS confidence FROM ({select_sql(JUDGE, 'lineitem')})""",
 )
 def f27(spark: SparkSession, folder: str) -> DataFrame:
-    responses = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in JUDGE.items()])
+    responses = derived(spark, folder, "lineitem", JUDGE)
     parsed = responses.withColumn("found", J.judge_json(F.col("response")))
     return parsed.select(
         *KEY, F.try_variant_get("found", "$.equivalent", "boolean").alias("equivalent"), F.try_variant_get("found", "$.confidence", "double").alias("confidence")
@@ -390,7 +390,7 @@ PERSONA = {"query_id": CANDIDATES["query_id"], "arrival": CANDIDATES["arrival"],
     FROM (SELECT *, try_cast(nullif(regexp_extract(output, '<score>(\\d+(?:\\.\\d+)?)</score>', 1), '') AS DOUBLE) AS tagged FROM ({select_sql(PERSONA, 'lineitem')})))""",
 )
 def f28(spark: SparkSession, folder: str) -> DataFrame:
-    outputs = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in PERSONA.items()])
+    outputs = derived(spark, folder, "lineitem", PERSONA)
     found = outputs.withColumn("found", T.persona_judgement(F.col("output")))
     return found.select(
         *KEY, F.col("found.score").alias("score"), F.round("found.confidence", 6).alias("confidence"), F.col("found.is_correct").alias("is_correct"),
@@ -433,7 +433,7 @@ def channel_sql(name: str) -> str:
 
 @query("f32_channels", "SELECT query_id, arrival, " + ", ".join(f"{channel_sql(c)} AS {c}" for c in T.CHANNELS) + f" FROM ({select_sql(CHANNEL_ROWS, 'lineitem')})")
 def f32(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in CHANNEL_ROWS.items()])
+    rows = derived(spark, folder, "lineitem", CHANNEL_ROWS)
     return rows.select(*KEY, *[T.channel_text(F.col("t"), c).alias(c) for c in T.CHANNELS])
 
 
@@ -452,7 +452,7 @@ RESULT_PAIRS = {
     FROM ({select_sql(RESULT_PAIRS, 'lineitem')})""",
 )
 def f33(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in RESULT_PAIRS.items()])
+    pairs = derived(spark, folder, "lineitem", RESULT_PAIRS)
     parsed = pairs.withColumns({n: J.parse(F.col(n)) for n in ("actual", "expected")})
     return parsed.select(*KEY, J.same_result(F.col("actual"), F.col("expected")).alias("same"))
 
