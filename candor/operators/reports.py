@@ -139,7 +139,11 @@ def first_model(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def numeric_describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column, one row per column, one pass."""
+    """count, mean, stddev, min, quartiles and max per column, one row per column, one pass.
+
+    Quartiles are exact and keep one counter per distinct value, which suits the quality columns: lengths
+    bounded by truncation, flags and completeness steps. Do not use it on free real numbers.
+    """
     statistics = {
         "count": lambda c: F.count(c).cast("double"), "mean": F.avg, "std": F.stddev_samp, "min": F.min,
         "p25": lambda c: F.percentile(c, 0.25), "p50": lambda c: F.percentile(c, 0.5), "p75": lambda c: F.percentile(c, 0.75),
