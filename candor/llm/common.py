@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,20 +52,24 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = S
 class Memo:
     """Bounded memory of a function of short strings, filled for many strings at once.
 
-    When it would hold more than `limit` entries it starts afresh; that costs time but never changes a value.
+    Entries are of two ages. When `limit` young ones are there they become the old ones, and old ones that nobody asked for since then go; that costs time
+    but never changes a value.
     """
 
-    def __init__(self, compute, limit: int = 1_000_000) -> None:
-        self.compute, self.limit, self.known = compute, limit, {}
-
-    def of(self, keys: list[str]) -> list:
-        known = self.known
-        found = list(map(known.get, keys))
-        if None in found:
-            missing = list({k for k, v in zip(keys, found) if v is None})
-            if len(known) + len(missing) > self.limit:
-                known.clear()
-                missing = list(set(keys))
-            known.update(zip(missing, self.compute(missing)))
-            found = list(map(known.__getitem__, keys))
-        return found
+    def __init__(self, compute: Callable[[list[str]], list[bytes]], limit: int = 250_000) -> None:
+        self.compute, self.limit = compute, limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def joined(self, rows: list[list[str]]) -> list[bytes]:
+        """For each row the values of its strings, one after the other."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = {k for row in rows for k in row if k not in young}
+        for k in missing & old.keys():
+            young[k] = old[k]
+        fresh = [k for k in missing if k not in old]
+        young.update(zip(fresh, self.compute(fresh)))
+        get = young.__getitem__
+        return [b"".join(map(get, row)) for row in rows]

@@ -26,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -89,10 +90,18 @@ class Encoder:
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def ids(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.frombuffer(b"".join(self.memo.of(_SEGMENT.findall(text))), "<u4")
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
+        joined = self.memo.joined([[] if i in odd else _SEGMENT.findall(t) for i, t in enumerate(texts)])
+        return [
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if i in odd else np.frombuffer(joined[i], "<u4") for i, t in enumerate(texts)
+        ]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_path: str) -> Encoder:
+    """One per Python worker, so that later tasks find the pieces of earlier ones."""
+    return Encoder(tokenizer_path)
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, partitions: int | None = None) -> None:
@@ -106,9 +115,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     order = [F.col("doc_id"), F.xxhash64("text")]
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer_path), np.array([end_id], "<u4")
-        for batch in small_batches(batches, "text"):
-            out = [frame(pack(i, np.concatenate((encoder.ids(t), end)))) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
+        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4")
+        for batch in small_batches(batches, "text", 4 << 20):
+            ids = encoder.ids(batch.column("text").to_pylist())
+            out = [frame(pack(i, np.concatenate((x, end)))) for i, x in zip(batch.column("doc_id").to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
