@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import rule_ledger, token_records
+from candor.llm import language_id, piece_codec, rule_ledger, secret_ledger, token_records
 from candor.llm.common import table
 from candor.session import scratch_path
 
@@ -71,3 +71,34 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~rule_ledger.passes(rule_ledger.BASE)).alias("base_failed"), rule_ledger.passes(rule_ledger.PRODUCTION).alias("kept"), "failed",
     )
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from the labelled ones that are not held out."""
+    docs = table(spark, folder, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
+def _digest(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op9_secret_ledger")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of all documents by way of a ledger that starts empty."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    located = secret_ledger.locate(docs, secret_ledger.scan_unseen(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_ledger.BASE.rules]))
+    counts = [F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return located.select("doc_id", *counts, F.sha2(_digest(base).cast("binary"), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"))
+
+
+@query("op10_piece_codec")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of all documents and what they decode to."""
+    coded = piece_codec.encode(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
