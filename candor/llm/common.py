@@ -66,10 +66,17 @@ class Memo:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        missing = {k for row in rows for k in row if k not in young}
-        for k in missing & old.keys():
-            young[k] = old[k]
-        fresh = [k for k in missing if k not in old]
-        young.update(zip(fresh, self.compute(fresh)))
-        get = young.__getitem__
-        return [b"".join(map(get, row)) for row in rows]
+        flat = [k for row in rows for k in row]
+        found = list(map(young.get, flat))
+        missing = {flat[i] for i, v in enumerate(found) if v is None}
+        if missing:
+            for k in missing & old.keys():
+                young[k] = old[k]
+            fresh = [k for k in missing if k not in old]
+            young.update(zip(fresh, self.compute(fresh)))
+            found = [young[flat[i]] if v is None else v for i, v in enumerate(found)]
+        at, out = 0, []
+        for row in rows:
+            out.append(b"".join(found[at : at + len(row)]))
+            at += len(row)
+        return out
