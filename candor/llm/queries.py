@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import language_id, piece_codec, rule_ledger, secret_ledger, token_records
-from candor.llm.common import table
+from candor.llm import decontamination, language_id, piece_codec, rule_ledger, secret_ledger, token_records, toxic_spans
+from candor.llm.common import held_out, table
 from candor.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,17 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
+
+
+@query("op4_toxic_spans")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labelled ones that are not held out."""
+    docs = table(spark, folder, "documents")
+    scored = toxic_spans.score(docs, toxic_spans.train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxic_spans.THRESHOLD).cast("int").alias("predicted"), F.size("spans").alias("n_spans"))
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold the question and the answer of a benchmark item."""
+    return decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
