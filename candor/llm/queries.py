@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import decontamination, language_id, piece_codec, rule_ledger, secret_ledger, token_records, toxic_spans
+from candor.llm import decontamination, fixed_blocks, language_id, piece_codec, rule_ledger, secret_ledger, token_records, toxic_spans
 from candor.llm.common import held_out, table
 from candor.session import scratch_path
 
@@ -116,3 +116,25 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold the question and the answer of a benchmark item."""
     return decontamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+34], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows WHERE k IN (SELECT k FROM twice)),
+removed AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+    array_to_string([ws[x] for x in range(1, len(ws) + 1) if ps IS NULL OR NOT list_contains(ps, x)], ' ') AS t
+  FROM w LEFT JOIN removed USING (doc_id))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(t) AS kept_sha256 FROM kept
+"""
+
+
+@query("op5_fixed_blocks", _REPEATS_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the passages that repeat."""
+    kept = fixed_blocks.deduplicate(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
