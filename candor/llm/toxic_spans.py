@@ -55,7 +55,7 @@ def marginals(emission: np.ndarray, first: np.ndarray, moves: np.ndarray, start:
     size = lanes * steps
 
     def laid(values: np.ndarray, fill: float) -> np.ndarray:
-        out = np.full(size, fill)
+        out = np.full(size, fill, float)
         out[:n] = values
         return np.ascontiguousarray(out.reshape(lanes, steps).T)
 
@@ -188,7 +188,7 @@ def fit(texts: list[str], toxic: list[int], steps: int = 40, rate: float = 0.3)
     in_clean: Counter[str] = Counter()
     for row, label in zip(tokens, toxic):
         (in_toxic if label else in_clean).update({f for w in set(row) for f in features_of(w)})
-    least = max(3, n_toxic // 200)
+    least = max(4, n_toxic // 100)
     lean = {f: np.log((k + 0.5) / (n_toxic + 1)) - np.log((in_clean[f] + 0.5) / (n_clean + 1)) for f, k in in_toxic.items() if k >= least}
     telling = {f for f, v in lean.items() if v > 3}
 
