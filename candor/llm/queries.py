@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import decontamination, fixed_blocks, language_id, piece_codec, rule_ledger, secret_ledger, token_records, toxic_spans
+from candor.llm import decontamination, fixed_blocks, language_id, piece_codec, rule_ledger, secret_ledger, style_tree, token_records, toxic_spans
 from candor.llm.common import held_out, table
 from candor.session import scratch_path
 
@@ -138,3 +138,10 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the passages that repeat."""
     kept = fixed_blocks.deduplicate(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op7_style_tree")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, folder, "pages")
+    return style_tree.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
