@@ -95,20 +95,30 @@ class Encoder:
         self.of_words = Tokenizer.from_file(tokenizer_path)
         self.of_words.encode_special_tokens = True
         self.of_words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        # A byte-level token has one character per byte.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.n_bytes[i] = len(token)
         self.memo = Memo(self._pieces)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        words = [bool(_ONE_WORD.fullmatch(p)) for p in pieces]
-        known = {
-            flag: self._encoded(tokenizer, [p for p, w in zip(pieces, words) if w == flag]) for flag, tokenizer in ((True, self.of_words), (False, self.tokenizer))
-        }
-        return [next(known[w]) for w in words]
-
-    @staticmethod
-    def _encoded(tokenizer, pieces: list[str], at_once: int = 4000) -> Iterator[bytes]:
+        words = [p for p in pieces if _ONE_WORD.fullmatch(p)]
+        known = dict(zip(words, self._encoded(self.of_words, words)))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, self._encoded(self.tokenizer, rest)))
+        return [known[p] for p in pieces]
+
+    def _encoded(self, tokenizer, pieces: list[str], at_once: int = 4000) -> Iterator[bytes]:
+        """The ids of each piece. Many pieces are one call; the bytes that the ids stand for tell where each piece ends."""
         for k in range(0, len(pieces), at_once):
-            for e in tokenizer.encode_batch_fast(pieces[k : k + at_once], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+            some = pieces[k : k + at_once]
+            ids = np.array(tokenizer.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p.encode()) for p in some])) + 1
+            data, start = ids.tobytes(), 0
+            for end in ends.tolist():
+                yield data[4 * start : 4 * end]
+                start = end
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
