@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import decontamination, fixed_blocks, language_id, piece_codec, rule_ledger, secret_ledger, style_tree, token_records, toxic_spans
+from candor.llm import decontamination, fixed_blocks, language_id, lsh_forest, piece_codec, rule_ledger, secret_ledger, style_tree, token_records, toxic_spans
 from candor.llm.common import held_out, table
 from candor.session import scratch_path
 
@@ -145,3 +145,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     pages = table(spark, folder, "pages")
     return style_tree.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_lsh_forest")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents by their runs of four words."""
+    return lsh_forest.near_duplicates(table(spark, folder, "documents"), size=4)
