@@ -20,7 +20,6 @@ is 0. A document with several label rows counts as toxic if one says so. Rows ar
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from candor.llm.common import held_out, small_batches, text_of
 
-TOXIC_DOCS, CLEAN_DOCS = 2000, 4000
+TOXIC_DOCS, CLEAN_DOCS = 1500, 3000
 BEGINNINGS = range(3, 8)
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"[^\W_]+")
@@ -183,28 +182,33 @@ def fit(texts: list[str], toxic: list[int], steps: int = 40, rate: float = 0.3)
     n_toxic, n_clean = int(y_doc.sum()), int((1 - y_doc).sum())
     if not n_toxic or not n_clean:
         return None
-    tokens = [_TOKEN.findall(t.lower()) for t in texts]
-    in_toxic: Counter[str] = Counter()
-    in_clean: Counter[str] = Counter()
-    for row, label in zip(tokens, toxic):
-        (in_toxic if label else in_clean).update({f for w in set(row) for f in features_of(w)})
-    least = max(4, n_toxic // 100)
-    lean = {f: np.log((k + 0.5) / (n_toxic + 1)) - np.log((in_clean[f] + 0.5) / (n_clean + 1)) for f, k in in_toxic.items() if k >= least}
-    telling = {f for f, v in lean.items() if v > 3}
-
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for row in tokens for w in row))}
+    # Words and features become numbers at once; each string is kept once.
+    vocabulary: dict[str, int] = {}
     names: dict[str, int] = {}
-    rows, columns, tagged = [], [], np.zeros(len(vocabulary), bool)
-    for w, i in vocabulary.items():
-        own = features_of(w)
-        tagged[i] = any(f in telling for f in own)
-        for f in own:
-            if in_toxic[f] + in_clean[f] >= 3:
-                rows.append(i)
-                columns.append(names.setdefault(f, len(names)))
-    rows_a, columns_a = np.array(rows, np.int64), np.array(columns, np.int64)
-    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    word = np.fromiter((vocabulary[w] for row in tokens for w in row), np.int64, int(lengths.sum()))
+    features: list[np.ndarray] = []
+    words: list[np.ndarray] = []
+    present: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for text, label in zip(texts, toxic):
+        row = _TOKEN.findall(text.lower())
+        for w in row:
+            if w not in vocabulary:
+                vocabulary[w] = len(vocabulary)
+                features.append(np.array([names.setdefault(f, len(names)) for f in features_of(w)], np.int32))
+        ids = np.fromiter(map(vocabulary.__getitem__, row), np.int32, len(row))
+        words.append(ids)
+        if len(ids):
+            present[bool(label)].append(np.unique(np.concatenate([features[i] for i in np.unique(ids)])))
+    in_toxic, in_clean = (np.bincount(np.concatenate(present[k] or [np.zeros(0, np.int32)]), minlength=len(names)) for k in (True, False))
+    lean = np.log((in_toxic + 0.5) / (n_toxic + 1)) - np.log((in_clean + 0.5) / (n_clean + 1))
+    telling = (in_toxic >= max(4, n_toxic // 100)) & (lean > 3)
+    rows_a = np.repeat(np.arange(len(features)), np.fromiter(map(len, features), np.int64, len(features)))
+    columns_a = np.concatenate(features) if features else np.zeros(0, np.int32)
+    del features, present
+    tagged = np.bincount(rows_a, telling[columns_a], len(vocabulary)) > 0
+    common = (in_toxic + in_clean >= 3)[columns_a]
+    rows_a, columns_a = rows_a[common], columns_a[common]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    word = np.concatenate(words)
     first = _starts(lengths)
     y = tagged[word] & np.repeat(y_doc > 0, lengths)
     pair = (2 * y[:-1] + y[1:])[~first[1:]]
