@@ -194,3 +194,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None, least_score: float) -> DataFrame:
+    """All rows and columns of `docs` whose text has a language with at least that score. Row by row, so ids may be NULL or repeat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            score = model.predict(batch.column("text").to_pylist())[1] if model is not None and batch.num_rows else np.zeros(batch.num_rows)
+            yield batch.filter(pa.array(score >= least_score))
+
+    return docs.where(F.col("text").rlike(r"\p{L}")).mapInArrow(run, docs.schema)

@@ -73,7 +73,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, `n_shingles`, `key` of the set and `signature` (NULL for an empty set) of every row."""
+    """`doc_id`, `n_shingles`, `key` of the set and `signature` (NULL for an empty set) of every row, and a hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 4 << 20):
@@ -83,12 +83,12 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
             for k, row in zip(full, signatures([sets[k] for k in full]) if full else ()):
                 rows[k] = row.tobytes()
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())], ["doc_id", "n_shingles", "key", "signature"]
-            )
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "key", "signature"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, signature binary")
+    text = text_of(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key binary, signature binary")
 
 
 def _orders(classes: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def _resolved(docs: DataFrame, tied: DataFrame, size: int, similarity: int) -> D
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, similarity: int = SIMILARITY) -> DataFrame:
-    """`doc_id`, `n_shingles`, `component_id` and `kept` of every row of `docs`."""
+    """`doc_id`, `text_hash`, `n_shingles`, `component_id` and `kept` of every row of `docs`."""
     scratch_root(docs.sparkSession)
     signed = _signed(docs, size).checkpoint()
     full = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -243,5 +243,17 @@ def near_duplicates(docs: DataFrame, size: int = 4, similarity: int = SIMILARITY
     # A document takes the component of its set; copies of a set meet here, so this is the join that a hot set skews.
     found = signed.drop("signature").join(of_key, "key", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("of_set")).otherwise(F.col("doc_id"))
-    out = found.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = found.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_first(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY) -> DataFrame:
+    """All columns of the row that stays of each near-duplicate group: the one with the smallest id, one of them if several rows have that id and text.
+
+    Rows with a NULL id are linked with nothing and stay. Rows are told apart by id and text.
+    """
+    found = near_duplicates(docs, size, similarity).where("NOT kept").select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
+    marked = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(text_of(F.col("text"))))
+    kept = marked.join(found, (F.col("__id") == F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash")), "left_anti")
+    again = F.when(F.col("__id").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("__again", again).dropDuplicates(["__id", "__hash", "text", "__again"]).drop("__id", "__hash", "__again")

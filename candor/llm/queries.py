@@ -150,4 +150,4 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_lsh_forest")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents by their runs of four words."""
-    return lsh_forest.near_duplicates(table(spark, folder, "documents"), size=4)
+    return lsh_forest.near_duplicates(table(spark, folder, "documents"), size=4).drop("text_hash")
