@@ -165,7 +165,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             rows = frequencies(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], ["lang", "vector"])
 
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             known = [i for i, t in enumerate(texts) if t is not None]
@@ -200,7 +200,7 @@ def keep_known(docs: DataFrame, model: Model | None, least_score: float) -> Data
     """All rows and columns of `docs` whose text has a language with at least that score. Row by row, so ids may be NULL or repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             score = model.predict(batch.column("text").to_pylist())[1] if model is not None and batch.num_rows else np.zeros(batch.num_rows)
             yield batch.filter(pa.array(score >= least_score))
 

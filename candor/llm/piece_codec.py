@@ -51,7 +51,7 @@ class PrefixTable:
         part = r" *[^ \n]+| +|\n" if not any("\n" in p for p in self.id) else " *[^ ]+| +"
         cut = not any(MARK in p.lstrip(MARK) for p in self.id)
         self.parts = re.compile(part if cut else r"(?s).+")
-        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts])
+        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts], limit=120_000)
 
     def _merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first and leftmost first among equals: what stability is defined by."""
@@ -68,6 +68,9 @@ class PrefixTable:
         key = (before, piece)
         known = self.stable.get(key)
         if known is None:
+            if len(self.stable) > 200_000:
+                # A bounded memory; an answer that is gone is found again.
+                self.stable.clear()
             known = self.stable[key] = self._merged(before + piece) == ([before, piece] if before else [piece])
         return known
 

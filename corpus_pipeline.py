@@ -19,7 +19,7 @@ from candor.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A language with a lower score counts as not recognised.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.2
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
