@@ -35,8 +35,25 @@ def text_of(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts Arrow batches into runs of rows whose texts hold about `limit` bytes; a longer text is a batch of its own."""
+#: What a Python worker keeps from task to task: one object, of the operator that ran last.
+_KEPT: dict[str, object] = {}
+
+
+def kept_in_worker(name: str, build: Callable[[], object]):
+    """The object of that name, built if this worker does not have it. All others go."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches into runs of rows whose texts hold about `limit` bytes; a longer text is a batch of its own.
+
+    First drops what the worker still keeps from other operators than `keep`.
+    """
+    if keep not in _KEPT:
+        _KEPT.clear()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0

@@ -16,14 +16,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candor.llm.common import Memo, small_batches, text_of
+from candor.llm.common import Memo, kept_in_worker, small_batches, text_of
 
 MARK = "▁"
 SCHEMA = "doc_id long, ids array<int>, decoded string"
@@ -51,7 +50,7 @@ class PrefixTable:
         part = r" *[^ \n]+| +|\n" if not any("\n" in p for p in self.id) else " *[^ ]+| +"
         cut = not any(MARK in p.lstrip(MARK) for p in self.id)
         self.parts = re.compile(part if cut else r"(?s).+")
-        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts], limit=120_000)
+        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts])
 
     def _merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first and leftmost first among equals: what stability is defined by."""
@@ -113,18 +112,13 @@ class PrefixTable:
         return self.library.decode(ids)
 
 
-@lru_cache(maxsize=1)
-def codec_of(model_path: str) -> PrefixTable:
-    """One per Python worker, so that later tasks find what earlier ones have stored."""
-    return PrefixTable(model_path)
-
-
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """`doc_id`, `ids` with the end id, and `decoded`, the text that the ids decode to. One pass without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(model_path)
-        for batch in small_batches(batches, "text", 4 << 20):
+        # One per worker, so that later tasks find what earlier ones have stored.
+        codec = kept_in_worker(model_path, lambda: PrefixTable(model_path))
+        for batch in small_batches(batches, "text", 4 << 20, model_path):
             ids = codec.encode(batch.column("text").to_pylist())
             decoded = pa.array([codec.decode(i) for i in ids], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), decoded], ["doc_id", "ids", "decoded"])

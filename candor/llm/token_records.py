@@ -27,14 +27,13 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candor.llm.common import Memo, small_batches, text_of
+from candor.llm.common import Memo, kept_in_worker, small_batches, text_of
 
 MASK_DELTA = 0xA282EAD8
 HEAD, PAYLOAD_HEAD = struct.Struct("<QI"), struct.Struct("<BBq")
@@ -128,12 +127,6 @@ class Encoder:
         ]
 
 
-@lru_cache(maxsize=1)
-def encoder_of(tokenizer_path: str) -> Encoder:
-    """One per Python worker, so that later tasks find the pieces of earlier ones."""
-    return Encoder(tokenizer_path)
-
-
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, partitions: int | None = None) -> None:
     """Writes `doc_id`, `text` rows as record files below `folder`/records, in ascending doc_id order over all files.
 
@@ -145,8 +138,9 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     order = [F.col("doc_id"), F.xxhash64("text")]
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4")
-        for batch in small_batches(batches, "text", 4 << 20):
+        # One per worker, so that later tasks find the pieces of earlier ones.
+        encoder, end = kept_in_worker(tokenizer_path, lambda: Encoder(tokenizer_path)), np.array([end_id], "<u4")
+        for batch in small_batches(batches, "text", 4 << 20, tokenizer_path):
             ids = encoder.ids(batch.column("text").to_pylist())
             out = [frame(pack(i, np.concatenate((x, end)))) for i, x in zip(batch.column("doc_id").to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
