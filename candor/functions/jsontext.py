@@ -5,23 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from candor.functions.text import bind, first_match, last_of, leading_object, strip
+from candor.functions.jsondeep import FALSE_WORDS, NUMBER, TRUE_WORDS, covers_text, same_result_text
+from candor.functions.text import bind, first_match, leading_object, strip
 
 MAP = "map<string,variant>"
 ITEMS = "array<variant>"
-# Nesting that dictionary comparison follows; deeper objects compare as canonical text.
-DEPTH = 4
 
 
 def parse(text: Column) -> Column:
     """Strict parse: NULL unless the whole text is one JSON value.
 
-    `try_parse_json` ignores what follows the first value; inside brackets it cannot. Text that cannot
-    start a value is not tried: a failed parse costs far more than this look at the first characters.
+    `try_parse_json` ignores what follows the first value. Inside `[` and `]` as well as inside an object it cannot: text that closes one of the two wrappers
+    early is an error in the other, and text that adds a second value makes the array longer. Text that cannot start a value is not tried: a failed parse
+    costs far more than this look at the first characters.
     """
     possible = F.when(text.rlike(r'^\s*(?:[{\["0-9-]|true|false|null)'), text)
     items = F.try_parse_json(F.concat(F.lit("["), possible, F.lit("]"))).try_cast(ITEMS)
-    return bind(items, lambda i: F.when(F.size(i) == 1, F.get(i, F.lit(0))))
+
+    def alone(found: Column) -> Column:
+        wrapped = F.try_parse_json(F.concat(F.lit('{"a":'), possible, F.lit("}")))
+        return F.when((F.size(found) == 1) & wrapped.isNotNull(), F.get(found, F.lit(0)))
+
+    return bind(items, alone)
 
 
 def as_object(value: Column) -> Column:
@@ -62,6 +67,15 @@ def canonical(value: Column) -> Column:
     return F.to_json(value)
 
 
+def for_python(value: Column) -> Column:
+    """Canonical text as the argument of a Python function.
+
+    The value is mentioned twice so that the optimizer leaves its computation in a projection of its own: Spark fails to recognise an argument with
+    nested lambdas as the one it has handed to Python.
+    """
+    return F.when(value.isNotNull(), canonical(value))
+
+
 def text_of(value: Column) -> Column:
     """String content of a VARIANT string; NULL for other types."""
     return F.when(kind(value) == "string", value.try_cast("string"))
@@ -135,9 +149,9 @@ def looks_numeric(text: Column) -> Column:
 
 # --- comparison with a truth -----------------------------------------------------------------------
 
-# Words that count as true or false.
-TRUE_WORDS = ("true", "yes", "1", "on")
-FALSE_WORDS = ("false", "no", "0", "off")
+def number_of(text: Column) -> Column:
+    """Double of a text that is a decimal number; NULL for forms such as `7d` or `0x1p3` that a cast would read."""
+    return F.when(text.rlike(rf"^\s*(?:{NUMBER})\s*$"), text.try_cast("double"))
 
 
 def plain_key(key: Column) -> Column:
@@ -154,7 +168,7 @@ def _leaf(value: Column) -> Column:
             canonical(value).alias("whole"),
             F.lower(F.when(type_name.isin("string", "boolean"), plain)).alias("word"),
             (type_name == "string").alias("is_text"),
-            F.when(type_name.isin("integer", "number", "string"), plain.try_cast("double")).alias("number"),
+            F.when(type_name.isin("integer", "number", "string"), number_of(plain)).alias("number"),
         )
 
     return bind(kind(value), read)
@@ -180,30 +194,10 @@ def same_value(a: Column, b: Column) -> Column:
     return bind(F.struct(_leaf(a).alias("x"), _leaf(b).alias("y")), same)
 
 
-def covers_fuzzily(data: Column, truth: Column, depth: int = DEPTH) -> Column:
-    """Every key of the `truth` map has a loosely equal value in the `data` map (extra keys allowed)."""
-
-    def keyed(entries: Column) -> Column:
-        return F.transform(F.map_entries(entries), lambda e: F.struct(plain_key(e["key"]).alias("key"), e["value"].alias("value")))
-
-    def covered(sides: Column) -> Column:
-        def holds(wanted: Column) -> Column:
-            found = last_of(F.filter(sides["data"], lambda d: d["key"] == wanted["key"]))
-            return F.coalesce(bind(found, lambda f: F.when(f.isNotNull(), matches(f["value"], wanted["value"]))), F.lit(False))
-
-        return F.forall(sides["truth"], holds)
-
-    def matches(value: Column, wanted: Column) -> Column:
-        if depth <= 1:
-            return same_value(value, wanted)
-        return bind(
-            F.struct(as_object(value).alias("data"), as_object(wanted).alias("truth")),
-            lambda o: F.when(
-                o["data"].isNotNull() & o["truth"].isNotNull(), covers_fuzzily(o["data"], o["truth"], depth - 1)
-            ).otherwise(same_value(value, wanted)),
-        )
-
-    return bind(F.struct(keyed(data).alias("data"), keyed(truth).alias("truth")), covered)
+def covers_fuzzily(data: Column, truth: Column) -> Column:
+    """Every key of the `truth` object has a loosely equal value in the `data` object, at any depth (extra keys allowed). Both VARIANT."""
+    objects = as_object(data).isNotNull() & as_object(truth).isNotNull()
+    return F.coalesce(covers_text(F.when(objects, canonical(data)), F.when(objects, canonical(truth))), F.lit(False))
 
 
 def covers_exactly(data: Column, truth: Column) -> Column:
@@ -214,33 +208,9 @@ def covers_exactly(data: Column, truth: Column) -> Column:
     )
 
 
-def same_result(actual: Column, expected: Column, depth: int = DEPTH) -> Column:
-    """Result comparison: equal, or all expected keys present (values only matter when objects), or numbers within 1 %."""
-
-
-    def covered(maps: Column) -> Column:
-        a = maps["a"]
-
-        def holds(entry: Column) -> Column:
-            present = F.map_contains_key(a, entry["key"])
-            if depth <= 1:
-                return present
-            nested = bind(F.try_element_at(a, entry["key"]), lambda value: same_result(value, entry["value"], depth - 1))
-            return present & F.when(as_object(entry["value"]).isNotNull(), nested).otherwise(F.lit(True))
-
-        return F.when(a.isNotNull() & maps["b"].isNotNull(), F.forall(F.map_entries(maps["b"]), holds))
-
-    def near(numbers: Column) -> Column:
-        x, y = numbers["x"], numbers["y"]
-        return F.coalesce(F.abs(x - y) < 0.01 * F.greatest(F.abs(x), F.abs(y), F.lit(1.0)), F.lit(False))
-
-    numbers = [F.when(kind(v).isin("integer", "number"), v.try_cast("double")) for v in (actual, expected)]
-    return F.when(canonical(actual) == canonical(expected), F.lit(True)).otherwise(
-        F.coalesce(
-            bind(F.struct(as_object(actual).alias("a"), as_object(expected).alias("b")), covered),
-            bind(F.struct(numbers[0].alias("x"), numbers[1].alias("y")), near),
-        )
-    )
+def same_result(actual: Column, expected: Column) -> Column:
+    """Result comparison: equal, or all expected keys present at any depth (values only matter when objects), or numbers within 1 %. Both VARIANT."""
+    return same_result_text(for_python(actual), for_python(expected))
 
 
 # --- judge output ----------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ PLAIN_FRACTION = r"(-?\d+/\d+)"
 PLAIN_NUMBER = r"(-?\d+\.?\d*)"
 # Value after '=', and an arithmetic token.
 EQUATION = r"(?dU)=\s*([^=\n]+?)(?:\s|$|,|\.)"
-ARITHMETIC = r"(?dU)(?:^|\s)([+-]?(?:\d+\.?\d*|\d*\.?\d+)(?:[eE][+-]?\d+)?(?:/\d+)?(?:\s*[*+\-/^]\s*[\w\d.()]+)*)"
+ARITHMETIC = r"(?dU)(?:^|\s)([+-]?(?:\d+\.?\d*|\d*\.?\d+)(?:[eE][+-]?\d+)?(?:/\d+)?(?:\s*+[*+\-/^]\s*+[\w\d.()]++)*+)"
 
 
 def _last(text: Column, pattern: str) -> Column:

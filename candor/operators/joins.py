@@ -111,7 +111,8 @@ def retry_pairs(df: DataFrame) -> DataFrame:
         "query_id", F.col("verification_retry_of_candidate_idx").alias("candidate_idx"), F.col("candidate_idx").alias("retry_idx"),
         F.col("verification_is_verified").alias("retry_verified"), F.col("verification_score").alias("retry_score"),
     )
-    originals = df.where(~F.col("verification_is_retry")).select(
+    # Older files have no flag: their rows are originals.
+    originals = df.where(~F.coalesce("verification_is_retry", F.lit(False))).select(
         "query_id", "candidate_idx", F.col("verification_is_verified").alias("original_verified"),
         F.col("verification_score").alias("original_score"), "refusal_type",
     )

@@ -7,33 +7,20 @@ from pyspark.sql import functions as F
 
 from candor.session import scratch_root
 
-# A window sorts one group in one task, so it is used up to this group size only.
-GROUP_LIMIT = 2_000_000
-# Largest rank taken by a ranking window. Spark trims each partition to that many rows per group before
-# the shuffle, so the one task of a hot group gets this many rows per partition at most.
-RANK_PUSHDOWN_LIMIT = 100
-
 _ROW_BITS = 33
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the biggest group: a partial aggregate that only reads the key columns."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def number_rows(
-    df: DataFrame, keys: list[str], order: list[str], name: str, start: int | Column = 0, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str, start: int | Column = 0, spread: bool = False) -> DataFrame:
     """Adds `name`: start, start+1, ... within each group of `keys`, in `order` (which must be total).
 
-    The biggest group is measured first. Groups a task can sort use a window; otherwise rows are
-    range-partitioned over keys and order, so that a hot group spreads over many tasks.
+    The plan depends on what the groups are, never on their size. The candidates of one query are a group for a window. With `spread`, for groups
+    such as splits that can hold a third of the table, rows are range-partitioned over keys and order, so that each group lies in many tasks.
     """
     start = start if isinstance(start, Column) else F.lit(start)
-    if largest_group(df, keys) <= group_limit:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(window) - 1 + start).cast("int"))
-    return _number_spread(df, keys, order, name, start)
+    if spread:
+        return _number_spread(df, keys, order, name, start)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, (F.row_number().over(window).cast("long") - 1 + start).cast("int"))
 
 
 def _number_spread(df: DataFrame, keys: list[str], order: list[str], name: str, start: Column) -> DataFrame:
@@ -61,25 +48,20 @@ def _number_spread(df: DataFrame, keys: list[str], order: list[str], name: str,
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).cast("string").eqNullSafe(F.col(f"_key_{key}"))
-    numbered = located.join(firsts, same).withColumn(name, (F.col("_pos") - F.col("_first") + start).cast("int"))
+    numbered = located.join(firsts, same).withColumn(name, F.col("_pos") - F.col("_first") + start)
     return numbered.drop("_at", "_part", "_offset", "_pos", "_first", *[f"_key_{k}" for k in keys])
 
 
 def first_per_group(df: DataFrame, keys: list[str], order: list[str], count: int) -> DataFrame:
-    """The first `count` rows of each group. Small counts are trimmed per partition before the shuffle."""
-    if count <= RANK_PUSHDOWN_LIMIT:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= count).drop("_rank")
-    return number_rows(df, keys, order, "_rank", 1).where(F.col("_rank") <= count).drop("_rank")
+    """The first `count` rows of each group. Spark trims each partition to that many rows per group before the shuffle."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= count).drop("_rank")
 
 
 def slice_per_group(df: DataFrame, keys: list[str], order: list[str], offset: int, limit: int | None) -> DataFrame:
     """Skips `offset` rows of each group, then takes `limit` (all the rest when None)."""
     if limit is None:
-        return number_rows(df, keys, order, "_rank", 1).where(F.col("_rank") > offset).drop("_rank")
-    if offset + limit <= RANK_PUSHDOWN_LIMIT:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        ranked = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= offset + limit)
-    else:
-        ranked = number_rows(df, keys, order, "_rank", 1).where(F.col("_rank") <= offset + limit)
+        return number_rows(df, keys, order, "_rank", 1, spread=True).where(F.col("_rank") > offset).drop("_rank")
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= offset + limit)
     return ranked.where(F.col("_rank") > offset).drop("_rank")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candor.functions.jsontext import parse
 from candor.functions.messages import MESSAGES, message, to_json_text
 from candor.functions.quality import SHORT_ANSWER
 from candor.functions.text import blank_to_null, non_empty, strip
@@ -18,16 +19,22 @@ from candor.schema import first_present, optional, stored_question
 RETRY_REASON = "capability_refusal_dynamic_mock"
 
 
+def _query_keys(df: DataFrame) -> list[Column]:
+    """What tells queries apart: the query_id, or question and split where that is missing."""
+    identifier = blank_to_null(optional(df, "query_id"))
+    split = F.coalesce(optional(df, "split"), F.lit("unknown"))
+    return [
+        identifier.alias("query_id"), F.when(identifier.isNull(), stored_question(df)).alias("_question"), F.when(identifier.isNull(), split).alias("_split"),
+    ]
+
+
 def unique_queries(df: DataFrame, order: list[str]) -> DataFrame:
     """The first row, in `order`, of each query: by query_id, or by question and split where that is missing.
 
     An aggregate with map-side combine, not a window: a query that fills a third of the table costs no
     task more than one row per input partition.
     """
-    identifier = blank_to_null(optional(df, "query_id"))
     split = F.coalesce(optional(df, "split"), F.lit("unknown"))
-    question_key = F.when(identifier.isNull(), stored_question(df))
-    split_key = F.when(identifier.isNull(), split)
     sources = [c for c in ("input_messages", "question", "input") if c in df.columns]
     truth = first_present(df, "ground_truth_answer", "ground_truth", "expected_answer")
     metadata = first_present(df, "source_metadata", "metadata")
@@ -35,11 +42,11 @@ def unique_queries(df: DataFrame, order: list[str]) -> DataFrame:
         *sources, (F.lit("") if truth is None else truth).alias("ground_truth"), split.alias("split"),
         (F.lit("{}") if metadata is None else metadata).alias("metadata"), F.struct(*order).alias("first_row"),
     )
-    first = df.groupBy(identifier.alias("query_id"), question_key.alias("_question"), split_key.alias("_split")).agg(
+    first = df.groupBy(*_query_keys(df)).agg(
         F.min_by(row, F.struct(*order)).alias("_row")
     )
     opened = first.select("query_id", "_row.*")
-    readable = F.when(F.try_parse_json(F.col("metadata")).isNotNull(), F.col("metadata")).otherwise(F.lit("{}"))
+    readable = F.when(parse(F.col("metadata")).isNotNull(), F.col("metadata")).otherwise(F.lit("{}"))
     return opened.select("query_id", stored_question(opened).alias("question"), "ground_truth", "split", readable.alias("metadata"), "first_row")
 
 
@@ -48,12 +55,11 @@ def plan_regeneration(df: DataFrame, order: list[str], split: str | None = None,
     return unique_queries(filter_rows(df, split, failed_only), order)
 
 
-def dry_run(df: DataFrame, order: list[str], split: str | None = None, failed_only: bool = False) -> DataFrame:
+def dry_run(df: DataFrame, split: str | None = None, failed_only: bool = False) -> DataFrame:
     """Rows and unique queries a run would touch."""
-    rows = filter_rows(df, split, failed_only).agg(F.count("*").alias("rows"))
-    queries = plan_regeneration(df, order, split, failed_only).agg(F.count("*").alias("queries"))
-    # Two one-row tables side by side.
-    return rows.withColumn("_one", F.lit(1)).join(queries.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    chosen = filter_rows(df, split, failed_only)
+    per_query = chosen.groupBy(*_query_keys(chosen)).agg(F.count("*").alias("rows"))
+    return per_query.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count("*").alias("queries"))
 
 
 def preview(queries: DataFrame, count: int = 5, width: int = 60) -> DataFrame:

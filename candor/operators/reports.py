@@ -102,11 +102,18 @@ def refusal_types(df: DataFrame) -> DataFrame:
 
 
 def length_summary(df: DataFrame) -> DataFrame:
-    """Exact medians: lengths are bounded by truncation, so a percentile holds few distinct values."""
-    return df.agg(
-        F.median("quality_answer_length").alias("answer_median"), F.avg("quality_answer_length").alias("answer_mean"),
-        F.median("quality_reasoning_length").alias("reasoning_median"), F.avg("quality_reasoning_length").alias("reasoning_mean"),
-    )
+    """Exact medians and means, from the counts of each length."""
+    names = {"quality_answer_length": "answer", "quality_reasoning_length": "reasoning"}
+    counts = value_counts(df, list(names))
+
+    def only(column: str, value: Column) -> Column:
+        return F.when(F.col("column") == column, value)
+
+    columns = []
+    for column, name in names.items():
+        value, n = only(column, F.col("value")), only(column, F.col("n"))
+        columns += [F.percentile(value, F.lit(0.5), F.coalesce(n, F.lit(0))).alias(f"{name}_median"), (F.sum(value * n) / F.sum(n)).alias(f"{name}_mean")]
+    return counts.agg(*columns)
 
 
 def quality_rates(df: DataFrame) -> DataFrame:
@@ -138,21 +145,24 @@ def first_model(df: DataFrame, order: list[str]) -> DataFrame:
     return df.agg(F.min_by("model", first).alias("model"), F.min_by("temperature", first).alias("temperature"))
 
 
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`column`, `value`, `n`: how often each value of each numeric column occurs. NULLs are left out."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    return df.select(F.inline(cells)).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 def numeric_describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column, one row per column, one pass.
+    """count, mean, stddev, min, quartiles and max per column, one row per column that has a value.
 
-    Quartiles are exact and keep one counter per distinct value, which suits the quality columns: lengths
-    bounded by truncation, flags and completeness steps. Do not use it on free real numbers.
+    Equal values are counted before the quartiles are taken, so the counts are spread over the tasks and what meets in the end is one row per distinct value.
     """
-    statistics = {
-        "count": lambda c: F.count(c).cast("double"), "mean": F.avg, "std": F.stddev_samp, "min": F.min,
-        "p25": lambda c: F.percentile(c, 0.25), "p50": lambda c: F.percentile(c, 0.5), "p75": lambda c: F.percentile(c, 0.75),
-        "max": F.max,
-    }
-    packed = [F.struct(*[f(F.col(c).cast("double")).alias(s) for s, f in statistics.items()]).alias(c) for c in columns]
-    one = df.agg(*packed)
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(c)[s].alias(s) for s in statistics]) for c in columns])
-    return one.select(F.inline(rows))
+    n, v = F.col("n"), F.col("value")
+    total, mean = F.sum("n"), F.sum(v * n) / F.sum("n")
+    quartiles = [F.percentile("value", F.lit(p), F.col("n")).alias(name) for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    spread = (F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / total) / F.nullif(total - 1, F.lit(0))
+    return value_counts(df, columns).groupBy("column").agg(
+        total.cast("double").alias("count"), mean.alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("std"), F.min("value").alias("min"), *quartiles, F.max("value").alias("max")
+    )
 
 
 def run_statistics(df: DataFrame, run: str = "run_id") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from candor.config import DEFAULTS, Thresholds
 from candor.functions import jsontext as J
 from candor.functions.code import code_in, code_or_text, javascript_syntax, language_of, python_syntax_of
+from candor.functions.jsondeep import conforms_text
 from candor.functions.numbers import is_close, normalized_expression, number_in, same_quantity
 from candor.functions.text import bind, non_empty, strip
 from candor.operators.selection import scorer_for
@@ -38,7 +39,8 @@ def failure(name: str, explanation: str, method: str) -> Column:
 def math_score(answer: Column, truth: Column, limits: Thresholds = DEFAULTS) -> Column:
     """Equal expressions 1.0, equal quantities with units 1.0, equal numbers 0.9, else 0."""
     name = "math"
-    short = [F.when(F.length(t) <= limits.max_expression_size, t) for t in (answer, truth)]
+    cap = limits.max_expression_size
+    short = [t if cap is None else F.when(F.length(t) <= cap, t) for t in (answer, truth)]
     tolerance = limits.numeric_tolerance
 
     def numeric(numbers: Column) -> Column:
@@ -78,7 +80,7 @@ def output_score(ran: Column, stdout: Column, truth: Column) -> Column:
 
     def compared(texts: Column) -> Column:
         actual, expected = texts["actual"], texts["expected"]
-        close = F.abs(expected.try_cast("double") - actual.try_cast("double")) < 1e-6
+        close = F.abs(J.number_of(expected) - J.number_of(actual)) < 1e-6
         return (
             F.when(actual == expected, score(name, True, 1.0, "Output matches", "output_exact"))
             .when(F.contains(actual, expected), score(name, True, 0.85, "Output contains the truth", "output_substring"))
@@ -137,67 +139,27 @@ def parameter_types(call: Column) -> Column:
     return bind(bind(J.tool_arguments(call), parts), judged)
 
 
-def _type_matches(actual: Column, wanted: Column) -> Column:
-    return (actual == wanted) | ((wanted == "number") & (actual == "integer"))
-
-
-def conforms(value: Column, schema: Column, depth: int = 3) -> Column:
-    """The set-checkable part of a JSON Schema: type, enum, required, properties, additionalProperties."""
-
-    def checked(parts: Column) -> Column:
-        rules, fields, actual, whole = parts["rules"], parts["fields"], parts["actual"], parts["whole"]
-        properties = J.as_object(J.field(rules, "properties"))
-        one_type = bind(J.text_of(J.field(rules, "type")), lambda t: _type_matches(actual, t))
-        any_type = F.exists(J.as_items(J.field(rules, "type")), lambda w: bind(J.text_of(w), lambda t: _type_matches(actual, t)))
-        choices = F.exists(J.as_items(J.field(rules, "enum")), lambda c: J.canonical(c) == whole)
-        required = F.transform(J.as_items(J.field(rules, "required")), J.text_of)
-        missing = F.size(F.array_except(required, F.map_keys(fields)))
-        open_ended = F.coalesce(J.canonical(J.field(rules, "additionalProperties")) != "false", F.lit(True))
-        known = F.coalesce(F.map_keys(properties), F.array().cast("array<string>"))
-        extras = F.size(F.array_except(F.map_keys(fields), known))
-        tests = [F.coalesce(one_type, any_type), choices, missing == 0, open_ended | F.coalesce(extras == 0, F.lit(True))]
-        if depth > 1:
-
-            def member_ok(member: Column) -> Column:
-                inner = bind(F.try_element_at(fields, member["key"]), lambda v: conforms(v, member["value"], depth - 1))
-                return F.when(F.map_contains_key(fields, member["key"]), inner).otherwise(F.lit(True))
-
-            tests.append(F.forall(F.map_entries(properties), member_ok))
-        result = F.lit(True)
-        for test in tests:
-            result = result & F.coalesce(test, F.lit(True))
-        return result
-
-    parts = F.struct(
-        J.as_object(schema).alias("rules"), J.as_object(value).alias("fields"), J.kind(value).alias("actual"), J.canonical(value).alias("whole")
-    )
-    return bind(parts, checked)
+def conforms(value: Column, schema: Column) -> Column:
+    """The set-checkable part of a JSON Schema, at any depth: type, enum, required, properties, additionalProperties, items. Both VARIANT."""
+    return conforms_text(J.for_python(value), J.for_python(schema))
 
 
 def truth_comparison(data: Column, truth: Column) -> Column:
-    """VARIANT against a truth text: equal 1.0, truth contained 0.9, loosely contained 0.85, else 0."""
+    """VARIANT against the VARIANT of a truth text (NULL: not JSON): equal 1.0, truth contained 0.9, loosely contained 0.85, else 0."""
     name = "tool"
-
-    def compared(maps: Column) -> Column:
-        a, b = maps["a"], maps["b"]
-        return (
-            F.when(a.isNull() | b.isNull(), failure(name, "Differs from the truth", "ground_truth"))
-            .when(J.covers_exactly(a, b), score(name, True, 0.9, "Contains the truth", "ground_truth_lenient"))
-            .when(
-                J.covers_fuzzily(a, b),
-                score(name, True, F.when(F.size(b) == 0, 1.0).otherwise(0.85), "Loosely contains the truth", "ground_truth_fuzzy"),
-            )
-            .otherwise(failure(name, "Differs from the truth", "ground_truth"))
-        )
-
-    def against(expected: Column) -> Column:
-        return (
-            F.when(expected.isNull(), failure(name, "Ground truth is not valid JSON", "bad_truth"))
-            .when(J.canonical(data) == J.canonical(expected), score(name, True, 1.0, "Equal to the truth", "ground_truth_exact"))
-            .otherwise(bind(F.struct(J.as_object(data).alias("a"), J.as_object(expected).alias("b")), compared))
-        )
-
-    return bind(J.parse(truth), against)
+    a, b = J.as_object(data), J.as_object(truth)
+    # The loose comparison looks at what the cheaper ones leave open.
+    equal = J.canonical(data) == J.canonical(truth)
+    contained = J.covers_exactly(a, b)
+    left = ~F.coalesce(equal, F.lit(False)) & ~F.coalesce(contained, F.lit(False))
+    loose = J.covers_fuzzily(F.when(left, data), F.when(left, truth))
+    return (
+        F.when(truth.isNull(), failure(name, "Ground truth is not valid JSON", "bad_truth"))
+        .when(equal, score(name, True, 1.0, "Equal to the truth", "ground_truth_exact"))
+        .when(contained, score(name, True, 0.9, "Contains the truth", "ground_truth_lenient"))
+        .when(loose, score(name, True, 0.85, "Loosely contains the truth", "ground_truth_fuzzy"))
+        .otherwise(failure(name, "Differs from the truth", "ground_truth"))
+    )
 
 
 def call_in(answer: Column) -> Column:
@@ -233,8 +195,10 @@ def tool_scores(
     """
     verifier = "tool"
     text = F.col(answer) if only is None else F.when(only, F.col(answer))
-    usable = F.when(F.length(text) <= limits.max_json_size, text)
+    usable = text if limits.max_json_size is None else F.when(F.length(text) <= limits.max_json_size, text)
     parsed = df.withColumn("_call", F.when(usable.isNotNull(), call_in(usable))).withColumn("_fields", J.as_object(F.col("_call")))
+    if truth:
+        parsed = parsed.withColumn("_truth", F.when(F.col("_call").isNotNull(), J.parse(F.col(truth))))
     call, fields = F.col("_call"), F.col("_fields")
     result = (
         F.when(~non_empty(text), failure(verifier, "No answer text", "missing_answer"))
@@ -243,7 +207,7 @@ def tool_scores(
     )
     if limits.schema_validation == "none":
         result = result.otherwise(score(verifier, True, 0.5, "Valid JSON", "syntax_only"))
-        return parsed.withColumn(name, result).drop("_call", "_fields")
+        return parsed.withColumn(name, result).drop("_call", "_fields", "_truth")
     if schema:
         result = result.when(F.col(schema).isNotNull() & ~conforms(call, F.col(schema)), failure(verifier, "Schema violated", "schema"))
     if catalog and limits.validate_tool_exists:
@@ -255,10 +219,10 @@ def tool_scores(
     if limits.validate_parameter_types:
         result = result.when(~parameter_types(fields)["ok"], failure(verifier, "Parameters must be an object", "parameter_types"))
     if truth:
-        result = result.when(non_empty(F.col(truth)), truth_comparison(call, F.col(truth)))
+        result = result.when(non_empty(F.col(truth)), truth_comparison(call, F.col("_truth")))
     result = result.otherwise(score(verifier, True, 0.95, "Valid tool call", "full_validation"))
     result = result if only is None else F.when(only, result)
-    return parsed.withColumn(name, result).drop("_call", "_fields")
+    return parsed.withColumn(name, result).drop("_call", "_fields", "_truth")
 
 
 # --- syntax audit ----------------------------------------------------------------------------------

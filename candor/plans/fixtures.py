@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candor.functions.messages import MESSAGES
-from candor.sources.candidates import spread_small
 
 NL, BS, DQ, SQ = "chr(10)", "chr(92)", "chr(34)", "chr(39)"
 Q = "CAST(CAST(l_quantity AS INT) AS STRING)"
@@ -232,14 +231,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def derived(spark: SparkSession, folder: str, name: str, expressions: dict[str, str]) -> DataFrame:
-    return spread_small(table(spark, folder, name)).selectExpr(*[f"{e} AS {n}" for n, e in expressions.items()])
+    return table(spark, folder, name).selectExpr(*[f"{e} AS {n}" for n, e in expressions.items()])
 
 
-def candidates(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
-    """All candidates. Scan-bound reports pass spread=False: they gain nothing from dealing rows out."""
-    lines = table(spark, folder, "lineitem")
-    lines = spread_small(lines) if spread else lines
-    return lines.selectExpr(*[f"{e} AS {n}" for n, e in CANDIDATES.items()])
+def candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """All candidates."""
+    return table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in CANDIDATES.items()])
 
 
 def prompts(spark: SparkSession, folder: str) -> DataFrame:

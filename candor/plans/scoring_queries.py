@@ -15,7 +15,6 @@ from candor.operators import scoring as S
 from candor.operators.joins import refusal_key, verdict_key
 from candor.plans.fixtures import CAND_CTE, CANDIDATES, DQ, NL, Q, SQ, candidates, case, derived, select_sql, table, text
 from candor.plans.registry import query
-from candor.sources.candidates import spread_small
 from candor.plans.text_queries import CODE_IN, CODE_OR_TEXT, EXPRESSION, JSON_TEXT, KEY, LANGUAGE, NUMBER, boxed_sql, strip_sql
 
 W = f"WITH {CAND_CTE} "
@@ -206,7 +205,8 @@ def v08(spark: SparkSession, folder: str) -> DataFrame:
 )
 def v09(spark: SparkSession, folder: str) -> DataFrame:
     rows = candidates(spark, folder).where((F.col("split") == "tool_calling") & F.col("ground_truth").isNotNull()).withColumn("call", S.call_in(F.col("answer")))
-    scored = rows.where(F.col("call").isNotNull()).withColumn("s", S.truth_comparison(F.col("call"), F.col("ground_truth")))
+    rows = rows.where(F.col("call").isNotNull()).withColumn("truth", J.parse(F.col("ground_truth")))
+    scored = rows.withColumn("s", S.truth_comparison(F.col("call"), F.col("truth")))
     return opened(scored, "s", "method", "confidence")
 
 
@@ -246,7 +246,7 @@ def documents_with_sentence(spark: SparkSession, folder: str) -> DataFrame:
     sentence = F.lit(SENTENCES[-1])
     for i in range(len(SENTENCES) - 1):
         sentence = F.when(F.col("doc_id") % 9 == i, F.lit(SENTENCES[i])).otherwise(sentence)
-    return spread_small(table(spark, folder, "documents")).select("doc_id", "source", F.concat_ws("\n", "text", sentence).alias("response"))
+    return table(spark, folder, "documents").select("doc_id", "source", F.concat_ws("\n", "text", sentence).alias("response"))
 
 
 REPLIES = f"SELECT doc_id, source, text || chr(10) || {SENTENCE} AS response FROM documents"

@@ -286,7 +286,7 @@ def v19(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("a26_dry_run", W + f"SELECT count(*) AS rows, count(DISTINCT query_id) AS queries FROM cand WHERE split = 'code' AND NOT {V}")
 def a26(spark: SparkSession, folder: str) -> DataFrame:
-    return G.dry_run(candidates(spark, folder).drop("question", "ground_truth"), ["arrival"], "code", True)
+    return G.dry_run(candidates(spark, folder).drop("question", "ground_truth"), "code", True)
 
 
 @query("k05_preview", W + f"SELECT query_id, split, substr(question, 1, 60) AS question FROM ({FIRST_ROWS.format('')}) ORDER BY arrival, query_id LIMIT 5")
@@ -314,8 +314,8 @@ def w03(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("w03_candidate_index_spread", NUMBERED)
 def w03_spread(spark: SparkSession, folder: str) -> DataFrame:
-    """The same numbering by the plan used when one group is too big for a task."""
-    return number_rows(candidates(spark, folder).select(*KEY), ["query_id"], ["arrival"], "enumerated", group_limit=0)
+    """The same numbering by the plan for groups that can be too big for a task."""
+    return number_rows(candidates(spark, folder).select(*KEY), ["query_id"], ["arrival"], "enumerated", spread=True)
 
 
 RETRIED = f"""SELECT query_id, CAST(m + row_number() OVER (PARTITION BY query_id ORDER BY candidate_idx, answer) AS INT) AS candidate_idx, candidate_idx AS retry_of, answer, length(answer) AS answer_length, {V} AS verified
@@ -376,7 +376,7 @@ def split_counts(df: DataFrame) -> DataFrame:
     "SELECT 'lineitem.parquet' AS source_file, count(*) AS rows, count(l_orderkey) AS lines, 0 AS orders FROM lineitem UNION ALL SELECT 'orders.parquet', count(*), 0, count(o_orderkey) FROM orders",
 )
 def s01(spark: SparkSession, folder: str) -> DataFrame:
-    both = C.load_candidates(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet")
+    both = C.load_candidates(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet", merge_schema=True)
     return both.groupBy("source_file").agg(F.count("*").alias("rows"), F.count("l_orderkey").alias("lines"), F.count("o_orderkey").alias("orders"))
 
 
@@ -423,17 +423,6 @@ def s06(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(chosen, "avg_verification_rate", "avg_refusal_rate", "avg_persona_score")
 
 
-@query("s07_footer_values")
-def s07(spark: SparkSession, folder: str) -> DataFrame:
-    """Key-values in the footers of all given files. SQL has no access to footers of unnamed files."""
-    names = ["lineitem", "orders", "documents", "conversations"]
-    files = table(spark, folder, names[0]).select(F.col("_metadata.file_path").alias("path")).distinct()
-    for name in names[1:]:
-        files = files.unionByName(table(spark, folder, name).select(F.col("_metadata.file_path").alias("path")).distinct())
-    values = U.footer_values(files)
-    return values.select(F.element_at(F.split("path", "/"), -1).alias("file"), "key", F.length("value").alias("characters"))
-
-
 @query("s10_write_version", SPLIT_COUNTS)
 def s10(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_path(spark, "versions")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,6 +19,11 @@ def local_session(cpus: int = 8, app: str = "candor") -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CANDOR_DRIVER_MEMORY", "6g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Of keys that repeat in a JSON object the last one counts, as for most readers.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
+        # Splits of about one row group, so that small files still use all cores.
+        .config("spark.sql.files.maxPartitionBytes", "1m")
         # Recording the Python call site of every expression costs seconds on plans this wide.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -31,7 +35,7 @@ def local_session(cpus: int = 8, app: str = "candor") -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    A local session that names none, as in tests, uses a folder in its warehouse.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -41,7 +45,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="candor-"))
+    context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
     return context.getCheckpointDir()
 
 

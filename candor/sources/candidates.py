@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,25 +14,15 @@ from candor.operators.selection import dataset_version, filter_quality
 from candor.schema import normalize_schema
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deals rows out to all cores when the scan itself has fewer partitions than the session has cores.
-
-    A small file is often one row group, which one task reads; per-row scoring would then use one core.
-    Inputs with enough partitions, and so all big ones, pass unchanged: no shuffle is added to them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def load_candidates(spark: SparkSession, *paths: str) -> DataFrame:
-    """One or several candidate files or globs, with the file each row came from."""
-    df = spark.read.option("mergeSchema", "true").parquet(*paths)
+def load_candidates(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
+    """One or several candidate files or globs, with the file each row came from. Merging schemas reads the footer of every file."""
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
     return df.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
 def load_normalized(spark: SparkSession, *paths: str) -> DataFrame:
-    """Candidate files of any accepted layout in the flat layout."""
-    return normalize_schema(spark.read.parquet(*paths))
+    """Candidate files in the flat layout. Each path may have a layout of its own, so each is normalized before they are put together."""
+    return reduce(DataFrame.unionByName, [normalize_schema(spark.read.parquet(path)) for path in paths])
 
 
 def write_prompts(df: DataFrame, path: str) -> None:

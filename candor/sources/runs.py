@@ -1,10 +1,7 @@
-"""The table of runs, and the key-values of foreign Parquet footers."""
+"""The table of runs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,20 +29,3 @@ def append_runs(runs: DataFrame, path: str) -> None:
 def load_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
-
-def footer_values(files: DataFrame) -> DataFrame:
-    """File paths (column `path`) -> their footer key-values; only footers are read, in parallel."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs as fs
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
-                footer = pq.read_metadata(inner, filesystem=system).metadata or {}
-                rows += [(path, k.decode(), v.decode("utf-8", "replace")) for k, v in footer.items()]
-            yield pd.DataFrame(rows, columns=["path", "key", "value"])
-
-    return files.select("path").mapInPandas(read, "path string, key string, value string")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,18 +49,36 @@ def guard(batch: DataFrame, failed: Column, max_rate: float = DEFAULTS.max_failu
 
 def score_landed(
     stream: DataFrame, score: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
-    failed: Column | None = None, max_rate: float = DEFAULTS.max_failure_rate,
+    failed: Column | None = None, max_rate: float = DEFAULTS.max_failure_rate, keys: list[str] | None = None,
 ) -> StreamingQuery:
     """Scores all files that have landed and stops. A second run only sees files that came since.
 
-    Each batch owns one folder that a repeated attempt overwrites, so a lost driver or executor never
-    leaves rows twice.
+    Each batch of each stream owns one folder that a repeated attempt overwrites, so a lost driver or executor never leaves rows twice, and a stream that
+    starts anew on the same sink does not overwrite what others wrote. With `keys`, a key that landed more than once, in one batch or in two, is scored once:
+    batches drop keys that the other folders of the sink hold.
     """
+    root = sink.rstrip("/")
+    owner = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if failed is not None:
             guard(batch, failed, max_rate)
-        score(batch).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
+        scored = score(batch)
+        if keys:
+            scored = without_duplicates(scored, keys)
+            done = _written(batch.sparkSession, root)
+            if done is not None:
+                others = done.where((F.col("stream") != owner) | (F.col("batch") != batch_id)).select(*keys).distinct()
+                scored = scored.join(others, keys, "left_anti")
+        scored.write.mode("overwrite").parquet(f"{root}/stream={owner}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
+
+
+def _written(spark: SparkSession, root: str) -> DataFrame | None:
+    """What the sink holds so far; None before the first batch."""
+    try:
+        return spark.read.option("basePath", root).parquet(root)
+    except AnalysisException:
+        return None

@@ -61,10 +61,12 @@ def score_all(spark, pairs, use):
 
 
 def test_math(spark):
-    pairs = [("\\boxed{1/2}", "0.5"), ("3*pi", "3*pi"), ("1000 meters", "1 km"), ("x = 5", "5"), ("7", "8"), ("text", "3"), ("", "3"), ("3", None), ("1" * 10001, "1"), ("1e999", "2e999")]
+    pairs = [("\\boxed{1/2}", "0.5"), ("3*pi", "3*pi"), ("1000 meters", "1 km"), ("x = 5", "5"), ("7", "8"), ("text", "3"), ("", "3"), ("3", None), ("1" * 10001, "1" * 10001), ("1e999", "2e999")]
     got = score_all(spark, pairs, S.math_score)
-    assert [s["confidence"] for s in got] == [0.9, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0]
-    assert got[8]["method"] == "too_large" and got[7]["method"] == "missing_truth"
+    assert [s["confidence"] for s in got] == [0.9, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 1.0]
+    assert got[7]["method"] == "missing_truth"
+    capped = score_all(spark, pairs, lambda a, t: S.math_score(a, t, Thresholds(max_expression_size=10_000)))
+    assert capped[8]["method"] == "too_large"
 
 
 def test_code_output(spark):
@@ -110,6 +112,25 @@ def test_conforms_types(spark):
     assert [r["c"] for r in got] == [c for _, _, c in cases]
 
 
+@pytest.mark.parametrize("depth", range(1, 9))
+def test_conforms_at_any_depth(spark, depth):
+    value, schema = '5', '{"type": "object"}'
+    wrong, right = value, '{"x": [1, 2]}'
+    good = '{"type": "object", "properties": {"x": {"type": "array", "items": {"type": "integer"}}}}'
+    for _ in range(depth):
+        wrong, right = f'{{"a": {wrong}}}', f'{{"a": {right}}}'
+        schema, good = f'{{"properties": {{"a": {schema}}}}}', f'{{"properties": {{"a": {good}}}}}'
+    rows = spark.createDataFrame([(0, wrong, schema), (1, right, good), (2, right.replace("2", '"2"'), good)], "i int, v string, s string")
+    got = rows.select("i", S.conforms(F.parse_json("v"), F.parse_json("s")).alias("c")).orderBy("i").collect()
+    assert [r["c"] for r in got] == [False, True, False]
+
+
+def test_capital_dotted_i_is_found(spark):
+    rows = spark.createDataFrame([("İ cannot help with that",), ("I CANNOT help",), ("nothing",)], "t string")
+    got = rows.select(F.size(P.matched_patterns(F.col("t"), P.folded(F.col("t")))).alias("n")).collect()
+    assert [r["n"] > 0 for r in got] == [True, True, False]
+
+
 def candidate_rows(spark, rows):
     kind = "query_id string, candidate_idx int, split string, question string, answer string, analysis string, ground_truth string, raw_text string"
     return spark.createDataFrame(rows, kind)

@@ -124,10 +124,10 @@ def skewed(spark):
     return rows.withColumn("o", F.abs(F.hash("id")).cast("string"))
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_numbering_matches_plain_python(spark, limit):
+@pytest.mark.parametrize("spread", [True, False])
+def test_numbering_matches_plain_python(spark, spread):
     rows = skewed(spark)
-    got = number_rows(rows, ["k"], ["o", "id"], "n", 5, group_limit=limit).collect()
+    got = number_rows(rows, ["k"], ["o", "id"], "n", 5, spread=spread).collect()
     groups = {}
     for row in sorted(got, key=lambda r: (r["o"], r["id"])):
         groups.setdefault(row["k"], []).append(row["n"])
@@ -283,18 +283,6 @@ def test_guard(spark):
 # --- files and streams ---
 
 
-def test_footers(spark):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-
-    path = scratch_path(spark, "footer") + ".parquet"
-    local = path.removeprefix("file:")
-    meta = pa.table({"a": [1]}).replace_schema_metadata({"model": "m1", "notes": "été"})
-    pq.write_table(meta, local)
-    got = values(U.footer_values(table(spark, "path string", [(local,)])).where("key in ('model', 'notes')"), "key", "value")
-    assert got == [("model", "m1"), ("notes", "été")]
-
-
 def test_writers_never_overwrite(spark):
     rows = table(spark, "split string, x int", [("a", 1), ("b", 2)])
     path = scratch_path(spark, "once")
@@ -332,10 +320,43 @@ def test_stream_resumes_and_equals_one_batch(spark):
     rows.where(F.col("query_id").cast("int") >= 10).coalesce(1).write.mode("append").parquet(landing)
     run()
     run()
-    whole = spark.read.parquet(sink).drop("batch")
+    whole = spark.read.parquet(sink).drop("batch", "stream")
     assert whole.exceptAll(score(rows)).count() == 0 and whole.count() == 30
 
 
+def test_stream_scores_a_key_once_and_new_streams_keep_old_rows(spark):
+    landing, sink = (scratch_path(spark, n) for n in ("landing", "sink"))
+    rows = table(spark, "query_id string, candidate_idx int", [("a", 0), ("b", 0)])
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    for _ in range(2):
+        # The second one starts anew on the same sink.
+        T.score_landed(T.landed(spark, landing, rows.schema, files_per_batch=1), lambda df: df, sink, scratch_path(spark, "progress"), keys=T.KEYS).awaitTermination()
+    assert values(spark.read.parquet(sink), "query_id", "candidate_idx") == [("a", 0), ("b", 0)]
+
+
+def test_two_layouts_together(spark):
+    old, new = (scratch_path(spark, n) for n in ("old", "new"))
+    table(spark, "query_id string, candidate_index int, is_correct boolean, question string", [("a", 1, True, "q")]).write.parquet(old)
+    table(spark, "query_id string, candidate_idx int, verification_is_verified boolean", [("b", 2, False)]).write.parquet(new)
+    for paths in ((old, new), (new, old)):
+        assert values(C.load_normalized(spark, *paths), "query_id", "candidate_idx", "verification_is_verified") == [("a", 1, True), ("b", 2, False)]
+
+
+def test_retry_of_rows_without_flag(spark):
+    rows = table(spark, "query_id string, candidate_idx int, verification_is_retry boolean, verification_retry_of_candidate_idx int, verification_is_verified boolean, verification_score double, refusal_type string",
+                 [("q", 0, None, None, False, 0.1, None), ("q", 3, True, 0, True, 0.9, None)])
+    assert values(J.retry_pairs(rows), "candidate_idx", "retry_idx") == [(0, 3)]
+
+
+def test_describe_counts_equal_values_first(spark):
+    rows = table(spark, "a int, b double", [(1, None), (1, None), (4, 2.0), (None, 2.0)])
+    got = {r["column"]: (r["count"], r["mean"], r["min"], r["p25"], r["p50"], r["max"]) for r in R.numeric_describe(rows, ["a", "b"]).collect()}
+    assert got == {"a": (3.0, 2.0, 1.0, 1.0, 1.0, 4.0), "b": (2.0, 2.0, 2.0, 2.0, 2.0, 2.0)}
+    one = R.length_summary(table(spark, "quality_answer_length int, quality_reasoning_length int", [(1, None), (2, None), (9, 4)])).first()
+    assert tuple(one) == (2.0, 4.0, 4.0, 4.0)
+
+
 def test_stream_stops_on_failures(spark):
     landing, sink, progress = (scratch_path(spark, n) for n in ("landing", "sink", "progress"))
     rows = spark.range(10)
