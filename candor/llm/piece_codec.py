@@ -50,7 +50,7 @@ class PrefixTable:
         part = r" *[^ \n]+| +|\n" if not any("\n" in p for p in self.id) else " *[^ ]+| +"
         cut = not any(MARK in p.lstrip(MARK) for p in self.id)
         self.parts = re.compile(part if cut else r"(?s).+")
-        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts])
+        self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts], limit=150_000)
 
     def _merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging, best score first and leftmost first among equals: what stability is defined by."""
@@ -118,7 +118,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One per worker, so that later tasks find what earlier ones have stored.
         codec = kept_in_worker(model_path, lambda: PrefixTable(model_path))
-        for batch in small_batches(batches, "text", 4 << 20, model_path):
+        for batch in small_batches(batches, "text", 1 << 20, model_path):
             ids = codec.encode(batch.column("text").to_pylist())
             decoded = pa.array([codec.decode(i) for i in ids], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), decoded], ["doc_id", "ids", "decoded"])
