@@ -44,7 +44,7 @@ INDEX_SCHEMA = "part long, offset long, length long, doc_id long, n_tokens long,
 _SEGMENT = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:|\s]|$)|\s*\S+|\s+")
 _ONE_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Python counts these as white space, the tokenizers library doesn't: such a text is encoded in one go.
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 
 
 def masked(data: bytes) -> int:
@@ -108,7 +108,7 @@ class Encoder:
         known.update(zip(rest, self._encoded(self.tokenizer, rest)))
         return [known[p] for p in pieces]
 
-    def _encoded(self, tokenizer, pieces: list[str], at_once: int = 4000) -> Iterator[bytes]:
+    def _encoded(self, tokenizer, pieces: list[str], at_once: int = 2000) -> Iterator[bytes]:
         """The ids of each piece. Many pieces are one call; the bytes that the ids stand for tell where each piece ends."""
         for k in range(0, len(pieces), at_once):
             some = pieces[k : k + at_once]
@@ -120,7 +120,7 @@ class Encoder:
                 start = end
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
+        odd = {i for i, t in enumerate(texts) if any(c in t for c in _ODD)}
         joined = self.memo.joined([[] if i in odd else _SEGMENT.findall(t) for i, t in enumerate(texts)])
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if i in odd else np.frombuffer(joined[i], "<u4") for i, t in enumerate(texts)
@@ -140,7 +140,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One per worker, so that later tasks find the pieces of earlier ones.
         encoder, end = kept_in_worker(tokenizer_path, lambda: Encoder(tokenizer_path)), np.array([end_id], "<u4")
-        for batch in small_batches(batches, "text", 4 << 20, tokenizer_path):
+        for batch in small_batches(batches, "text", 2 << 20, tokenizer_path):
             ids = encoder.ids(batch.column("text").to_pylist())
             out = [frame(pack(i, np.concatenate((x, end)))) for i, x in zip(batch.column("doc_id").to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
