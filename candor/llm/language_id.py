@@ -4,6 +4,10 @@ Features are the relative frequencies of hashed byte trigrams of the whole lower
 looks each trigram up once per machine and never builds a feature vector. Training takes at most `per_language` labelled documents of each language, chosen
 by a hash of their id; only their feature vectors (16 KB each) reach the driver.
 
+Evidence. The scores of the machines compare the learned languages with each other only, so their largest is never small. Whether a text is in any of them is
+told by its fit: the mean over its trigrams of the log of their share in the language found, against an even share. A text whose fit stays below LEAST_FIT, two
+standard errors allowed, is in no learned language: `lang_pred` is still the nearest one, but its score is 0.
+
 Defined cases: NULL text, or text without a letter, is `und` with score 0. NULL languages are not learned from; with one language learned every
 text with a letter gets it, with none `und`. Rows are independent; ties go to the language that comes first in alphabetic order. Columns other than
 `doc_id`, `text` and, for training, `lang` are not read.
@@ -25,6 +29,10 @@ from candor.llm.common import held_out, small_batches
 BUCKETS = 4096
 PER_LANGUAGE = 1000
 UNKNOWN = "und"
+#: Held-out labelled documents lie above 1, sentences of languages that were not learned and random letters below 0, but for near relations (Portuguese for Spanish).
+LEAST_FIT = 0.4
+#: Part of an even distribution in the shares of a language, for trigrams that its sample lacks.
+EVEN = 0.1
 
 #: Fixed: families of language codes. A code that isn't listed is a family of its own.
 FAMILIES = {
@@ -91,6 +99,11 @@ def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int =
     return w[:-1] * scale, float(w[-1])
 
 
+def fit(logs: np.ndarray) -> float:
+    """The mean of the log shares of a text's trigrams and two standard errors: what its language can at best be taken to give."""
+    return float(logs.mean() + 2 * logs.std() / np.sqrt(len(logs))) if len(logs) else -np.inf
+
+
 @dataclass
 class Machine:
     first: str
@@ -101,11 +114,12 @@ class Machine:
 
 @dataclass
 class Model:
-    """families: the languages of each; machines decide between two families, or between two languages of one family."""
+    """families: the languages of each; machines decide between two families, or between two languages of one family. usual: per language the log shares of trigrams."""
 
     families: dict[str, list[str]]
     between: list[Machine]
     within: dict[str, list[Machine]]
+    usual: dict[str, np.ndarray]
 
     @classmethod
     def fit(cls, x: np.ndarray, langs: list[str], family: Mapping[str, str] = FAMILY) -> Model:
@@ -122,7 +136,8 @@ class Model:
         members = {f: np.isin(langs_array, codes) for f, codes in families.items()}
         between = [machine(f, g, members[f], members[g]) for f, g in combinations(families, 2)]
         within = {f: [machine(a, b, langs_array == a, langs_array == b) for a, b in combinations(codes, 2)] for f, codes in families.items()}
-        return cls(families, between, within)
+        usual = {code: np.log((1 - EVEN) * BUCKETS * x[langs_array == code].mean(axis=0, dtype=np.float64) + EVEN) for code in sorted(set(langs))}
+        return cls(families, between, within, usual)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         buckets, first, last = trigrams(texts)
@@ -152,6 +167,9 @@ class Model:
             best, inside = chosen(margins(self.within[name], self.families[name])[rows])
             langs[rows] = np.array(self.families[name], dtype=object)[best]
             score[rows] = sure[rows] * inside
+        for i, (s, e) in enumerate(zip(first, last)):
+            if fit(self.usual[langs[i]][buckets[s:e]]) < LEAST_FIT:
+                score[i] = 0
         return list(langs), score
 
 

@@ -272,6 +272,35 @@ def test_language_awkward_rows(spark, rows):
     assert language_id.predict(rows.limit(0), model).collect() == []
 
 
+OTHER = [
+    "De kleine hond loopt elke ochtend door het park en kijkt naar de vogels die in de bomen zitten. Daarna gaat hij weer naar huis om te slapen.",
+    "Mały pies biega każdego ranka po parku i patrzy na ptaki siedzące na drzewach. Potem wraca do domu, żeby spać przez cały dzień.",
+    "Küçük köpek her sabah parkta koşar ve ağaçlarda oturan kuşlara bakar. Sonra bütün gün uyumak için eve geri döner.",
+    "Pieni koira juoksee joka aamu puistossa ja katselee lintuja, jotka istuvat puissa. Sitten se palaa kotiin nukkumaan koko päiväksi.",
+    "Маленькая собака каждое утро бегает по парку и смотрит на птиц, сидящих на деревьях. Потом она возвращается домой спать.",
+    "小さな犬は毎朝公園を走り、木にとまっている鳥を見ます。それから家に帰って一日中眠ります。",
+    "xq zvkpt wqjx bnmzr kkvfq pzxwv qqjtr vbnxz hjkwq zzxcv plmqw rtzvx qwxzj fghvb kjzqx", "asdkjh qweoiu zxmcnb lkjqwe poiuzx mnbqwe asdlkj qpwoei rutyal skdjfh",
+]
+LEARNED = [
+    "The small dog runs through the park every morning and looks at the birds that sit in the trees. Then he goes home again to sleep all day.",
+    "Der kleine Hund läuft jeden Morgen durch den Park und schaut die Vögel an, die in den Bäumen sitzen. Dann geht er wieder nach Hause.",
+    "Le petit chien court chaque matin dans le parc et regarde les oiseaux qui sont dans les arbres. Puis il rentre à la maison pour dormir.",
+    "El pequeño perro corre cada mañana por el parque y mira los pájaros que están en los árboles. Luego vuelve a casa para dormir todo el día.",
+]
+
+
+def test_text_in_no_learned_language_goes(spark):
+    import corpus_pipeline
+
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(table)
+    docs = spark.createDataFrame(list(enumerate(LEARNED + OTHER)), "doc_id long, text string")
+    kept = language_id.keep_known(docs, model, corpus_pipeline.LEAST_SCORE).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(len(LEARNED)))
+    clean = table.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    assert language_id.keep_known(clean, model, corpus_pipeline.LEAST_SCORE).count() == clean.count()
+
+
 # --- 9: secret ledger ------------------------------------------------------------------------------
 
 def plain_spans(text):
