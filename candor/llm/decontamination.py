@@ -8,8 +8,8 @@ Query. A document is cut into chunks of CHUNK words and a passage is two chunks
 whole in a passage. The block maxima of the terms of a passage bound the score of every segment of a block; blocks below the threshold are passed over for
 all passages at once. In the others a document-at-a-time search with pivots (WAND) finds every segment at or above the threshold, not only the best.
 
-Check. An item found is contamination if word trigrams of its question and of its answer occur in the document around the passage, at least
-QUESTION_SHARE and ANSWER_SHARE of them. Items have `question` and `answer`; for items of one text, `split_item` takes its last sentence as the answer.
+Check. An item found is contamination if word trigrams of its question and of its answer occur in the document around one of the passages that found it, at least
+QUESTION_SHARE and ANSWER_SHARE of them; every passage found is checked. Items have `question` and `answer`; for items of one text, `split_item` takes its last sentence as the answer.
 
 Scale. Documents are only mapped, nothing is shuffled. The items are a stated query set: they are taken GROUP items at a time, one pass over the
 documents each, so an index in a task never holds more; document frequencies are those of its group.
@@ -20,7 +20,7 @@ Defined cases: NULL and empty texts match nothing; items without words are left
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -170,7 +170,7 @@ class BlockMaxIndex:
         follows = np.append(row_of[1:] == row_of[:-1], False)
         passage = bound[:-1] + bound[1:] * follows[:, None]
         # Bounds are sums of 32-bit floats; the margin keeps them bounds.
-        best: dict[tuple[int, int], float] = {}
+        places: dict[tuple[int, int], dict[int, float]] = {}
         edge = np.append(starts, len(chunk))
         at_chunk = dict(zip(chunk[starts].tolist(), range(len(starts))))
         for c, block in zip(*(x.tolist() for x in np.nonzero(passage >= threshold - 1e-4))):
@@ -180,19 +180,36 @@ class BlockMaxIndex:
                     own.update(terms[edge[k] : edge[k + 1]].tolist())
             row = int(row_of[c])
             for segment, score in self.search(sorted(own), block, threshold):
-                key = (row, self.owner[segment])
-                if score > best.get(key, (0.0, 0))[0]:
-                    best[key] = (score, c - int(first_chunk[row]))
-        for (row, item_at), (score, c) in sorted(best.items()):
-            item = self.items[item_at]
-            around = tokens[row][max(0, c * CHUNK - item.length) : (c + 2) * CHUNK + item.length]
-            shares = [len(part & _grams_like(around, part)) / len(part) for part in (item.question, item.answer)]
-            yield row, item.item_id, score, *shares
-
-
-def _grams_like(words: list[str], part: set) -> set:
+                at = places.setdefault((row, self.owner[segment]), {})
+                at[c - int(first_chunk[row])] = max(score, at.get(c - int(first_chunk[row]), 0.0))
+        for (row, item_at), at in sorted(places.items()):
+            item, words = self.items[item_at], tokens[row]
+            windows = [(max(0, c * CHUNK - item.length), min(len(words), (c + 2) * CHUNK + item.length)) for c in sorted(at)]
+            shares = zip(*(_shares(words, part, windows) for part in (item.question, item.answer)))
+            # A place that passes goes before one that doesn't, then the higher score, then the earlier place.
+            _, score, _, found = max((contaminated(*found), at[c], -c, found) for c, found in zip(sorted(at), shares))
+            yield row, item.item_id, score, *found
+
+
+def _shares(words: list[str], part: set, windows: list[tuple[int, int]]) -> list[float]:
+    """For each window of the words, which are in order, the share of the grams of `part` that it holds. Each word is looked at once, however many windows hold it."""
     n = len(next(iter(part)))
-    return set(zip(*(words[k:] for k in range(n))))
+    inside: Counter[tuple[str, ...]] = Counter()
+    known: deque[tuple[int, tuple[str, ...]]] = deque()
+    out, at = [], 0
+    for low, high in windows:
+        for i in range(max(at, low), high - n + 1):
+            if (gram := tuple(words[i : i + n])) in part:
+                known.append((i, gram))
+                inside[gram] += 1
+        at = max(at, high - n + 1)
+        while known and known[0][0] < low:
+            gram = known.popleft()[1]
+            inside[gram] -= 1
+            if not inside[gram]:
+                del inside[gram]
+        out.append(len(inside) / len(part))
+    return out
 
 
 def contaminated(question: float, answer: float) -> bool:

@@ -150,6 +150,30 @@ def test_decontamination_finds_whole_items_only(spark):
     assert decontamination.find(d, items.limit(0)).collect() == [] and decontamination.find(d.limit(0), items).collect() == []
 
 
+def test_every_place_of_an_item_is_checked(spark):
+    filler = " ".join(f"word{i}" for i in range(900))
+    question, answer = " ".join(f"ask{i}" for i in range(64)), " ".join(f"reply{i}" for i in range(64))
+    short = ITEMS[1][1].rstrip(".").split()
+    shuffled = " ".join(short[::2] + short[1::2][::-1])
+    items = spark.createDataFrame([(1, question, answer), (2, " ".join(short[:13]), " ".join(short[13:]))], "item_id long, question string, answer string")
+    docs = [(1, f"{question} {filler} {question} {answer}"), (2, f"{shuffled} {filler} {ITEMS[1][1]} {filler} {shuffled}"), (3, f"{question} {filler} {answer}"),
+            (4, f"{shuffled} {filler} {shuffled}"), (5, f"{answer} {filler} {filler} {question} {answer} {filler} {question}")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in decontamination.find(d, items).collect()}
+    assert got.keys() == {(1, 1), (2, 2), (5, 1)} and all(abs(s - 1) < 1e-9 and q == a == 1 for s, q, a in got.values())
+    assert sorted(r.doc_id for r in decontamination.remove(d, items).collect()) == [3, 4]
+
+
+def test_shares_of_windows():
+    rng = random.Random(3)
+    words = [f"w{rng.randint(0, 9)}" for _ in range(400)]
+    for n in (1, 2, 3):
+        part = {tuple(rng.choice(words) for _ in range(n)) for _ in range(40)}
+        windows = sorted({(max(0, c * 8 - 20), min(400, c * 8 + 36)) for c in rng.sample(range(50), 20)})
+        want = [len(part & {tuple(words[i : i + n]) for i in range(low, high - n + 1)}) / len(part) for low, high in windows]
+        assert decontamination._shares(words, part, windows) == want
+
+
 def test_search_finds_what_a_full_scan_finds():
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)]
