@@ -1,6 +1,7 @@
 """Secret scans with an incremental ledger of blobs.
 
-A text version is a blob, addressed by the SHA-256 of its bytes. Rules come in packs with a version. The ledger has a row for each (blob, pack) that was ever
+A text version is a blob, addressed by the SHA-256 of its bytes. Rules come in packs with a version and a digest of the rules; a changed rule changes the digest,
+and what the pack scanned before counts as missing. The ledger has a row for each (blob, pack) that was ever
 scanned, with the spans found, also if there are none; a scan takes only the pairs that are missing and each distinct blob once, however many documents
 hold it. Findings then go back to every document through the address.
 
@@ -13,9 +14,12 @@ are not read elsewhere; names that start with `__ledger` are reserved. Offsets c
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 from candor.llm.common import small_batches, text_of
 
-LEDGER_SCHEMA = "blob string, pack string, spans array<struct<kind: string, start: int, end: int>>"
+LEDGER_SCHEMA = "blob string, pack string, rules string, spans array<struct<kind: string, start: int, end: int>>"
 
 
 @dataclass(frozen=True)
@@ -42,7 +46,21 @@ class Pack:
     version: str
     rules: Sequence[Rule]
 
-
+    @property
+    def digest(self) -> str:
+        """Address of the rules themselves: a scan by other rules under the same version doesn't count."""
+        return hashlib.sha256(repr(tuple(self.rules)).encode()).hexdigest()[:16]
+
+
+#: A private key from its first line to its END line; nothing between them has five dashes in a row. Without an END line, to the last of the header and base64 lines
+#: that follow, or of long base64 runs in the same line. Line ends may be written as escapes, as in JSON.
+_END_OF_LINE = r"(?:[ \t\"',]*(?:\r?\n|(?:\\++r)?\\++n))"
+_PEM = (
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+    rf"|(?:{_END_OF_LINE}++[ \t>]*[A-Za-z][A-Za-z-]*:[ \t][^\n\\]*+)*+"
+    rf"(?:(?:{_END_OF_LINE}++[ \t>\"']*|[ \t]+)[A-Za-z0-9+/]{{40,}}+=*+|{_END_OF_LINE}++[ \t>\"']*[A-Za-z0-9+/]++=*+(?=[ \t\"',;]*(?:[\r\n]|\\+[rn]|\Z)))*+)"
+)
 #: Fixed patterns.
 BASE = Pack("base-1", (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, re.ASCII | re.IGNORECASE),
@@ -50,7 +68,7 @@ BASE = Pack("base-1", (
     Rule("hex", r"[0-9a-f]+", 24),
 ))
 MORE = Pack("more-1", (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 1),
+    Rule("pem", _PEM, 1),
     Rule("forge", r"\b(?:ghp|gho|ghs|ghu|glpat)[_-][A-Za-z0-9_-]{20,}", 1, 0, re.ASCII),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1, 0, re.ASCII),
     Rule("chat", r"\bxox[abprs]-[A-Za-z0-9-]{10,}", 1, 0, re.ASCII),
@@ -82,6 +100,13 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def _current(ledger: DataFrame, packs: Sequence[Pack]) -> DataFrame:
+    """The rows of a ledger that the present rules of the packs have made. A ledger without digests has none."""
+    if "rules" not in ledger.columns:
+        return ledger.where(F.lit(False))
+    return ledger.where(reduce(or_, [(F.col("pack") == p.version) & (F.col("rules") == p.digest) for p in packs], F.lit(False)))
+
+
 def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, packs: Sequence[Pack] = PACKS) -> DataFrame:
     """The ledger rows of all (blob, pack) pairs of `docs.text` that `ledger` lacks."""
     blobs = docs.select(blob_of(F.col("text")).alias("blob"), text_of(F.col("text")).alias("text"))
@@ -89,7 +114,7 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, packs: Sequenc
     if ledger is None:
         unseen = unseen.withColumn("seen", F.array().cast("array<string>"))
     else:
-        done = ledger.groupBy("blob").agg(F.collect_set("pack").alias("seen"))
+        done = _current(ledger, packs).groupBy("blob").agg(F.collect_set("pack").alias("seen"))
         missing = F.array(*[F.lit(p.version) for p in packs])
         unseen = unseen.join(done, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
         unseen = unseen.where(F.size(F.array_except(missing, "seen")) > 0)
@@ -98,14 +123,14 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None, packs: Sequenc
         compiled = {p.version: _compiled(p) for p in packs}
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in small_batches(batches, "text", 2 << 20):
-            out: tuple[list, list, list] = ([], [], [])
+            out: tuple[list, list, list, list] = ([], [], [], [])
             for blob, text, seen in zip(*(batch.column(c).to_pylist() for c in ("blob", "text", "seen"))):
                 for pack in packs:
                     if pack.version not in seen:
                         spans = scan_text(text, pack, compiled[pack.version])
-                        for column, value in zip(out, (blob, pack.version, [dict(zip(("kind", "start", "end"), s)) for s in spans])):
+                        for column, value in zip(out, (blob, pack.version, pack.digest, [dict(zip(("kind", "start", "end"), s)) for s in spans])):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], kind)], ["blob", "pack", "spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()), pa.array(out[3], kind)], ["blob", "pack", "rules", "spans"])
 
     return unseen.select("blob", "text", "seen").mapInArrow(scan, LEDGER_SCHEMA)
 
@@ -114,7 +139,7 @@ def findings(ledger: DataFrame, packs: Sequence[Pack] = PACKS) -> DataFrame:
     """Per blob, the spans of the given packs in order of their start."""
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    found = ledger.where(F.col("pack").isin([p.version for p in packs])).groupBy("blob").agg(F.flatten(F.collect_list(ranked)).alias("spans"))
+    found = _current(ledger, packs).groupBy("blob").agg(F.flatten(F.collect_list(ranked)).alias("spans"))
     return found.select("blob", F.transform(F.sort_array("spans"), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
