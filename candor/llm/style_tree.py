@@ -5,7 +5,7 @@ sequences of children occur (its presentations) and which texts occur (its conte
 all pages, says nothing about a page; one that differs from page to page does. So the importance of a node is the entropy of its presentations, or one less
 the mean entropy of its texts over the pages, whichever is larger, each between 0 and 1. A branch has the mean importance of its nodes, those d levels down with
 weight 0.9^d. Branches below THRESHOLD are removed from the page, and so are those that HTML itself marks as no content (navigation, scripts, forms, class names
-such as `ad` or `sidebar`).
+such as `ad` or `sidebar`, and compound names that end in one; those not for an article or main inside).
 
 Within an `article` (or else `main`) only containers can be removed for low importance, not its own paragraphs and headings: copies of one article on a host
 would otherwise lose their text. Without either the whole body is judged.
@@ -52,21 +52,25 @@ NO_CONTENT_NAMES = frozenset(
     " disqus reply replies related recommended recommendations pagination pager widget search copyright".split()
 )
 NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar form".split())
+#: First parts of names that say something of an element's state or layout, and of names of headings that belong to the text.
+STATES = frozenset("has with without no not is are show hide".split())
+OF_TEXT = frozenset("article post entry story content section page".split())
+VISIBLE, NAMED, HIDDEN = 0, 1, 2
 #: A start tag ends an open element of these, if it is nearer than the element that holds both.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 KEEPS = frozenset("ul ol dl table tbody thead tfoot body html div article section".split())
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+[^>]*)>|<[!?][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_PARTS = re.compile(r"[a-z0-9]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
 
 
 class Node:
     __slots__ = ("children", "has_text", "inside", "label", "parent", "path", "skip", "tag", "text")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, skip: bool) -> None:
+    def __init__(self, tag: str, label: str, parent: Node | None, skip: int) -> None:
         self.tag, self.label, self.parent, self.skip = tag, label, parent, skip
         self.path = f"{parent.path}>{label}" if parent else label
         self.children: list[str] = []
@@ -75,26 +79,44 @@ class Node:
         self.inside = (parent.inside if parent else frozenset()) | ({tag} if tag in ("article", "main") and not skip else frozenset())
 
 
-def _marked(tag: str, attributes: str, inside: frozenset) -> tuple[str, bool]:
+def _named(tag: str, value: str) -> int:
+    """What a class or id value says: HIDDEN if one of its names is listed, NAMED if the last part of a compound name is, as in `user-comments`."""
+    names = value.split()
+    if not NO_CONTENT_NAMES.isdisjoint(names):
+        return HIDDEN
+    if tag != "article":
+        for name in names:
+            parts = _PARTS.findall(name)
+            if len(parts) > 1 and parts[-1] in NO_CONTENT_NAMES and parts[0] not in STATES and not (parts[-1] == "header" and parts[0] in OF_TEXT):
+                return NAMED
+    return VISIBLE
+
+
+def _marked(tag: str, attributes: str, inside: frozenset) -> tuple[str, int]:
     """The label of an element, and whether HTML or its names mark it as no content."""
-    classes, skip = "", tag in NO_CONTENT or (tag == "header" and not inside)
-    if attributes:
-        for m in _ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "class":
-                classes = ".".join(sorted(set(value.split())))
-            if key == "hidden":
-                skip |= not m[4] and not m[2]
-            elif key == "role":
-                skip |= value in NO_CONTENT_ROLES
-            elif tag not in ("html", "body", "main"):
-                skip |= not NO_CONTENT_NAMES.isdisjoint(_NAME.findall(value))
+    classes, skip = "", HIDDEN if tag in NO_CONTENT or (tag == "header" and not inside) else VISIBLE
+    seen = set()
+    for m in _ATTRIBUTE.finditer(attributes or ""):
+        key = m[1].lower()
+        # Of an attribute that is repeated the first counts.
+        if key not in ("class", "id", "role", "hidden") or key in seen:
+            continue
+        seen.add(key)
+        value = (m[2] or m[3] or m[4] or "").lower()
+        if key == "class":
+            classes = ".".join(sorted(set(value.split())))
+        if key == "hidden":
+            skip = HIDDEN if value != "until-found" else skip
+        elif key == "role":
+            skip = HIDDEN if value in NO_CONTENT_ROLES else skip
+        elif tag not in ("html", "body", "main"):
+            skip = max(skip, _named(tag, value))
     return f"{tag}.{classes}" if classes else tag, skip
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """The block elements of a page, and its blocks of text with the element that each lies in, in page order."""
-    root = Node("", "", None, False)
+    root = Node("", "", None, VISIBLE)
     nodes, blocks, stack = [], [], [root]
     opened: list[str] = [""]
     hidden: list[bool] = [False]
@@ -154,7 +176,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             at = close.start() if close else len(page)
             continue
         if tag in BLOCK:
-            node = Node(tag, label, parent, parent.skip or skip)
+            # A compound name may be one of layout: an article or main inside shows that its element is a wrapper.
+            above = VISIBLE if tag in ("article", "main") and parent.skip == NAMED else parent.skip
+            node = Node(tag, label, parent, max(above, skip))
             parent.children.append(label)
             nodes.append(node)
             stack.append(node)
@@ -162,7 +186,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         else:
             stack.append(parent)
             # An inline element marked as no content takes its text away; blocks inside it are not looked at apart.
-            hidden.append(hidden[-1] or skip)
+            hidden.append(hidden[-1] or skip > VISIBLE)
         opened.append(tag)
     flush()
     return nodes, blocks

@@ -253,6 +253,19 @@ def test_text_of_pages(page, want):
     assert style_tree._text("h", page, set()) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<div style="overflow:hidden"><article><p>a</p></article></div>', "a"), ('<p>x <a href="/hidden-gems">gems</a> <b title="the hidden cost">y</b></p>', "x gems y"),
+    ('<p>x <a data-class="ad" aria-hidden=false href="?id=menu&role=search">y</a></p>', "x y"), ("<div hidden>a</div><p HIDDEN=hidden>b</p><p hidden=''>c</p>d<p hidden=until-found>e", "d\n\ne"),
+    ('<div class="page has-sidebar"><article><p>a</p></article></div>', "a"), ('<article class="post with-comments"><div class="article-header"><h1>t</h1></div><p>a</p></article>', "t\n\na"),
+    ('<div class="right-sidebar">m<div><main><p>a</p><div class=ad>n</div></main></div></div>', "a"), ('<div class="page has-sidebar"><p>a</p></div>', "a"),
+    ('<article>a<div class="user-comments">n</div><div id="sidebar">n</div><div class="box comments"><article>n</article></div></article>', "a"),
+    ('<div class="x ad y">n</div><div class="a" class="ad">k</div><div id=main_sidebar>n</div>', "k"), ("<div class='no-ads'>a</div><p class=adviser>b", "a\n\nb"),
+    ('<nav class="has-x"><article>n</article></nav><div role="Search">n</div>k', "k"),
+])
+def test_names_and_attributes_of_pages(page, want):
+    assert style_tree._text("h", page, set()) == want
+
+
 def test_repeated_branches_go(spark):
     pages = [(i, f"http://a.example/{i}", f"<body><div class=box><p>Always the same words here.</p></div><div class=text><p>Story number {i} has its own words {i * 7}.</p></div></body>") for i in range(12)]
     pages += [(50, None, None), (51, "x", ""), (51, "x", ""), (None, "http://b.example/", "<p>alone</p>")]
