@@ -37,6 +37,11 @@ _TOKEN = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, score double, spans array<struct<start: int, end: int>>"
 
 
+def folded(text: str) -> str:
+    """Lower case with every character and token in its place. U+0130 is the only character whose lower case is longer, by a mark that would split its token."""
+    return text.replace("\u0130", "i").lower()
+
+
 def features_of(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in BEGINNINGS if k < len(word))]
 
@@ -152,18 +157,16 @@ class Field:
         return np.fromiter(map(known.__getitem__, words), np.float64, len(words))
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-        tokens = [_TOKEN.findall(t.lower()) for t in texts]
+        tokens = [_TOKEN.findall(folded(t)) for t in texts]
         lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         p, _ = marginals(self.emissions([w for row in tokens for w in row]), _starts(lengths), self.moves, self.start)
         spans: list[list[tuple[int, int]]] = [[] for _ in texts]
         at = np.cumsum(lengths) - lengths
-        # Lower case can change the length of a text, so places are read from the text itself; its tokens are the same ones.
         hits = np.flatnonzero(p >= 0.5)
         rows = np.searchsorted(np.cumsum(lengths), hits, side="right")
         for i in np.unique(rows):
             places = [m.span() for m in _TOKEN.finditer(texts[i])]
-            if len(places) == lengths[i]:
-                spans[i] = [places[k - at[i]] for k in hits[rows == i]]
+            spans[i] = [places[k - at[i]] for k in hits[rows == i]]
         return 1 / (1 + np.exp(-np.clip(_summaries(p, lengths) @ self.calibration, -30, 30))), spans
 
 
@@ -189,7 +192,7 @@ def fit(texts: list[str], toxic: list[int], steps: int = 40, rate: float = 0.3)
     words: list[np.ndarray] = []
     present: dict[bool, list[np.ndarray]] = {True: [], False: []}
     for text, label in zip(texts, toxic):
-        row = _TOKEN.findall(text.lower())
+        row = _TOKEN.findall(folded(text))
         for w in row:
             if w not in vocabulary:
                 vocabulary[w] = len(vocabulary)

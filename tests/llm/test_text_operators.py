@@ -242,6 +242,20 @@ def test_toxic_awkward_rows(spark, rows):
     assert toxic_spans.score(rows.limit(0), model).collect() == []
 
 
+def test_lower_case_keeps_every_place():
+    every = "".join(f"{chr(c)}a" for c in range(0x110000))
+    folded = toxic_spans.folded(every)
+    assert len(folded) == len(every)
+    assert [m.span() for m in toxic_spans._TOKEN.finditer(folded)] == [m.span() for m in toxic_spans._TOKEN.finditer(every)]
+
+
+def test_spans_beside_a_dotted_capital():
+    model = toxic_spans.fit(["you stupid fool" if i % 3 == 0 else "a kind and long word" for i in range(60)], [int(i % 3 == 0) for i in range(60)])
+    plain, dotted = model.score(["you stupid fool in istanbul"]), model.score(["you stupid fool in İstanbul"])
+    assert plain[1] == dotted[1] and plain[1][0] and plain[0] == dotted[0]
+    assert model.score(["İİ you stupid fool"])[1] == model.score(["ii you stupid fool"])[1] != [[]]
+
+
 # --- 7: style tree ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("page, want", [
