@@ -16,6 +16,8 @@ and any file system that Spark knows will do.
 The index is a Parquet table with a row per record: file number, byte offset and length, document id, token count, checksum of the ids and the
 number of tokens before the record in its file. Sums per file (one row per file) make those counts global.
 
+Ids are those of the library's `encode(text, add_special_tokens=False)` as it is: where a text holds the content of an added token, such as `<|endoftext|>`, that token's id stands.
+
 Defined cases: NULL or empty text is the end id alone. NULL ids come first. Rows with the same id are ordered by a hash of their text; repeated rows
 are repeated records. An empty table makes an index without rows. Other columns are not read.
 """
@@ -80,16 +82,20 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 
 
 class Encoder:
-    """Ids of whole texts as the tokenizers library gives them, each distinct piece of text encoded once."""
+    """Ids of whole texts as the tokenizers library gives them, each distinct piece of text encoded once.
+
+    added_tokens: the contents of the vocabulary's added tokens in a text are these tokens, as by the library's default; otherwise they are text like any other.
+    """
 
-    def __init__(self, tokenizer_path: str) -> None:
+    def __init__(self, tokenizer_path: str, added_tokens: bool = False) -> None:
         # Tasks share the cores already.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        # Pieces hold no added token: where they count, a text with one is encoded in one go.
+        self.tokenizer.encode_special_tokens = not added_tokens
         # A piece that is one word is one pre-token, so the same vocabulary can take it as it is.
         self.of_words = Tokenizer.from_file(tokenizer_path)
         self.of_words.encode_special_tokens = True
@@ -100,6 +106,8 @@ class Encoder:
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
         self.memo = Memo(self._pieces)
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self.odd = [*_ODD, *contents]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         words = [p for p in pieces if _ONE_WORD.fullmatch(p)]
@@ -120,7 +128,7 @@ class Encoder:
                 start = end
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        odd = {i for i, t in enumerate(texts) if any(c in t for c in _ODD)}
+        odd = {i for i, t in enumerate(texts) if any(c in t for c in self.odd)}
         joined = self.memo.joined([[] if i in odd else _SEGMENT.findall(t) for i, t in enumerate(texts)])
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if i in odd else np.frombuffer(joined[i], "<u4") for i, t in enumerate(texts)
@@ -139,7 +147,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One per worker, so that later tasks find the pieces of earlier ones.
-        encoder, end = kept_in_worker(tokenizer_path, lambda: Encoder(tokenizer_path)), np.array([end_id], "<u4")
+        encoder, end = kept_in_worker(tokenizer_path, lambda: Encoder(tokenizer_path, added_tokens=True)), np.array([end_id], "<u4")
         for batch in small_batches(batches, "text", 2 << 20, tokenizer_path):
             ids = encoder.ids(batch.column("text").to_pylist())
             out = [frame(pack(i, np.concatenate((x, end)))) for i, x in zip(batch.column("doc_id").to_pylist(), ids)]

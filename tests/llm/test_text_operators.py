@@ -42,6 +42,21 @@ def test_encoder_equals_the_library(tokenizer):
     assert [list(x) for x in found] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_as_in_the_untouched_library(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["one two<|endoftext|> three", "<|endoftext|>", " <|endoftext|><|endoftext|>\n<|endoftext", *noise(500, 5)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [505, 734, 50256, 1115]
+    assert [list(x) for x in token_records.Encoder(path, added_tokens=True).ids(texts)] == want
+    folder = scratch_path(spark, "records")
+    token_records.write_records(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder, path)
+    index = token_records.write_index(spark, folder)
+    assert {r.doc_id: r.ids for r in token_records.fetch_records(spark, folder, index).collect()} == {i: ids + [0] for i, ids in enumerate(want)}
+
+
 def test_memo_that_overflows_gives_the_same(tokenizer):
     encoder = token_records.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     encoder.memo.limit = 3
