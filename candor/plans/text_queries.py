@@ -224,6 +224,12 @@ def f19(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*KEY, C.code_or_text(F.col("answer")).alias("code"))
 
 
+@query("f19_code_or_text_all", W + f"SELECT query_id, arrival, {CODE_OR_TEXT} AS code FROM cand")
+def f19_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The answers of all splits."""
+    return candidates(spark, folder).select(*KEY, C.code_or_text(F.col("answer")).alias("code"))
+
+
 def has_sql(*parts: str) -> str:
     return " OR ".join(f"contains(answer, '{p}')" for p in parts)
 
@@ -309,6 +315,18 @@ def f23(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*KEY, F.col("found").isNotNull().alias("readable"), F.when(members >= 0, members).cast("long").alias("members"))
 
 
+@query(
+    "f23_json_in_all",
+    W + f"""SELECT query_id, arrival, json_valid(j) AS readable, CASE WHEN json_valid(j) AND json_type(j) = 'OBJECT' THEN len(json_keys(j)) END AS members
+    FROM (SELECT *, {JSON_TEXT} AS j FROM cand)""",
+)
+def f23_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The answers of all splits."""
+    rows = candidates(spark, folder).withColumn("found", J.json_in(F.col("answer")))
+    members = F.size(J.as_object(F.col("found")))
+    return rows.select(*KEY, F.col("found").isNotNull().alias("readable"), F.when(members >= 0, members).cast("long").alias("members"))
+
+
 @query("f24_plain_key", W + "SELECT query_id, arrival, replace(replace(lower(harmony_encoding || '-' || model), '_', ''), '-', '') AS plain FROM cand")
 def f24(spark: SparkSession, folder: str) -> DataFrame:
     return candidates(spark, folder).select(*KEY, J.plain_key(F.concat_ws("-", "harmony_encoding", "model")).alias("plain"))
