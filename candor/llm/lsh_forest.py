@@ -4,7 +4,7 @@
    smallest id goes on.
 2. Forest. A signature has TREES * DEPTH minhash values. Each tree reads them from another place on, and all classes are sorted in the order of each tree, dealt
    out by ranges of that order. Neighbours whose common prefix has DEPTH values or more are candidates. A region, a run of rows with such a prefix, is tied
-   together at its first row and goes on as deep as its rows agree, however many there are; where a region reaches over a range, its parts are tied too.
+   together at its first row and goes on as long as its rows agree in all of their DEPTH values, however many there are (the depth is fixed); where a region reaches over a range, its parts are tied too.
    Pairs of similarity 0.8 meet in one tree at least with odds of 1 - 3 * 10^-6.
 3. Exact links. Tied classes are components of candidates. Each goes with its full shingle sets to one task, and there links are decided by intersection and
    union. A row of intersections against all members costs the postings of its shingles; the most central member is first, then only members outside the largest
