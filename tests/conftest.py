@@ -7,8 +7,6 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
-FOLDER = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,8 +1,8 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
-from conftest import FOLDER
 from oracle import compare, connect
+from paths import FOLDER
 
 from candor.plans.catalog import QUERIES
 
