@@ -78,20 +78,23 @@ class Memo:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def joined(self, rows: list[list[str]]) -> list[bytes]:
-        """For each row the values of its strings, one after the other."""
+    def values(self, keys: list[str]) -> list[bytes]:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        flat = [k for row in rows for k in row]
-        found = list(map(young.get, flat))
-        missing = {flat[i] for i, v in enumerate(found) if v is None}
+        found = list(map(young.get, keys))
+        missing = {keys[i] for i, v in enumerate(found) if v is None}
         if missing:
             for k in missing & old.keys():
                 young[k] = old[k]
             fresh = [k for k in missing if k not in old]
             young.update(zip(fresh, self.compute(fresh)))
-            found = [young[flat[i]] if v is None else v for i, v in enumerate(found)]
+            found = [young[keys[i]] if v is None else v for i, v in enumerate(found)]
+        return found
+
+    def joined(self, rows: list[list[str]]) -> list[bytes]:
+        """For each row the values of its strings, one after the other."""
+        found = self.values([k for row in rows for k in row])
         at, out = 0, []
         for row in rows:
             out.append(b"".join(found[at : at + len(row)]))

@@ -28,10 +28,11 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,12 +42,20 @@ MASK_DELTA = 0xA282EAD8
 HEAD, PAYLOAD_HEAD = struct.Struct("<QI"), struct.Struct("<BBq")
 INDEX_SCHEMA = "part long, offset long, length long, doc_id long, n_tokens long, ids_crc32 long, start_in_part long"
 
-#: Text is cut before each run of white space, and between a Latin word and the punctuation after it; no pre-token reaches over such a place, so the
-#: pieces can be encoded one by one.
-_SEGMENT = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:|\s]|$)|\s*\S+|\s+")
-_ONE_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: Python counts these as white space, the tokenizers library doesn't: such a text is encoded in one go.
-_ODD = "\x1c\x1d\x1e\x1f"
+#: Text is cut before spaces, and between a Latin word and the punctuation or line end after it; no pre-token reaches over such a place, so the
+#: pieces can be encoded one by one. Texts with a space before other white space, with a separator of their own or with what Python and the tokenizers
+#: library see differently are encoded in one go.
+_WORD_END, _CUT = r"([A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:|\n])", "\x01"
+_WHOLE = r"[\x01\x1c-\x1f]| [\s\x0B\x{85}\p{Z}]"
+_SPACE_AND_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The same word's bytes as characters, and what would have to stand in a token that reaches into the next word.
+_TWO_WORDS = re.compile(r"[A-Za-z\x80-\xbf\xc3 ]*[A-Za-z\x80-\xbf\xc3] [A-Za-z\x80-\xbf\xc3 ]*")
+
+def _byte_characters() -> dict[int, str]:
+    """The character of each byte in a byte-level vocabulary: itself where it is printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 def masked(data: bytes) -> int:
@@ -84,6 +93,9 @@ def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them, each distinct piece of text encoded once.
 
+    The pieces of a batch of texts are made distinct, and only those that are new to the memory reach the library: words many at a time through the
+    vocabulary's own model, the rest through the whole tokenizer.
+
     added_tokens: the contents of the vocabulary's added tokens in a text are these tokens, as by the library's default; otherwise they are text like any other.
     """
 
@@ -91,48 +103,70 @@ class Encoder:
         # Tasks share the cores already.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         # Pieces hold no added token: where they count, a text with one is encoded in one go.
         self.tokenizer.encode_special_tokens = not added_tokens
-        # A piece that is one word is one pre-token, so the same vocabulary can take it as it is.
-        self.of_words = Tokenizer.from_file(tokenizer_path)
-        self.of_words.encode_special_tokens = True
-        self.of_words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model, self.characters = self.tokenizer.model, _byte_characters()
         # A byte-level token has one character per byte.
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
-        self.memo = Memo(self._pieces)
+        # Where no token could reach from one word into the next, no merge does, and words can go through the model in one string.
+        byte_of = {c: b for b, c in self.characters.items()}
+        self.joins_words = not any(_TWO_WORDS.fullmatch(token.translate(str.maketrans(byte_of))) for token in vocabulary)
+        self.memo = Memo(self._segments)
         contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
-        self.odd = [*_ODD, *contents]
+        self.whole = "|".join([_WHOLE, *map(re.escape, contents)])
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        words = [p for p in pieces if _ONE_WORD.fullmatch(p)]
-        known = dict(zip(words, self._encoded(self.of_words, words)))
+    def _segments(self, pieces: list[str]) -> list[bytes]:
+        words = [p for p in pieces if _SPACE_AND_WORD.fullmatch(p)] if self.joins_words else []
+        known = {"": b""}
+        for some in ([w for w in words if w.isascii()], [w for w in words if not w.isascii()]):
+            known.update(zip(some, self._encoded(self._ids_of_words, some, 200)))
         rest = [p for p in pieces if p not in known]
-        known.update(zip(rest, self._encoded(self.tokenizer, rest)))
+        known.update(zip(rest, self._encoded(self._ids_of_pieces, rest, 2000)))
         return [known[p] for p in pieces]
 
-    def _encoded(self, tokenizer, pieces: list[str], at_once: int = 2000) -> Iterator[bytes]:
+    def _ids_of_words(self, words: list[str]) -> list[int]:
+        text = "".join(words)
+        # Latin letters of one byte are their own characters.
+        text = text.replace(" ", self.characters[32]) if text.isascii() else text.encode().decode("latin-1").translate(self.characters)
+        return [t.id for t in self.model.tokenize(text)]
+
+    def _ids_of_pieces(self, pieces: list[str]) -> list[int]:
+        return self.tokenizer.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids
+
+    def _encoded(self, ids_of: Callable[[list[str]], list[int]], pieces: list[str], at_once: int) -> Iterator[bytes]:
         """The ids of each piece. Many pieces are one call; the bytes that the ids stand for tell where each piece ends."""
         for k in range(0, len(pieces), at_once):
             some = pieces[k : k + at_once]
-            ids = np.array(tokenizer.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(ids_of(some), "<u4")
             ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p.encode()) for p in some])) + 1
             data, start = ids.tobytes(), 0
             for end in ends.tolist():
                 yield data[4 * start : 4 * end]
                 start = end
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        odd = {i for i, t in enumerate(texts) if any(c in t for c in self.odd)}
-        joined = self.memo.joined([[] if i in odd else _SEGMENT.findall(t) for i, t in enumerate(texts)])
-        return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if i in odd else np.frombuffer(joined[i], "<u4") for i, t in enumerate(texts)
-        ]
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        whole = pc.match_substring_regex(texts, self.whole)
+        marked = pc.replace_substring_regex(pc.if_else(whole, "", texts), _WORD_END, rf"\1{_CUT}\2")
+        pieces = pc.split_pattern(pc.replace_substring(marked, " ", _CUT + " "), _CUT)
+        coded = pieces.flatten().dictionary_encode()
+        known = self.memo.values(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        # The ids of all pieces in their order: from the place of each piece in the pool on.
+        place = coded.indices.to_numpy()
+        n = lengths[place]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(known), "<u4")[np.arange(n.sum()) + np.repeat((np.cumsum(lengths) - lengths)[place] - ends + n, n)]
+        # Each text has one piece at least.
+        last = pieces.offsets.to_numpy()[1:] - pieces.offsets[0].as_py() - 1
+        out = np.split(ids, ends[last[:-1]]) if len(texts) else []
+        for i in np.flatnonzero(whole.to_numpy(False)):
+            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
+        return out
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, partitions: int | None = None) -> None:
@@ -148,8 +182,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One per worker, so that later tasks find the pieces of earlier ones.
         encoder, end = kept_in_worker(tokenizer_path, lambda: Encoder(tokenizer_path, added_tokens=True)), np.array([end_id], "<u4")
-        for batch in small_batches(batches, "text", 2 << 20, tokenizer_path):
-            ids = encoder.ids(batch.column("text").to_pylist())
+        for batch in small_batches(batches, "text", 4 << 20, tokenizer_path):
+            ids = encoder.ids(batch.column("text"))
             out = [frame(pack(i, np.concatenate((x, end)))) for i, x in zip(batch.column("doc_id").to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 

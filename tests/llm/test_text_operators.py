@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fixtures_llm import FOLDER, documents, sha
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ def tokenizer():
 
 def test_encoder_equals_the_library(tokenizer):
     texts = noise(2000, 1)
-    found = token_records.Encoder(public_tokenizers.path("byte_bpe_50k.json")).ids(texts)
+    found = token_records.Encoder(public_tokenizers.path("byte_bpe_50k.json")).ids(pa.array(texts))
     assert [list(x) for x in found] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -50,7 +51,7 @@ def test_added_tokens_are_as_in_the_untouched_library(spark):
     texts = ["one two<|endoftext|> three", "<|endoftext|>", " <|endoftext|><|endoftext|>\n<|endoftext", *noise(500, 5)]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert want[0] == [505, 734, 50256, 1115]
-    assert [list(x) for x in token_records.Encoder(path, added_tokens=True).ids(texts)] == want
+    assert [list(x) for x in token_records.Encoder(path, added_tokens=True).ids(pa.array(texts))] == want
     folder = scratch_path(spark, "records")
     token_records.write_records(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder, path)
     index = token_records.write_index(spark, folder)
@@ -62,7 +63,7 @@ def test_memo_that_overflows_gives_the_same(tokenizer):
     encoder.memo.limit = 3
     texts = [t for _, t in zip(range(60), noise(60, 2))]
     for t in texts:
-        assert list(encoder.ids([t])[0]) == tokenizer.encode(t, add_special_tokens=False).ids
+        assert list(encoder.ids(pa.array([t]))[0]) == tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def plain_records(tokenizer, docs):
