@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candor.llm import decontamination, fixed_blocks, language_id, lsh_forest, piece_codec, rule_ledger, secret_ledger, style_tree, token_records, toxic_spans
+from candor.llm import (
+    bin_completion,
+    decontamination,
+    filter_audit,
+    fixed_blocks,
+    language_id,
+    lsh_forest,
+    piece_codec,
+    rule_ledger,
+    secret_ledger,
+    style_tree,
+    token_records,
+    toxic_spans,
+    vector_codes,
+)
 from candor.llm.common import held_out, table
 from candor.session import scratch_path
 
@@ -151,3 +165,81 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents by their runs of four words."""
     return lsh_forest.near_duplicates(table(spark, folder, "documents"), size=4).drop("text_hash")
+
+
+def _codebook_rounds(rounds: int) -> str:
+    """SQL of the rounds: assignment to the nearest entry, lower index first, then floored means; unused entries stay."""
+    far = "list_sum(list_transform(range(1, len(x.v) + 1), lambda j: (x.v[j] - c.v[j]) * (x.v[j] - c.v[j])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, p, min(struct_pack(d := coalesce({far}, 0)::HUGEINT, e := e)) AS best FROM x JOIN c{k} c USING (p) GROUP BY r, p)")
+        if k < rounds:
+            steps.append(f"""s{k} AS (SELECT p, best.e AS e, j, sum(v[j])::HUGEINT AS s, count(*) AS n FROM (SELECT p, v, best, unnest(range(1, len(v) + 1)) AS j FROM a{k} JOIN x USING (r, p)) GROUP BY ALL),
+m{k} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM s{k} GROUP BY p, e),
+c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m USING (p, e))""")
+    return ",\n".join(steps)
+
+
+_VECTOR_CODES_SQL = f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, p, w[p * len(w) // 8 + 1 : (p + 1) * len(w) // 8] AS v FROM k, range(8) t(p)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM x WHERE r <= 16),
+{_codebook_rounds(6)},
+coded AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a6 GROUP BY r),
+books AS (SELECT sha256(string_agg(n::VARCHAR, ',' ORDER BY p, e, j)) AS h FROM (SELECT p, e, unnest(v) AS n, unnest(range(len(v))) AS j FROM c6))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT h FROM books) AS codebooks_sha256
+FROM k JOIN coded USING (r)
+"""
+
+
+@query("op11_laesa_codes", _VECTOR_CODES_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all whole vectors with their errors, and a digest of the codebooks."""
+    coded, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    return vector_codes.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+@query("op12_bin_completion")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    packed = bin_completion.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), with_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+_AUDIT_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (
+  SELECT doc_id, part, (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS m
+  FROM w),
+l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+g AS MATERIALIZED (
+  SELECT part, m, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS bad FROM f LEFT JOIN l USING (doc_id) GROUP BY part, m),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS MATERIALIZED (
+  SELECT filter_order, step, letters.bit AS bit, (SELECT coalesce(sum(x.bit), 0) FROM letters x WHERE contains(substr(filter_order, 1, step - 1), x.c))::BIGINT AS before
+  FROM orders, range(1, 6) t(step) JOIN letters ON letters.c = substr(filter_order, step, 1)),
+r AS (
+  SELECT part, filter_order, step, s.bit, sum(n) FILTER (WHERE m & (before | s.bit) = 0) AS kept, sum(n) FILTER (WHERE m & before = 0 AND m & s.bit <> 0) AS removed,
+    sum(n) FILTER (WHERE m & before <> 0 AND m & s.bit <> 0) AS redundant, sum(n) FILTER (WHERE m = s.bit) AS unique_fails,
+    sum(good) FILTER (WHERE m & before = 0 AND m & s.bit <> 0) AS good_lost, sum(bad) FILTER (WHERE m & before = 0 AND m & s.bit <> 0) AS toxic_lost
+  FROM g, steps s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op13_filter_audit", _AUDIT_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, per language."""
+    failed = filter_audit.failures(table(spark, folder, "documents"))
+    return filter_audit.audit(filter_audit.counted(failed, table(spark, folder, "labels")))
