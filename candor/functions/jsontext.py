@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from candor.functions.jsondeep import FALSE_WORDS, NUMBER, TRUE_WORDS, covers_text, same_result_text
+from candor.functions import jsonpaths as P
+from candor.functions.jsonpaths import FALSE_WORDS, TRUE_WORDS, number_of
 from candor.functions.text import bind, first_match, leading_object, strip
 
 MAP = "map<string,variant>"
@@ -67,15 +68,6 @@ def canonical(value: Column) -> Column:
     return F.to_json(value)
 
 
-def for_python(value: Column) -> Column:
-    """Canonical text as the argument of a Python function.
-
-    The value is mentioned twice so that the optimizer leaves its computation in a projection of its own: Spark fails to recognise an argument with
-    nested lambdas as the one it has handed to Python.
-    """
-    return F.when(value.isNotNull(), canonical(value))
-
-
 def text_of(value: Column) -> Column:
     """String content of a VARIANT string; NULL for other types."""
     return F.when(kind(value) == "string", value.try_cast("string"))
@@ -149,11 +141,6 @@ def looks_numeric(text: Column) -> Column:
 
 # --- comparison with a truth -----------------------------------------------------------------------
 
-def number_of(text: Column) -> Column:
-    """Double of a text that is a decimal number; NULL for forms such as `7d` or `0x1p3` that a cast would read."""
-    return F.when(text.rlike(rf"^\s*(?:{NUMBER})\s*$"), text.try_cast("double"))
-
-
 def plain_key(key: Column) -> Column:
     """Key without case, underscores and dashes."""
     return F.translate(F.lower(key), "_-", "")
@@ -197,7 +184,7 @@ def same_value(a: Column, b: Column) -> Column:
 def covers_fuzzily(data: Column, truth: Column) -> Column:
     """Every key of the `truth` object has a loosely equal value in the `data` object, at any depth (extra keys allowed). Both VARIANT."""
     objects = as_object(data).isNotNull() & as_object(truth).isNotNull()
-    return F.coalesce(covers_text(F.when(objects, canonical(data)), F.when(objects, canonical(truth))), F.lit(False))
+    return F.coalesce(P.covers(P.document(F.when(objects, data)), P.document(F.when(objects, truth))), F.lit(False))
 
 
 def covers_exactly(data: Column, truth: Column) -> Column:
@@ -210,7 +197,19 @@ def covers_exactly(data: Column, truth: Column) -> Column:
 
 def same_result(actual: Column, expected: Column) -> Column:
     """Result comparison: equal, or all expected keys present at any depth (values only matter when objects), or numbers within 1 %. Both VARIANT."""
-    return same_result_text(for_python(actual), for_python(expected))
+
+    def compared(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        numbers = kind(a).isin("integer", "number") & kind(b).isin("integer", "number")
+        x, y = a.try_cast("double"), b.try_cast("double")
+        close = numbers & (F.abs(x - y) < 0.01 * F.greatest(F.abs(x), F.abs(y), F.lit(1.0)))
+        objects = (kind(a) == "object") & (kind(b) == "object")
+        equal = canonical(a) == canonical(b)
+        # The rows of paths are only made for what is left.
+        shape = P.has_shape(P.document(F.when(objects, a)), P.document(F.when(objects, b)))
+        return F.when(equal, F.lit(True)).when(objects, shape).otherwise(close)
+
+    return F.when(actual.isNotNull() & expected.isNotNull(), bind(F.struct(actual.alias("a"), expected.alias("b")), compared))
 
 
 # --- judge output ----------------------------------------------------------------------------------

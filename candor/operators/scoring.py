@@ -7,16 +7,19 @@ input becomes a failed score through `try_*` functions; it never fails the job.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candor.config import DEFAULTS, Thresholds
+from candor.functions import jsonpaths as P
 from candor.functions import jsontext as J
 from candor.functions.code import code_in, code_or_text, javascript_syntax, language_of, python_syntax_of
-from candor.functions.jsondeep import conforms_text
 from candor.functions.numbers import is_close, normalized_expression, number_in, same_quantity
 from candor.functions.text import bind, non_empty, strip
+from candor.operators.joins import fresh
 from candor.operators.selection import scorer_for
 
 SCORE = "struct<is_correct:boolean,confidence:double,explanation:string,method:string,verifier_name:string>"
@@ -140,8 +143,16 @@ def parameter_types(call: Column) -> Column:
 
 
 def conforms(value: Column, schema: Column) -> Column:
-    """The set-checkable part of a JSON Schema, at any depth: type, enum, required, properties, additionalProperties, items. Both VARIANT."""
-    return conforms_text(J.for_python(value), J.for_python(schema))
+    """The set-checkable part of a JSON Schema, at any depth: type, enum, required, properties, additionalProperties, items. Both VARIANT.
+
+    For many values and few schemas, make the `constraints` once per schema and join them (`schema_table`).
+    """
+    return P.meets(P.document(value), P.constraints(schema))
+
+
+def schema_table(schemas: DataFrame, schema: str = "schema") -> DataFrame:
+    """Schemas (VARIANT) as constraints: the same rows with that column read once, to be joined to any number of calls."""
+    return schemas.withColumn(schema, P.constraints(F.col(schema)))
 
 
 def truth_comparison(data: Column, truth: Column) -> Column:
@@ -190,8 +201,8 @@ def tool_scores(
 ) -> DataFrame:
     """Adds the tool score: parse, schema, catalog, required fields, parameter types, truth; first failure wins.
 
-    `schema` is a VARIANT column, `catalog` and `required` are string arrays. The parsed call is a column
-    of its own, so each answer is parsed once, and rows outside `only` are never parsed.
+    `schema` is a VARIANT column or the constraints that `schema_table` makes of one, `catalog` and `required` are string arrays. The parsed call is a
+    column of its own, so each answer is parsed once, and rows outside `only` are never parsed. All of it is a projection.
     """
     verifier = "tool"
     text = F.col(answer) if only is None else F.when(only, F.col(answer))
@@ -209,7 +220,9 @@ def tool_scores(
         result = result.otherwise(score(verifier, True, 0.5, "Valid JSON", "syntax_only"))
         return parsed.withColumn(name, result).drop("_call", "_fields", "_truth")
     if schema:
-        result = result.when(F.col(schema).isNotNull() & ~conforms(call, F.col(schema)), failure(verifier, "Schema violated", "schema"))
+        rules = F.col(schema) if isinstance(df.schema[schema].dataType, StructType) else P.constraints(F.col(schema))
+        met = P.meets(P.document(F.when(F.col(schema).isNotNull(), call)), rules)
+        result = result.when(F.col(schema).isNotNull() & ~met, failure(verifier, "Schema violated", "schema"))
     if catalog and limits.validate_tool_exists:
         known = F.coalesce(F.array_contains(F.col(catalog), J.tool_name(fields)), F.lit(False))
         result = result.when((F.size(catalog) > 0) & ~known, failure(verifier, "Unknown tool", "tool_exists"))
@@ -225,6 +238,57 @@ def tool_scores(
     return parsed.withColumn(name, result).drop("_call", "_fields", "_truth")
 
 
+# --- described operations --------------------------------------------------------------------------
+
+def api_operations(descriptions: DataFrame, key: str, description: str = "description", follow: int = 8) -> DataFrame:
+    """Operations of API descriptions (VARIANT): `key`, `operation_id`, `path`, `method` and the constraints of the request body (`rules`, NULL without one).
+
+    References to the schemas of the same description are replaced by these, level by level, `follow` times; what a schema that contains itself
+    refers to beyond that is open. Of operations with the same id one with a schema counts, first by path and method. Descriptions are few and calls are many, so
+    all reading of schemas happens here.
+    """
+    inside = lambda value, *names: reduce(lambda v, n: J.field(J.as_object(v), n), names, value)
+    spec = F.col(description)
+    paths = descriptions.select(key, inside(spec, "components", "schemas").alias("_named"), F.explode(F.map_entries(J.as_object(inside(spec, "paths")))).alias("_path"))
+    methods = paths.select(key, "_named", F.col("_path.key").alias("path"), F.explode(F.map_entries(J.as_object(F.col("_path.value")))).alias("_method"))
+    operation = F.col("_method.value")
+    named = F.map_entries(F.coalesce(J.as_object(F.col("_named")), F.create_map().cast(J.MAP)))
+
+    def followed(text: Column, _: Column) -> Column:
+        return F.aggregate(named, text, lambda t, s: F.replace(t, F.concat(F.lit('{"$ref":"#/components/schemas/'), s["key"], F.lit('"}')), J.canonical(s["value"])))
+
+    schema = J.canonical(inside(operation, "requestBody", "content", "application/json", "schema"))
+    whole = F.when(F.contains(schema, F.lit('{"$ref":')), F.aggregate(F.sequence(F.lit(1), F.lit(follow)), schema, followed)).otherwise(schema)
+    rows = methods.select(
+        key, J.text_of(inside(operation, "operationId")).alias("operation_id"), "path", F.col("_method.key").alias("method"), P.constraints(F.try_parse_json(whole)).alias("rules")
+    ).where("operation_id IS NOT NULL")
+    first = F.min_by(F.struct("path", "method", "rules"), F.struct(F.col("rules").isNull(), "path", "method"))
+    return rows.groupBy(key, "operation_id").agg(first.alias("_first")).select(key, "operation_id", "_first.*")
+
+
+def api_scores(df: DataFrame, operations: DataFrame, key: str, answer: str = "answer", name: str = "api_score") -> DataFrame:
+    """Adds the score of tool answers against the operation that has the called tool's name in the description of `key` (`api_operations`)."""
+    verifier = "tool_openapi"
+    parsed = df.withColumn("_call", call_in(F.col(answer)))
+    fields = J.as_object(F.col("_call"))
+    nested = J.text_of(J.field(J.as_object(J.field(fields, "function")), "name"))
+    parsed = parsed.withColumn("_tool", F.coalesce(J.text_of(J.field(fields, "name")), nested, J.text_of(J.field(fields, "tool"))))
+    side = operations.select(F.col(key).alias("_key"), fresh(F.col("operation_id")).alias("_operation"), F.col("rules").alias("_rules"), F.lit(True).alias("_found"))
+    joined = parsed.join(side, (parsed[key] == F.col("_key")) & (F.col("_tool") == F.col("_operation")), "left")
+    given = F.coalesce(J.tool_arguments(fields), F.parse_json(F.lit("{}")))
+    met = P.meets(P.document(F.when(F.col("_rules").isNotNull(), given)), F.col("_rules"))
+    result = (
+        F.when(~non_empty(F.col(answer)), failure(verifier, "No answer text", "missing_answer"))
+        .when(F.col("_call").isNull(), failure(verifier, "No JSON in the answer", "no_json"))
+        .when(~non_empty(F.col("_tool")), failure(verifier, "No tool name", "no_tool"))
+        .when(F.col("_found").isNull(), failure(verifier, "Unknown operation", "operation"))
+        .when(F.col("_rules").isNull(), score(verifier, True, 0.8, "Known operation without a schema", "openapi"))
+        .when(met, score(verifier, True, 1.0, "Meets the operation's schema", "schema"))
+        .otherwise(failure(verifier, "Schema violated", "schema"))
+    )
+    return joined.withColumn(name, result).drop("_call", "_tool", "_key", "_operation", "_rules", "_found")
+
+
 # --- syntax audit ----------------------------------------------------------------------------------
 
 def syntax_checks(df: DataFrame, answer: str = "answer") -> DataFrame:
@@ -299,8 +363,12 @@ def _code_scorer(df: DataFrame) -> DataFrame:
     return df.withColumn("code_score", F.when(_routed_to(df, "code"), code_score(F.col("answer"), F.col("ground_truth"), ran, F.col("exec_stdout"))))
 
 
+#: Columns that bring the specification of tool answers, where a table has them.
+TOOL_COLUMNS = {"schema": "tool_schema", "catalog": "tool_catalog", "required": "tool_required"}
+
+
 def _tool_scorer(df: DataFrame) -> DataFrame:
-    return tool_scores(df, only=_routed_to(df, "tool"))
+    return tool_scores(df, only=_routed_to(df, "tool"), **{stage: column for stage, column in TOOL_COLUMNS.items() if column in df.columns})
 
 
 register("math", _math_scorer)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candor.functions import jsonpaths as P
 from candor.functions import jsontext as J
 from candor.functions.code import javascript_syntax
+from candor.functions.messages import tools_in
 from candor.functions.numbers import UNITS
 from candor.functions.refusal import PATTERNS, PERSONA_PHRASES
 from candor.operators import cascade as K
@@ -171,20 +173,88 @@ SCHEMAS = (
 )
 
 
-@query(
-    "v07_schema_conformance",
-    W + f"""SELECT query_id, arrival, CASE supplier % 3
+# SQL: whether a call `js` meets the schema of its supplier.
+CONFORMS_SQL = """CASE supplier % 3
       WHEN 0 THEN coalesce(json_type(js) = 'OBJECT' AND json_type(js -> '$.tool') = 'VARCHAR' AND json_type(js -> '$.parameters') = 'OBJECT' AND json_type(js -> '$.parameters.city') = 'VARCHAR'
         AND coalesce(json_type(js -> '$.parameters.days') IN ('UBIGINT', 'BIGINT'), true), false)
       WHEN 1 THEN coalesce(json_type(js) = 'OBJECT' AND coalesce(js ->> '$.tool' = 'get_weather', true) AND len(list_filter(json_keys(js), lambda k: k NOT IN ('tool', 'parameters'))) = 0, false)
-      ELSE json_type(js) = 'ARRAY' END AS conforms FROM ({CALLS}) WHERE js IS NOT NULL""",
-)
+      ELSE json_type(js) = 'ARRAY' END"""
+
+
+def schemas(spark: SparkSession) -> DataFrame:
+    """The schemas as a constraint table, read once each."""
+    rows = spark.createDataFrame(list(enumerate(SCHEMAS)), "schema_no int, text string")
+    return S.schema_table(rows.select("schema_no", F.parse_json("text").alias("tool_schema")), "tool_schema")
+
+
+@query("v07_schema_conformance", W + f"SELECT query_id, arrival, js IS NOT NULL AND {CONFORMS_SQL} AS conforms FROM ({CALLS})")
 def v07(spark: SparkSession, folder: str) -> DataFrame:
-    rows = candidates(spark, folder).where(F.col("split") == "tool_calling").withColumn("call", S.call_in(F.col("answer"))).where(F.col("call").isNotNull())
-    schema = F.lit(SCHEMAS[2])
-    for i in (1, 0):
-        schema = F.when(F.col("supplier") % 3 == i, F.lit(SCHEMAS[i])).otherwise(schema)
-    return rows.withColumn("schema", F.parse_json(schema)).select(*KEY, S.conforms(F.col("call"), F.col("schema")).alias("conforms"))
+    rows = candidates(spark, folder).where(F.col("split") == "tool_calling").select(*KEY, (F.col("supplier") % 3).cast("int").alias("schema_no"), S.call_in(F.col("answer")).alias("call"))
+    met = P.meets(P.document(F.col("call")), F.col("tool_schema"))
+    return rows.join(schemas(spark), "schema_no").select(*KEY, F.coalesce(met, F.lit(False)).alias("conforms"))
+
+
+# The tools that the prompt of a candidate offers, and the fields that some candidates must have.
+OFFERED = case(
+    "l_suppkey % 3",
+    "'{\"tools\": [{\"type\": \"function\", \"function\": {\"name\": \"get_weather\", \"parameters\": {}}}, {\"name\": \"search\", \"parameters\": {}}]}'",
+    "'{\"tools\": [{\"name\": \"search\", \"parameters\": {}}]}'",
+    "'{\"tools\": []}'",
+)
+OFFERED_SQL = "CASE supplier % 3 WHEN 0 THEN ['get_weather', 'search'] WHEN 1 THEN ['search'] ELSE [] END"
+# A schema for one candidate in four; the others are checked by the later stages.
+FULL_TOOL_SQL = f"""SELECT *, CASE WHEN answer = '' THEN 'missing_answer' WHEN js IS NULL THEN 'no_json' WHEN part % 4 = 0 AND NOT {CONFORMS_SQL} THEN 'schema'
+    WHEN supplier % 3 <> 2 AND coalesce(NOT list_contains({OFFERED_SQL}, tool_name), true) THEN 'tool_exists'
+    WHEN line % 2 = 0 AND (json_type(js) <> 'OBJECT' OR NOT list_contains(json_keys(js), 'tool') OR NOT list_contains(json_keys(js), 'parameters')) THEN 'required_fields'
+    WHEN arguments IS NOT NULL AND json_type(arguments) <> 'OBJECT' THEN 'parameter_types' WHEN ground_truth IS NULL THEN 'full_validation' ELSE {TRUTH_METHOD} END AS method
+  FROM (SELECT *, CAST(ground_truth AS JSON) AS g FROM ({CALLS}))"""
+
+
+def with_specification(spark: SparkSession, folder: str) -> DataFrame:
+    """All candidates with the tools their prompt offers, required fields, and the constraints of their schema."""
+    rows = table(spark, folder, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in CANDIDATES.items()], f"{OFFERED} AS offered")
+    rows = rows.withColumns({
+        "tool_catalog": F.transform(tools_in(F.col("offered")), lambda t: t["name"]),
+        "tool_required": F.when(F.col("line") % 2 == 0, F.array(F.lit("tool"), F.lit("parameters"))).otherwise(F.array().cast("array<string>")),
+        "schema_no": F.when(F.col("part") % 4 == 0, (F.col("supplier") % 3).cast("int")),
+    })
+    return rows.join(schemas(spark), "schema_no", "left")
+
+
+@query("v06_tool_score_all_stages", W + f"SELECT query_id, arrival, {METHOD_CONFIDENCE} > 0 AS is_correct, {METHOD_CONFIDENCE} AS confidence, method FROM ({FULL_TOOL_SQL})")
+def v06_all(spark: SparkSession, folder: str) -> DataFrame:
+    rows = with_specification(spark, folder).where(F.col("split") == "tool_calling")
+    return opened(S.tool_scores(rows, **S.TOOL_COLUMNS), "tool_score", "is_correct", "confidence", "method")
+
+
+# API descriptions, one per nation. The schema of the body is given in place, by reference, or not at all; some descriptions lack the operation.
+WEATHER = '{\"type\": \"object\", \"properties\": {\"city\": {\"type\": \"string\"}, \"days\": {\"$ref\": \"#/components/schemas/Days\"}}, \"required\": [\"city\", \"days\"]}'
+BODY = '\"requestBody\": {\"content\": {\"application/json\": {\"schema\": '
+OPERATION = case(
+    "n_nationkey % 4",
+    f"'{{\"operationId\": \"get_weather\", {BODY}{WEATHER}}}}}}}}}'",
+    f"'{{\"operationId\": \"get_weather\", {BODY}{{\"$ref\": \"#/components/schemas/Weather\"}}}}}}}}}}'",
+    "'{\"operationId\": \"get_weather\"}'",
+    "'{\"operationId\": \"other\"}'",
+)
+DESCRIPTION = text(
+    "'{\"openapi\": \"3.0.0\", \"paths\": {\"/'", "n_name", "'\": {\"get\": {\"operationId\": \"list\"}, \"post\": '", OPERATION,
+    f"'}}}}, \"components\": {{\"schemas\": {{\"Weather\": {WEATHER}, \"Days\": {{\"type\": \"integer\"}}}}}}}}'",
+)
+
+
+@query(
+    "v06_api_operations",
+    W + """SELECT query_id, arrival, CASE WHEN method = 'schema' AND ok THEN 1.0e0 WHEN method = 'openapi' THEN 0.8e0 ELSE 0.0e0 END AS confidence, method FROM (
+      SELECT *, json_type(a -> '$.city') = 'VARCHAR' AND json_type(a -> '$.days') IN ('UBIGINT', 'BIGINT') AS ok FROM (
+      SELECT *, CASE WHEN json_type(arguments) = 'OBJECT' THEN arguments ELSE '{}'::JSON END AS a, CASE WHEN answer = '' THEN 'missing_answer' WHEN js IS NULL THEN 'no_json' WHEN coalesce(tool_name, '') = '' THEN 'no_tool'
+        WHEN tool_name <> 'get_weather' OR supplier % 25 % 4 = 3 THEN 'operation' WHEN supplier % 25 % 4 = 2 THEN 'openapi' ELSE 'schema' END AS method FROM (""" + CALLS + ")))",
+)
+def v06_api(spark: SparkSession, folder: str) -> DataFrame:
+    descriptions = table(spark, folder, "nation").selectExpr("n_nationkey AS nation", f"{DESCRIPTION} AS description")
+    operations = S.api_operations(descriptions.withColumn("description", J.parse(F.col("description"))), "nation")
+    rows = candidates(spark, folder).where(F.col("split") == "tool_calling").withColumn("nation", F.col("supplier") % 25)
+    return opened(S.api_scores(rows, operations, "nation"), "api_score", "confidence", "method")
 
 
 @query(
@@ -430,6 +500,55 @@ def cascade(spark: SparkSession, folder: str, variant: str) -> DataFrame:
 W_MATERIALIZED = W.replace("cand AS (", "cand AS MATERIALIZED (", 1)
 
 
+# Stored refusal judgments exist for one candidate in three.
+RESPONSE_SQL = "CASE WHEN raw_text <> '' THEN raw_text WHEN analysis <> '' THEN analysis || chr(10) || answer ELSE answer END"
+RESPONSE_KEY_SQL = f"left(sha256({strip_sql('question')} || '|' || {strip_sql('response')}), 16)"
+RESPONSES_JUDGED = f"""SELECT {RESPONSE_KEY_SQL} AS rkey, max(part) % 2 = 0 AS jr, (max(part) % 11) / 10.0e0 AS jrc, CASE WHEN max(part) % 2 = 0 THEN 'safety' END AS jrt
+  FROM (SELECT *, {RESPONSE_SQL} AS response FROM cand WHERE part % 3 = 0) GROUP BY 1"""
+
+
+def stored_response_judgments(rows: DataFrame) -> DataFrame:
+    joined = F.when(F.col("analysis") != "", F.concat_ws("\n", "analysis", "answer")).otherwise(F.col("answer"))
+    response = F.when(F.col("raw_text") != "", F.col("raw_text")).otherwise(joined)
+    grouped = rows.where(F.col("part") % 3 == 0).groupBy(refusal_key(F.col("question"), response).alias("key")).agg(F.max("part").alias("p"))
+    return grouped.select("key", (F.col("p") % 2 == 0).alias("is_refusal"), ((F.col("p") % 11) / 10.0).alias("confidence"), F.when(F.col("p") % 2 == 0, F.lit("safety")).alias("refusal_type"))
+
+
+def whole_cascade_sql(variant: str) -> str:
+    """SQL: the cascade with the specification of tool answers and with refusal judgments."""
+    sql = cascade_sql(variant)
+    if variant == "b":
+        plain = TOOL_SQL.replace("WHEN coalesce(tool_name NOT IN ('get_weather', 'search'), true) THEN 'tool_exists'", "")
+        assert plain in sql
+        sql = sql.replace(plain, FULL_TOOL_SQL)
+    body, _, _ = sql.rpartition("SELECT query_id, arrival, split, verified")
+    return body.rstrip() + f""",
+    asked AS (SELECT *, NOT verified AND ((rc > 0 AND rc < 0.7) OR (rc = 0 AND length(response) > 500) OR (rc >= 0.5 AND rc < 0.8)) AS need, {RESPONSE_KEY_SQL} AS rkey FROM final)
+    SELECT query_id, arrival, split, verified, round(score, 6) AS score, CASE WHEN verified THEN false WHEN need THEN coalesce(jr, false) ELSE rc >= 0.5 END AS is_refusal,
+      CASE WHEN verified THEN 1.0e0 WHEN need THEN coalesce(jrc, 0.0e0) ELSE rc END AS refusal_confidence, CASE WHEN verified THEN NULL WHEN need THEN coalesce(jrt, {type_sql('h')}) ELSE {type_sql('h')} END AS refusal_type
+    FROM asked LEFT JOIN ({RESPONSES_JUDGED}) USING (rkey)"""
+
+
+def whole_cascade(spark: SparkSession, folder: str, variant: str) -> DataFrame:
+    rows = candidates(spark, folder)
+    scored = K.score_candidates(with_specification(spark, folder), variant, stored_judgments(rows, variant == "a"), stored_response_judgments(rows))
+    v, r = F.col("verification"), F.col("refusal")
+    return scored.select(
+        *KEY, "split", v["is_verified"].alias("verified"), F.round(v["score"], 6).alias("score"),
+        r["is_refusal"].alias("is_refusal"), r["confidence"].alias("refusal_confidence"), r["refusal_type"].alias("refusal_type"),
+    )
+
+
+@query("v17_v18_all_stages", W_MATERIALIZED.rstrip() + whole_cascade_sql("a"))
+def v18_all(spark: SparkSession, folder: str) -> DataFrame:
+    return whole_cascade(spark, folder, "a")
+
+
+@query("v18_all_stages_variant_b", W_MATERIALIZED.rstrip() + whole_cascade_sql("b"))
+def v18_all_b(spark: SparkSession, folder: str) -> DataFrame:
+    return whole_cascade(spark, folder, "b")
+
+
 @query("v17_v18_score_candidates", W_MATERIALIZED.rstrip() + cascade_sql("a"))
 def v18(spark: SparkSession, folder: str) -> DataFrame:
     return cascade(spark, folder, "a")

@@ -1,24 +1,12 @@
-"""Comparison of JSON values of any depth.
-
-Spark has no recursive expression, so these three walk the canonical text of two VARIANT values in an Arrow-batched function. Each walk is a loop over a
-stack of pairs: depth is bounded by memory only. Pairs that plain column expressions can already decide are passed as NULL by the callers.
-"""
+"""Plain comparisons of JSON values, walked pair by pair: what the path rows are checked against."""
 
 from __future__ import annotations
 
 import json
 import re
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
-
-# Words that count as true or false.
-TRUE_WORDS = ("true", "yes", "1", "on")
-FALSE_WORDS = ("false", "no", "0", "off")
+from candor.functions.jsonpaths import FALSE_WORDS, NUMBER, TRUE_WORDS
 
-#: A number as JSON and Python write it; suffixes and hexadecimal forms of other languages are no numbers.
-NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?:[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])"
 _NUMBER = re.compile(NUMBER)
 
 
@@ -51,7 +39,7 @@ def _plain(key: str) -> str:
     return key.lower().replace("_", "").replace("-", "")
 
 
-def _covers(data, truth) -> bool:
+def covers(data, truth) -> bool:
     pairs = [(data, truth)]
     while pairs:
         a, b = pairs.pop()
@@ -65,7 +53,7 @@ def _covers(data, truth) -> bool:
     return True
 
 
-def _same_result(actual, expected) -> bool:
+def same_result(actual, expected) -> bool:
     pairs = [(actual, expected)]
     while pairs:
         a, b = pairs.pop()
@@ -90,7 +78,7 @@ def _kinds(value) -> tuple[str, ...]:
     return ({dict: "object", list: "array", str: "string", type(None): "null"}[type(value)],)
 
 
-def _conforms(value, schema) -> bool:
+def conforms(value, schema) -> bool:
     pairs = [(value, schema)]
     while pairs:
         v, rules = pairs.pop()
@@ -114,15 +102,3 @@ def _conforms(value, schema) -> bool:
         elif isinstance(v, list) and isinstance(rules.get("items"), dict):
             pairs.extend((x, rules["items"]) for x in v)
     return True
-
-
-def _pairwise(test):
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else test(json.loads(x), json.loads(y)) for x, y in zip(a, b)], dtype="object")
-
-    return F.pandas_udf(run, BooleanType())
-
-
-covers_text = _pairwise(_covers)
-same_result_text = _pairwise(_same_result)
-conforms_text = _pairwise(_conforms)
