@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candor.llm.common import small_batches
+from candor.session import scratch_path
 
 CHUNK = 64
 BLOCKS = 64
@@ -70,32 +71,52 @@ class Item:
     answer: set
 
 
+@dataclass
+class Statistics:
+    """What weights depend on besides the segment itself. It covers all items, so an item scores alike whichever index it is in."""
+
+    segments: int
+    mean_length: float
+    frequency: dict[str, int]
+
+
+def segments_of(question: str, answer: str) -> list[list[str]]:
+    """The words of an item in segments of about equal length, at most CHUNK words each."""
+    q, a = words_in(question), words_in(answer)
+    # An item of one part has it as question and as answer.
+    both = q if question == answer else q + a
+    pieces = -(-len(both) // CHUNK)
+    size = -(-len(both) // max(1, pieces))
+    return [both[k * size : (k + 1) * size] for k in range(pieces)]
+
+
+def statistics_of(items: list[tuple[int | None, str, str]]) -> Statistics:
+    found = [s for _, question, answer in items for s in segments_of(question, answer)]
+    return Statistics(len(found), sum(map(len, found)) / max(1, len(found)), Counter(t for s in found for t in set(s)))
+
+
 class BlockMaxIndex:
-    def __init__(self, items: list[tuple[int | None, str, str]]) -> None:
+    def __init__(self, items: list[tuple[int | None, str, str]], statistics: Statistics | None = None) -> None:
+        """statistics: of all items, where these are only some of them."""
+        known = statistics or statistics_of(items)
         self.items: list[Item] = []
         segments: list[list[str]] = []
         self.owner: list[int] = []
         for item_id, question, answer in items:
-            q, a = words_in(question), words_in(answer)
-            # An item of one part has it as question and as answer.
-            both = q if question == answer else q + a
-            if not both:
+            own = segments_of(question, answer)
+            if not own:
                 continue
-            pieces = -(-len(both) // CHUNK)
-            size = -(-len(both) // pieces)
-            for k in range(pieces):
-                segments.append(both[k * size : (k + 1) * size])
-                self.owner.append(len(self.items))
-            self.items.append(Item(item_id, len(both), grams(q or a), grams(a or q)))
+            segments += own
+            self.owner += [len(self.items)] * len(own)
+            q, a = words_in(question), words_in(answer)
+            self.items.append(Item(item_id, sum(map(len, own)), grams(q or a), grams(a or q)))
         self.term: dict[str, int] = {}
-        frequency = Counter(t for s in segments for t in set(s))
-        mean = sum(map(len, segments)) / max(1, len(segments))
         postings: list[list[tuple[int, float]]] = []
         for k, segment in enumerate(segments):
             weight = {}
             for t, tf in Counter(segment).items():
-                idf = np.log(1 + (len(segments) - frequency[t] + 0.5) / (frequency[t] + 0.5))
-                weight[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segment) / mean))
+                idf = np.log(1 + (known.segments - known.frequency[t] + 0.5) / (known.frequency[t] + 0.5))
+                weight[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segment) / known.mean_length))
             total = sum(weight.values())
             for t, w in weight.items():
                 at = self.term.setdefault(t, len(postings))
@@ -216,15 +237,44 @@ def contaminated(question: float, answer: float) -> bool:
     return question >= QUESTION_SHARE and answer >= ANSWER_SHARE
 
 
+def _texts(rows: list) -> list[tuple[int | None, str, str]]:
+    """(item id, question, answer) of rows with `question` and `answer`, or with `text`."""
+    return [(r[0], *((r[1] or "", r[2] or "") if len(r) == 3 else split_item(r[1] or ""))) for r in rows]
+
+
+def statistics(items: DataFrame) -> tuple[DataFrame, int, float]:
+    """Document frequencies over all items of the terms of each group (`part`, `term`, `frequency`), the number of segments and their mean length."""
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in batch.schema.names]
+            found = [(g, s) for g, item in zip(columns[0], _texts(list(zip(*columns[1:])))) for s in segments_of(*item[1:])]
+            # The length is counted once per segment, at its first term.
+            rows = [(g, t, 0 if k else len(s), not k) for g, s in found for k, t in enumerate(set(s))]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(list(zip(*rows)) or [()] * 4, kinds)], ["part", "term", "words", "first"])
+
+    path = scratch_path(items.sparkSession, "item_terms")
+    items.mapInArrow(terms, "part long, term string, words long, first boolean").write.parquet(path)
+    rows = items.sparkSession.read.parquet(path)
+    total = rows.agg(F.count_if("first").alias("segments"), F.sum("words").alias("words")).first()
+    frequency = rows.groupBy("term").agg(F.count("*").alias("frequency"))
+    return rows.select("part", "term").distinct().join(frequency, "term"), total.segments, (total.words or 0) / max(1, total.segments)
+
+
 def indexes(items: DataFrame) -> Iterator[BlockMaxIndex]:
-    """Indexes of at most about GROUP items each, from `item_id` with `question` and `answer`, or with `text`."""
+    """Indexes of at most about GROUP items each, from `item_id` with `question` and `answer`, or with `text`. Weights are those of all items together."""
     groups = -(-items.count() // GROUP)
+    if not groups:
+        return
     parts = ["question", "answer"] if "question" in items.columns else ["text"]
+    rows = items.select(F.pmod(F.xxhash64("item_id", *parts), F.lit(groups)).alias("_part"), "item_id", *parts)
+    frequencies, segments, mean = statistics(rows)
     for g in range(groups):
         # One group of the stated query set at a time.
-        rows = items.where(F.pmod(F.xxhash64("item_id", *parts), F.lit(groups)) == g).select("item_id", *parts).collect()
-        texts = [(r["item_id"], *((r[1] or "", r[2] or "") if len(parts) == 2 else split_item(r[1] or ""))) for r in rows]
-        yield BlockMaxIndex(sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0, t[1:])))
+        texts = _texts(rows.where(F.col("_part") == g).select("item_id", *parts).collect())
+        known = {r.term: r.frequency for r in frequencies.where(F.col("part") == g).collect()}
+        yield BlockMaxIndex(sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0, t[1:])), Statistics(segments, mean, known))
 
 
 def find(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

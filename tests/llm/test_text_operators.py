@@ -207,6 +207,21 @@ def test_search_finds_what_a_full_scan_finds():
             assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
 
+@pytest.mark.parametrize("size", [1, 7, 5000])
+def test_results_do_not_depend_on_the_groups_of_items(spark, monkeypatch, size):
+    rng = random.Random(11)
+    common = [f"shared{i}" for i in range(26)]
+    rows = [(i, " ".join(common) + f" own{i}a own{i}b. answer{i}a answer{i}b answer{i}c answer{i}d") for i in range(30)]
+    rows += [(100 + i, " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randint(1, 150)))) for i in range(10)] + [(None, None), (3, rows[3][1])]
+    texts = [(1, " ".join(common) + " answer5a answer5b answer5c"), (2, rows[31][1] or ""), (3, "filler " * 300 + rows[7][1]), (4, "w1 w2"), (None, rows[9][1])]
+    monkeypatch.setattr(decontamination, "GROUP", size)
+    found = decontamination.find(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string"))
+    got = sorted((repr((r.doc_id, r.item_id)), round(r.score, 6)) for r in found.collect())
+    index = decontamination.BlockMaxIndex(decontamination._texts(rows))
+    whole = [(texts[i][0], item, score) for i, item, score, *shares in index.matches([t for _, t in texts]) if decontamination.contaminated(*shares)]
+    assert got == sorted((repr((i, item)), round(score, 6)) for i, item, score in whole) and len(got) > 3
+
+
 def test_op3_equals_a_full_scan(spark):
     def norm(t):
         return f" {' '.join(re.findall(r'[^\W_]+', t.lower()))} "
