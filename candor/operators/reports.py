@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candor.functions.jsontext import parse
 from candor.operators.selection import is_terse_but_reasoned
 
 VERIFIED = "verification_is_verified"
@@ -156,21 +159,64 @@ def numeric_describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Equal values are counted before the quartiles are taken, so the counts are spread over the tasks and what meets in the end is one row per distinct value.
     """
+    counts = value_counts(df, columns)
     n, v = F.col("n"), F.col("value")
-    total, mean = F.sum("n"), F.sum(v * n) / F.sum("n")
     quartiles = [F.percentile("value", F.lit(p), F.col("n")).alias(name) for name, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
-    spread = (F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / total) / F.nullif(total - 1, F.lit(0))
-    return value_counts(df, columns).groupBy("column").agg(
-        total.cast("double").alias("count"), mean.alias("mean"), F.sqrt(F.greatest(spread, F.lit(0.0))).alias("std"), F.min("value").alias("min"), *quartiles, F.max("value").alias("max")
+    # Deviations from the mean, since a difference of sums of squares loses large values. One row per column meets the counts.
+    means = counts.groupBy(F.col("column").alias("_column")).agg((F.sum(v * n) / F.sum("n")).alias("_mean"))
+    centred = counts.join(means, F.col("column") == F.col("_column"))
+    spread = F.sum((v - F.col("_mean")) * (v - F.col("_mean")) * n) / F.nullif(F.sum("n") - 1, F.lit(0))
+    return centred.groupBy("column").agg(
+        F.sum("n").cast("double").alias("count"), F.first("_mean").alias("mean"), F.sqrt(spread).alias("std"), F.min("value").alias("min"), *quartiles, F.max("value").alias("max")
+    )
+
+
+def run_state(df: DataFrame, run: str = "run_id") -> DataFrame:
+    """What run statistics need of some files, one row per run and query. States of different files add up (`merge_run_states`), so a file is read once."""
+    counted = lambda c: F.count(c)
+    true = lambda c: F.count_if(F.coalesce(F.col(c), F.lit(False)))
+    return df.groupBy(run, "query_id").agg(
+        F.count("*").alias("records"), counted(VERIFIED).alias("judged"), true(VERIFIED).alias("verified"), counted("refusal_is_refusal").alias("searched"),
+        true("refusal_is_refusal").alias("refused"), counted("persona_score").alias("personas"), F.coalesce(F.sum("persona_score"), F.lit(0.0)).alias("persona"),
+    )
+
+
+def merge_run_states(*states: DataFrame, run: str = "run_id") -> DataFrame:
+    """One state of several: numbers of the same run and query are added."""
+    together = reduce(DataFrame.unionByName, states)
+    return together.groupBy(run, "query_id").agg(*[F.sum(c).alias(c) for c in together.columns if c not in (run, "query_id")])
+
+
+def statistics_of_state(state: DataFrame, run: str = "run_id") -> DataFrame:
+    """Run statistics from a state: records, distinct queries, rates and the mean persona score."""
+    share = lambda part, whole: F.sum(part) / F.nullif(F.sum(whole), F.lit(0))
+    return state.groupBy(run).agg(
+        F.sum("records").alias("total_records"), F.count("query_id").alias("total_queries"), share("verified", "judged").alias("avg_verification_rate"),
+        share("refused", "searched").alias("avg_refusal_rate"), share("persona", "personas").alias("avg_persona_score"),
     )
 
 
 def run_statistics(df: DataFrame, run: str = "run_id") -> DataFrame:
-    return df.groupBy(run).agg(
-        F.count("*").alias("total_records"), F.count_distinct("query_id").alias("total_queries"),
-        rate(VERIFIED).alias("avg_verification_rate"), rate("refusal_is_refusal").alias("avg_refusal_rate"),
-        F.avg("persona_score").alias("avg_persona_score"),
+    return statistics_of_state(run_state(df, run), run)
+
+
+def threshold_sweep(df: DataFrame, score: str, thresholds: list[float], keys: list[str], truth: Column | None = None) -> DataFrame:
+    """Rows, accepted rows (`score` at or above the threshold) and their rate for every threshold at once, per key.
+
+    One pass counts the rows between neighbouring thresholds; what is accepted at a threshold is the sum of the counts from there up, so no row is scored or
+    counted again per threshold. `accepted_true` are the accepted rows that `truth` holds for. Rows without a score don't count.
+    """
+    limits = sorted(set(thresholds))
+    reached = F.size(F.filter(F.array(*[F.lit(float(t)) for t in limits]), lambda t: F.col(score) >= t))
+    flag = F.lit(False) if truth is None else F.coalesce(truth, F.lit(False))
+    counts = df.where(F.col(score).isNotNull()).groupBy(*keys, reached.alias("_reached")).agg(F.count("*").alias("n"), F.count_if(flag).alias("n_true"))
+    # Per key an array of at most one entry per threshold.
+    slots = counts.groupBy(*keys).agg(F.collect_list(F.struct("_reached", "n", "n_true")).alias("_slots"), F.sum("n").alias("rows"))
+    each = slots.select(*keys, "_slots", "rows", F.posexplode(F.array(*[F.lit(float(t)) for t in limits])).alias("_at", "threshold"))
+    above = lambda field: F.aggregate(
+        F.filter("_slots", lambda s: s["_reached"] > F.col("_at")), F.lit(0).cast("long"), lambda total, s: total + s[field]
     )
+    return each.select(*keys, "threshold", "rows", above("n").alias("accepted"), (above("n") / F.col("rows")).alias("rate"), above("n_true").alias("accepted_true"))
 
 
 def failure_guard(tasks: DataFrame, failed: Column, max_rate: float, keys: list[str]) -> DataFrame:
@@ -192,7 +238,7 @@ def case_pass_rates(cases: DataFrame) -> DataFrame:
 def tool_usage(df: DataFrame, calls: str = "tool_calls", name: str = "name") -> DataFrame:
     """Calls, unreadable arguments and conversations per tool name."""
     call = df.select("query_id", F.explode(calls).alias("call"))
-    bad = F.try_parse_json(F.col("call")["arguments"]).isNull()
+    bad = parse(F.col("call")["arguments"]).isNull()
     return call.groupBy(F.col("call")[name].alias("tool")).agg(
         F.count("*").alias("calls"), F.count_if(bad).alias("errors")
     )

@@ -19,7 +19,8 @@ from candor.functions import jsontext as J
 from candor.functions.code import code_in, code_or_text, javascript_syntax, language_of, python_syntax_of
 from candor.functions.numbers import is_close, normalized_expression, number_in, same_quantity
 from candor.functions.text import bind, non_empty, strip
-from candor.operators.joins import fresh
+from candor.operators.joins import attach_execution, fresh, one_per_key
+from candor.operators.reports import case_pass_rates
 from candor.operators.selection import scorer_for
 
 SCORE = "struct<is_correct:boolean,confidence:double,explanation:string,method:string,verifier_name:string>"
@@ -117,6 +118,19 @@ def case_passed(ran: Column, stdout: Column, expected: Column) -> Column:
     return ran & ((actual == wanted) | F.contains(actual, wanted))
 
 
+def case_scores(df: DataFrame, cases: DataFrame, results: DataFrame) -> DataFrame:
+    """Per candidate with test cases: passed, total and the verdict (all pass, their share, none).
+
+    `cases` has a query's expected outputs in order (`query_id`, `cases`), `results` a row per query_id, candidate_idx and case_no. A case without a result fails. A case
+    meets its result by three keys, so a query with very many candidates is spread; queries without a case have no row.
+    """
+    lists = one_per_key(cases.select("query_id", "cases"), ["query_id"]).select(fresh(F.col("query_id")).alias("query_id"), "cases")
+    wanted = df.select("query_id", "candidate_idx").join(lists, "query_id").select("query_id", "candidate_idx", F.posexplode("cases").alias("case_no", "expected_output"))
+    joined = attach_execution(wanted, results, ["query_id", "candidate_idx", "case_no"])
+    ran = succeeded(F.col("exec_exit_code"), F.col("exec_timed_out"), F.col("exec_error")) & F.col("exec_exit_code").isNotNull()
+    return case_pass_rates(joined.withColumn("passed", F.coalesce(case_passed(ran, F.col("exec_stdout"), F.col("expected_output")), F.lit(False))))
+
+
 # --- tool calls ------------------------------------------------------------------------------------
 
 def required_fields_missing(call: Column, required: Column) -> Column:

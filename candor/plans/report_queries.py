@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candor.config import DEFAULTS
 from candor.functions.text import is_retryable
 from candor.operators import reports as R
-from candor.plans.fixtures import CAND_CTE, candidates, table
+from candor.plans.fixtures import CAND_CTE, candidates, derived, select_sql, table
 from candor.plans.registry import query
 from candor.sources.runs import run_rows
 
@@ -141,23 +141,40 @@ def a12(spark: SparkSession, folder: str) -> DataFrame:
     return R.first_model(candidates(spark, folder), ["query_id", "arrival"])
 
 
-CASES = """SELECT query_id, candidate_idx, split, quantity, exec_exit_code = 0 AND NOT exec_timed_out AND exec_error IS NULL
-  AND contains(trim(exec_stdout, ' ' || chr(10)), ground_truth_answer) AS passed FROM cand WHERE split = 'code' AND ground_truth_answer IS NOT NULL"""
+# Up to three test cases per order, and results of two of them for one candidate; other results are missing.
+CASE_LISTS = {"query_id": "CAST(o_orderkey AS STRING)", "n": "CAST(o_custkey % 4 AS INT)", "status": "o_orderstatus"}
+CASE_RESULTS = {
+    "query_id": "CAST(o_orderkey AS STRING)", "candidate_idx": "CAST(o_custkey % 3 AS INT)", "stdout": "'out ' || o_orderstatus", "stderr": "''",
+    "exit_code": "(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END)", "timed_out": "(o_totalprice > 300000)", "error": "(CASE WHEN o_orderpriority = '1-URGENT' THEN 'boom' END)",
+}
 
 
 @query(
     "a20_case_pass_rates",
     W + f"""SELECT query_id, candidate_idx, count(*) FILTER (WHERE passed) AS passed, count(*) AS total,
     count(*) FILTER (WHERE passed) = count(*) AS is_correct, round(count(*) FILTER (WHERE passed) * 1.0 / count(*), 6) AS confidence
-    FROM ({CASES}) GROUP BY query_id, candidate_idx""",
+    FROM (SELECT c.query_id, c.candidate_idx, coalesce(exit_code = 0 AND NOT timed_out AND error IS NULL AND contains(stdout, expected), false) AS passed
+      FROM cand c JOIN (SELECT query_id, unnest(range(n)) AS case_no, unnest([status, 'F', 'out'][1:n]) AS expected FROM ({select_sql(CASE_LISTS, 'orders')})) e USING (query_id)
+      LEFT JOIN (SELECT *, unnest([0, 1]) AS case_no FROM ({select_sql(CASE_RESULTS, 'orders')})) r ON r.query_id = c.query_id AND r.candidate_idx = c.candidate_idx AND r.case_no = e.case_no)
+    GROUP BY query_id, candidate_idx""",
 )
 def a20(spark: SparkSession, folder: str) -> DataFrame:
-    from candor.operators.scoring import case_passed, succeeded
+    from candor.operators.scoring import case_scores
 
-    rows = candidates(spark, folder).where((F.col("split") == "code") & F.col("ground_truth_answer").isNotNull())
-    ran = succeeded(F.col("exec_exit_code"), F.col("exec_timed_out"), F.col("exec_error"))
-    cases = rows.withColumn("passed", case_passed(ran, F.col("exec_stdout"), F.col("ground_truth_answer")))
-    return rounded(R.case_pass_rates(cases), "confidence")
+    lists = derived(spark, folder, "orders", CASE_LISTS)
+    cases = lists.select("query_id", F.slice(F.array(F.col("status"), F.lit("F"), F.lit("out")), F.lit(1), F.col("n")).alias("cases"))
+    results = derived(spark, folder, "orders", CASE_RESULTS).withColumn("case_no", F.explode(F.array(F.lit(0), F.lit(1))))
+    return rounded(case_scores(candidates(spark, folder), cases, results), "confidence")
+
+
+@query(
+    "x04_threshold_sweep",
+    W + f"""SELECT split, threshold, count(*) AS rows, count(*) FILTER (WHERE verification_score >= threshold) AS accepted, round(count(*) FILTER (WHERE verification_score >= threshold) * 1.0 / count(*), 6) AS rate,
+    count(*) FILTER (WHERE verification_score >= threshold AND {V}) AS accepted_true FROM cand, (SELECT i / 20.0e0 AS threshold FROM range(20) t(i)) GROUP BY split, threshold""",
+)
+def x04(spark: SparkSession, folder: str) -> DataFrame:
+    """Acceptance at twenty thresholds from one pass."""
+    return rounded(R.threshold_sweep(candidates(spark, folder), "verification_score", [i / 20 for i in range(20)], ["split"], F.col(V)), "rate")
 
 
 @query(

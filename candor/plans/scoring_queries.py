@@ -89,14 +89,19 @@ def v03(spark: SparkSession, folder: str) -> DataFrame:
 CODE_VALID = "CASE WHEN language = 'python' AND code <> '' THEN NOT (contains(code, 'def f(:') OR contains(code, 'I cannot')) WHEN language = 'javascript' THEN true END"
 
 
+# SQL: which answers are programs. Of the maths answers one form is a Python expression; of the tool answers those that are JSON are (`true` is a name there).
+ANSWER_VALID = f"""CASE WHEN split = 'math' THEN CASE WHEN {strip_sql('code')} <> '' THEN regexp_matches(code, '^[0-9]+/0$') END
+    WHEN split = 'tool_calling' THEN CASE WHEN {strip_sql('code')} <> '' THEN starts_with(code, '{{') AND json_valid(code) END ELSE {CODE_VALID} END"""
+
+
 @query(
     "v05_syntax_audit",
     W + f"""SELECT split, language, count(*) AS answers, count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid,
     count(*) FILTER (WHERE ok AND language = 'python' AND contains(code, 'def ')) AS with_function, 0 AS with_class
-    FROM (SELECT *, {CODE_VALID} AS ok FROM (SELECT *, {CODE_OR_TEXT} AS code FROM ({LANGUAGE}) WHERE split = 'code')) GROUP BY split, language""",
+    FROM (SELECT *, {ANSWER_VALID} AS ok FROM (SELECT *, {CODE_OR_TEXT} AS code FROM ({LANGUAGE}))) GROUP BY split, language""",
 )
 def v05(spark: SparkSession, folder: str) -> DataFrame:
-    return S.syntax_audit(candidates(spark, folder).where(F.col("split") == "code"))
+    return S.syntax_audit(candidates(spark, folder))
 
 
 SCRIPT = case(

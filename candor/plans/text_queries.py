@@ -218,15 +218,8 @@ CODE_OR_TEXT = f"""CASE WHEN regexp_matches(answer, '(?is)```python\\n.+?```') T
   WHEN regexp_matches(answer, '(?s)```\\n.+?```') THEN {strip_sql("regexp_extract(answer, '(?s)```\\n(.+?)```', 1)")} ELSE {strip_sql('answer')} END"""
 
 
-@query("f19_code_or_text", W + f"SELECT query_id, arrival, {CODE_OR_TEXT} AS code FROM cand WHERE split = 'code'")
+@query("f19_code_or_text", W + f"SELECT query_id, arrival, {CODE_OR_TEXT} AS code FROM cand")
 def f19(spark: SparkSession, folder: str) -> DataFrame:
-    rows = candidates(spark, folder).where(F.col("split") == "code")
-    return rows.select(*KEY, C.code_or_text(F.col("answer")).alias("code"))
-
-
-@query("f19_code_or_text_all", W + f"SELECT query_id, arrival, {CODE_OR_TEXT} AS code FROM cand")
-def f19_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The answers of all splits."""
     return candidates(spark, folder).select(*KEY, C.code_or_text(F.col("answer")).alias("code"))
 
 
@@ -307,21 +300,9 @@ JSON_TEXT = f"""CASE WHEN regexp_matches(answer, '(?is)```json\\s*\\n.*?```') TH
 @query(
     "f23_json_in",
     W + f"""SELECT query_id, arrival, json_valid(j) AS readable, CASE WHEN json_valid(j) AND json_type(j) = 'OBJECT' THEN len(json_keys(j)) END AS members
-    FROM (SELECT *, {JSON_TEXT} AS j FROM cand WHERE split = 'tool_calling')""",
-)
-def f23(spark: SparkSession, folder: str) -> DataFrame:
-    rows = candidates(spark, folder).where(F.col("split") == "tool_calling").withColumn("found", J.json_in(F.col("answer")))
-    members = F.size(J.as_object(F.col("found")))
-    return rows.select(*KEY, F.col("found").isNotNull().alias("readable"), F.when(members >= 0, members).cast("long").alias("members"))
-
-
-@query(
-    "f23_json_in_all",
-    W + f"""SELECT query_id, arrival, json_valid(j) AS readable, CASE WHEN json_valid(j) AND json_type(j) = 'OBJECT' THEN len(json_keys(j)) END AS members
     FROM (SELECT *, {JSON_TEXT} AS j FROM cand)""",
 )
-def f23_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The answers of all splits."""
+def f23(spark: SparkSession, folder: str) -> DataFrame:
     rows = candidates(spark, folder).withColumn("found", J.json_in(F.col("answer")))
     members = F.size(J.as_object(F.col("found")))
     return rows.select(*KEY, F.col("found").isNotNull().alias("readable"), F.when(members >= 0, members).cast("long").alias("members"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -40,11 +41,10 @@ def without_duplicates(df: DataFrame, keys: list[str] | None = None, landing_tim
     return df.dropDuplicates(keys)
 
 
-def guard(batch: DataFrame, failed: Column, max_rate: float = DEFAULTS.max_failure_rate) -> None:
+def guard(rows: int, failed: int, max_rate: float = DEFAULTS.max_failure_rate) -> None:
     """Raises when too many rows of a batch failed."""
-    row = batch.agg(F.count("*").alias("rows"), F.count_if(failed).alias("failed")).first()
-    if row["failed"] > row["rows"] * max_rate:
-        raise TooManyFailures(f"{row['failed']} of {row['rows']} rows failed")
+    if failed > rows * max_rate:
+        raise TooManyFailures(f"{failed} of {rows} rows failed")
 
 
 def score_landed(
@@ -53,32 +53,53 @@ def score_landed(
 ) -> StreamingQuery:
     """Scores all files that have landed and stops. A second run only sees files that came since.
 
-    Each batch of each stream owns one folder that a repeated attempt overwrites, so a lost driver or executor never leaves rows twice, and a stream that
-    starts anew on the same sink does not overwrite what others wrote. With `keys`, a key that landed more than once, in one batch or in two, is scored once:
-    batches drop keys that the other folders of the sink hold.
+    A key is scored once, however often it lands: the stream keeps the keys it has seen as state next to its progress, so the work of a batch
+    depends on the batch and not on what came before. Only keys that other streams wrote to the same sink are read from there. Keys are dropped before anything is
+    scored. `keys` are KEYS unless named; an empty list turns this off.
+
+    A batch is read once: rows and failures are counted on the way, by the pass that writes. It writes to a folder that readers don't see, which is renamed when the
+    counts allow it, so a batch that fails leaves nothing visible. Each batch of each stream has one folder of its own that a repeated attempt replaces.
     """
     root = sink.rstrip("/")
     owner = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    keys = KEYS if keys is None else keys
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if failed is not None:
-            guard(batch, failed, max_rate)
-        scored = score(batch)
+        spark = batch.sparkSession
         if keys:
-            scored = without_duplicates(scored, keys)
-            done = _written(batch.sparkSession, root)
-            if done is not None:
-                others = done.where((F.col("stream") != owner) | (F.col("batch") != batch_id)).select(*keys).distinct()
-                scored = scored.join(others, keys, "left_anti")
-        scored.write.mode("overwrite").parquet(f"{root}/stream={owner}/batch={batch_id}")
-
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            others = _written_by_others(spark, root, owner)
+            if others is not None:
+                # Keys may be NULL, and a NULL key is a key as well.
+                same = reduce(and_, [batch[k].eqNullSafe(others[k]) for k in keys])
+                batch = batch.join(others.select(*keys).distinct(), same, "left_anti")
+        counts = Observation()
+        watched = batch.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.lit(False) if failed is None else failed).alias("failed"))
+        pending = f"{root}/_pending/stream={owner}/batch={batch_id}"
+        score(watched).write.mode("overwrite").parquet(pending)
+        guard(counts.get["rows"], counts.get["failed"], max_rate)
+        _publish(spark, pending, f"{root}/stream={owner}/batch={batch_id}")
+
+    once = stream.dropDuplicates(keys) if keys else stream
+    writer = once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def _written(spark: SparkSession, root: str) -> DataFrame | None:
-    """What the sink holds so far; None before the first batch."""
-    try:
-        return spark.read.option("basePath", root).parquet(root)
-    except AnalysisException:
-        return None
+def _publish(spark: SparkSession, pending: str, path: str) -> None:
+    """Puts a written folder in its place, instead of what an earlier attempt of the batch left there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(pending), hadoop.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not rename {pending} to {path}")
+
+
+def _written_by_others(spark: SparkSession, root: str, owner: str) -> DataFrame | None:
+    """What other streams wrote to the sink; None if there is nothing. Folders of this stream are not even listed file by file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    paths = [f"{root}/{n}" for n in names if n.startswith("stream=") and n != f"stream={owner}"]
+    return spark.read.option("basePath", root).parquet(*paths) if paths else None

@@ -10,6 +10,7 @@ from candor.functions import messages as M
 from candor.operators import joins as J
 from candor.operators import regeneration as G
 from candor.operators import reports as R
+from candor.operators import scoring as S
 from candor.operators import selection as P
 from candor.operators import style_reports as A
 from candor.operators.numbering import number_rows, slice_per_group
@@ -273,11 +274,56 @@ def test_reports_drop_missing_keys_and_values(spark):
     assert R.query_count(rows).first()["queries"] == 2
 
 
-def test_guard(spark):
-    rows = spark.range(10)
-    T.guard(rows, F.col("id") < 2, 0.2)
+def test_guard():
+    T.guard(10, 2, 0.2)
+    T.guard(0, 0, 0.2)
     with pytest.raises(T.TooManyFailures):
-        T.guard(rows, F.col("id") < 3, 0.2)
+        T.guard(10, 3, 0.2)
+
+
+def test_threshold_sweep_equals_one_run_per_threshold(spark):
+    rows = spark.range(500).select((F.col("id") % 3).cast("string").alias("split"), F.when(F.col("id") % 17 > 0, (F.col("id") * 7 % 101) / 100.0).alias("score"), (F.col("id") % 5 == 0).alias("refused"))
+    thresholds = [i / 20 for i in range(20)] + [0.5]
+    got = {(r.split, r.threshold): (r.rows, r.accepted, r.rate, r.accepted_true) for r in R.threshold_sweep(rows, "score", thresholds, ["split"], F.col("refused")).collect()}
+    assert len(got) == 60
+    for limit in thresholds:
+        for r in rows.where("score IS NOT NULL").groupBy("split").agg(
+            F.count("*").alias("n"), F.count_if(F.col("score") >= limit).alias("a"), F.count_if((F.col("score") >= limit) & F.col("refused")).alias("t")
+        ).collect():
+            assert got[r.split, limit] == (r.n, r.a, pytest.approx(r.a / r.n), r.t)
+
+
+def test_describe_of_large_values(spark):
+    rows = spark.createDataFrame([(1e9,), (1e9 + 1,), (1e9 + 2,), (None,)], "x double")
+    assert R.numeric_describe(rows, ["x"]).first()["std"] == 1.0
+    assert R.numeric_describe(rows.limit(1), ["x"]).first()["std"] is None
+
+
+def test_run_state_grows_by_what_lands(spark):
+    kind = "run_id string, query_id string, verification_is_verified boolean, refusal_is_refusal boolean, persona_score double"
+    rows = table(spark, kind, [("a", "q1", True, None, 1.0), ("a", "q1", False, True, None), ("a", None, None, False, 3.0), ("b", "q1", True, True, None), (None, "q2", True, False, 2.0), ("a", "q2", True, False, 1e9)])
+    parts = rows.withColumn("n", F.monotonically_increasing_id() % 3)
+    state = None
+    for i in range(3):
+        state = R.merge_run_states(*[s for s in (state, R.run_state(parts.where(F.col("n") == i))) if s is not None])
+    whole = sorted(map(tuple, R.run_statistics(rows).collect()), key=repr)
+    assert sorted(map(tuple, R.statistics_of_state(state).collect()), key=repr) == whole and len(whole) == 3
+
+
+def test_tool_errors_are_strict(spark):
+    rows = spark.createDataFrame([("q", [("f", '{"a":1}] tail'), ("f", '{"a":1}'), ("f", None)])], "query_id string, tool_calls array<struct<name string, arguments string>>")
+    assert tuple(R.tool_usage(rows).first()) == ("f", 3, 2)
+
+
+def test_case_table_counts_missing_results_as_failures(spark):
+    cases = spark.createDataFrame([("q", ["1", "2", "3"]), ("r", ["1"]), ("s", []), (None, ["1"])], "query_id string, cases array<string>")
+    rows = spark.createDataFrame([("q", 0), ("q", 1), ("r", 0), ("s", 0), ("x", 0), (None, 0)], "query_id string, candidate_idx int")
+    results = spark.createDataFrame(
+        [("q", 0, i, str(i + 1), None, 0, False, None) for i in range(3)] + [("q", 1, 0, "1", None, 0, False, None), ("q", 1, 1, "2", None, 1, False, None), ("r", 0, 0, "no", None, 0, False, None)],
+        "query_id string, candidate_idx int, case_no int, stdout string, stderr string, exit_code int, timed_out boolean, error string",
+    )
+    got = {(r.query_id, r.candidate_idx): (r.passed, r.total, r.is_correct, round(r.confidence, 6)) for r in S.case_scores(rows, cases, results).collect()}
+    assert got == {("q", 0): (3, 3, True, 1.0), ("q", 1): (1, 3, False, 0.333333), ("r", 0): (0, 1, False, 0.0)}
 
 
 # --- files and streams ---
@@ -361,9 +407,29 @@ def test_stream_stops_on_failures(spark):
     landing, sink, progress = (scratch_path(spark, n) for n in ("landing", "sink", "progress"))
     rows = spark.range(10)
     rows.write.parquet(landing)
-    query = T.score_landed(T.landed(spark, landing, rows.schema), lambda df: df, sink, progress, failed=F.col("id") < 5)
+    query = T.score_landed(T.landed(spark, landing, rows.schema), lambda df: df, sink, progress, failed=F.col("id") < 5, keys=["id"])
     with pytest.raises(Exception, match="rows failed"):
         query.awaitTermination()
+    # Nothing of the batch can be seen.
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|PATH_NOT_FOUND"):
+        spark.read.parquet(sink)
+
+
+def test_a_batch_reads_itself_only(spark):
+    landing, sink, progress = (scratch_path(spark, n) for n in ("landing", "sink", "progress"))
+    rows = spark.range(5).select(F.col("id").cast("string").alias("query_id"), F.lit(0).alias("candidate_idx"))
+    for _ in range(4):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    plans = []
+
+    def score(batch):
+        plans.append(batch._jdf.queryExecution().toString())
+        return batch
+
+    T.score_landed(T.landed(spark, landing, rows.schema, files_per_batch=1), score, sink, progress).awaitTermination()
+    # Four batches, and none of them scans the sink.
+    assert len(plans) == 4 and not any(sink.rsplit("/", 1)[-1] in p for p in plans)
+    assert values(spark.read.parquet(sink), "query_id") == [(str(i),) for i in range(5)]
 
 
 def test_duplicates_on_a_stream_need_a_landing_time(spark):
@@ -374,7 +440,7 @@ def test_duplicates_on_a_stream_need_a_landing_time(spark):
     with pytest.raises(ValueError):
         T.without_duplicates(stream)
     sink, progress = scratch_path(spark, "s"), scratch_path(spark, "p")
-    T.score_landed(T.without_duplicates(stream, landing_time="at"), lambda df: df, sink, progress).awaitTermination()
+    T.score_landed(T.without_duplicates(stream, landing_time="at"), lambda df: df, sink, progress, keys=[]).awaitTermination()
     assert spark.read.parquet(sink).count() == 2
     assert T.without_duplicates(rows).count() == 2
 
