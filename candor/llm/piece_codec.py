@@ -26,6 +26,12 @@ from candor.llm.common import Memo, kept_in_worker, small_batches, text_of
 
 MARK = "▁"
 SCHEMA = "doc_id long, ids array<int>, decoded string"
+#: Codes of what can end a prefix: code points up to here are characters, then come pieces; START is before the first character.
+PIECE, START = 1 << 21, 1 << 23
+#: Answers of pair tests that a worker remembers.
+STABLE = 600_000
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", ".,!?;:|"
+_WORD_END = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ][{_MARKS}]")
 
 
 class PrefixTable:
@@ -42,13 +48,18 @@ class PrefixTable:
         self.score = {p: self.library.get_score(i) for p, i in self.id.items()}
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end_id = self.library.eos_id()
+        self.text = {i: p for p, i in self.id.items()}
         self.matches = ahocorasick.Automaton()
-        for piece in self.id:
-            self.matches.add_word(piece, piece)
+        for piece, i in self.id.items():
+            self.matches.add_word(piece, (len(piece), i))
         self.matches.make_automaton()
-        self.stable: dict[tuple[str, str], bool] = {}
+        # By the code of the last piece of a prefix, shifted, and the id of the next one.
+        self.stable: dict[int, bool] = {}
         part = r" *[^ \n]+| +|\n" if not any("\n" in p for p in self.id) else " *[^ ]+| +"
         cut = not any(MARK in p.lstrip(MARK) for p in self.id)
+        # Nor does merging go from a Latin word to the mark after it where no piece holds both.
+        if not any(_WORD_END.search(p) for p in self.id):
+            part = rf" *{_LETTERS}(?=[{_MARKS}])|{part}"
         self.parts = re.compile(part if cut else r"(?s).+")
         self.memo = Memo(lambda parts: [np.array(self._part(p), "<i4").tobytes() for p in parts], limit=150_000)
 
@@ -63,44 +74,54 @@ class PrefixTable:
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
         return symbols
 
-    def _fits(self, before: str, piece: str) -> bool:
-        key = (before, piece)
-        known = self.stable.get(key)
-        if known is None:
-            if len(self.stable) > 200_000:
-                # A bounded memory; an answer that is gone is found again.
-                self.stable.clear()
-            known = self.stable[key] = self._merged(before + piece) == ([before, piece] if before else [piece])
+    def _fits(self, before: int, piece: int) -> bool:
+        """Whether a piece can follow the last piece of a prefix, found by merging both texts."""
+        if len(self.stable) > STABLE:
+            # A bounded memory; an answer that is gone is found again.
+            self.stable.clear()
+        head, tail = ("" if before == START else self._text_of(before)), self.text[piece]
+        known = self.stable[before << 24 | piece] = self._merged(head + tail) == ([head, tail] if head else [tail])
         return known
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of an escaped text."""
-        last: list[str | None] = [None] * (len(text) + 1)
-        last[0] = ""
-        done = 1
-        for end, piece in self.matches.iter(text):
+    def _text_of(self, code: int) -> str:
+        return self.text[code - PIECE] if code >= PIECE else chr(code)
+
+    def _codes(self, text: str) -> list[int]:
+        """The pieces of an escaped text: PIECE + id, or the code point of a character that stands alone."""
+        last = [-1] * (len(text) + 1)
+        last[0], done, stable = START, 1, self.stable
+        for end, (size, piece) in self.matches.iter(text):
             at = end + 1
             while done < at:
                 # No piece of the vocabulary ends here in the encoding: the character stands alone.
-                if last[done] is None:
-                    last[done] = text[done - 1]
+                if last[done] < 0:
+                    last[done] = ord(text[done - 1])
                 done += 1
-            if last[at] is None and self._fits(last[at - len(piece)], piece):
-                last[at] = piece
+            if last[at] < 0:
+                before = last[at - size]
+                fits = stable.get(before << 24 | piece)
+                if self._fits(before, piece) if fits is None else fits:
+                    last[at] = PIECE + piece
         for at in range(done, len(text) + 1):
-            if last[at] is None:
-                last[at] = text[at - 1]
+            if last[at] < 0:
+                last[at] = ord(text[at - 1])
         found, at = [], len(text)
         while at:
-            found.append(last[at])
-            at -= len(last[at])
+            found.append(code := last[at])
+            at -= len(self.text[code - PIECE]) if code >= PIECE else 1
         return found[::-1]
 
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of an escaped text."""
+        return [self._text_of(code) for code in self._codes(text)]
+
     def _part(self, part: str) -> list[int]:
         ids: list[int] = []
-        for piece in self.pieces(part.replace(" ", MARK)):
-            known = self.id.get(piece)
-            ids.extend([known] if known is not None else [self.bytes[b] for b in piece.encode()])
+        for code in self._codes(part.replace(" ", MARK)):
+            if code >= PIECE:
+                ids.append(code - PIECE)
+            else:
+                ids.extend([self.bytes[b] for b in chr(code).encode()])
         return ids
 
     def encode(self, texts: list[str]) -> list[list[int]]:
