@@ -80,23 +80,24 @@ def merge_results(
     """
     stamp = F.current_timestamp().cast("string") if stamp is None else stamp
     order = arrival or ["candidates"]
-    by_id = one_per_key(
-        regenerated.where(non_empty(F.col("query_id"))).select("query_id", *dict.fromkeys(["candidates", *order])), ["query_id"], order
-    )
-    by_question = one_per_key(
-        regenerated.where(~non_empty(F.col("query_id"))).select("question", *dict.fromkeys(["candidates", *order])), ["question"], order
-    )
-    by_id = by_id.select(fresh(F.col("query_id")).alias("_id"), F.col("candidates").alias("_by_id"))
-    by_question = by_question.select(fresh(F.col("question")).alias("_text"), F.col("candidates").alias("_by_question"))
+    # One lookup table for both kinds of keys, made once and read by both lookups.
+    key = F.when(non_empty(F.col("query_id")), F.concat(F.lit("i"), "query_id")).otherwise(F.concat(F.lit("q"), "question"))
+    entries = one_per_key(regenerated.select(key.alias("_entry"), *dict.fromkeys(["candidates", *order])).where("_entry IS NOT NULL"), ["_entry"], order)
+
+    def found_by(name: str) -> DataFrame:
+        return entries.select(fresh(F.col("_entry")).alias(f"_{name}"), F.col("candidates").alias(f"_by_{name}"))
 
     in_scope = F.lit(True) if split is None else F.coalesce(F.col("split") == split, F.lit(False))
-    rows = original.withColumn("_question", stored_question(original))
-    joined = rows.join(by_id, in_scope & (F.col("query_id") == F.col("_id")), "left")
-    # Rows that found their query_id need no second lookup.
-    joined = joined.join(by_question, in_scope & F.col("_id").isNull() & (F.col("_question") == F.col("_text")), "left")
-    candidates = F.coalesce(F.col("_by_id"), F.col("_by_question"))
     index = first_present(original, "candidate_idx", "candidate_index")
     index = F.lit(0) if index is None else F.coalesce(index.cast("int"), F.lit(0))
+    # Rows that look nothing up get a key of their own that no entry has, so they are spread.
+    own = F.concat(F.lit("-"), F.xxhash64(optional(original, "query_id"), index).cast("string"))
+    rows = original.withColumn("_key", F.when(in_scope & F.col("query_id").isNotNull(), F.concat(F.lit("i"), "query_id")).otherwise(own))
+    joined = rows.join(found_by("id"), F.col("_key") == F.col("_id"), "left")
+    # Rows that found their query_id need no second lookup: their stored messages are not even read for a question.
+    asked = F.when(in_scope & F.col("_id").isNull(), F.concat(F.lit("q"), stored_question(original)))
+    joined = joined.withColumn("_key", F.coalesce(asked, own)).join(found_by("text"), F.col("_key") == F.col("_text"), "left")
+    candidates = F.coalesce(F.col("_by_id"), F.col("_by_text"))
     new = F.get(candidates, index)
     merged = joined.withColumn("_new", new)
 
@@ -115,7 +116,7 @@ def merge_results(
     if "output_messages" in original.columns:
         updates["output_messages"] = F.when(found, to_json_text(messages)).otherwise(F.col("output_messages"))
     result = merged.withColumn("_updated", found).withColumns(updates)
-    result = result.drop("_question", "_id", "_by_id", "_text", "_by_question", "_new")
+    result = result.drop("_key", "_id", "_by_id", "_text", "_by_text", "_new")
     if rescore is None:
         return result.drop("_updated")
     again = rescore(result.where("_updated").drop("_updated"))

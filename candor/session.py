@@ -18,6 +18,7 @@ def local_session(cpus: int = 8, app: str = "candor") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CANDOR_DRIVER_MEMORY", "6g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # Of keys that repeat in a JSON object the last one counts, as for most readers.
@@ -50,5 +51,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared scratch folder, in a folder of this application that goes when its driver ends."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{scratch_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/{name}-{uuid.uuid4().hex}"
