@@ -44,7 +44,7 @@ BLOCK = frozenset(
     " legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 NO_CONTENT = frozenset(
-    "head nav footer aside form script style noscript template button select input textarea iframe object embed canvas svg audio video dialog menu title".split()
+    "head nav footer aside script style noscript template button select input textarea iframe object embed canvas svg audio video dialog menu title".split()
 )
 NO_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header"
@@ -55,7 +55,10 @@ NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search
 #: First parts of names that say something of an element's state or layout, and of names of headings that belong to the text.
 STATES = frozenset("has with without no not is are show hide".split())
 OF_TEXT = frozenset("article post entry story content section page".split())
-VISIBLE, NAMED, HIDDEN = 0, 1, 2
+#: Last parts of compound names that are as often part of a story's name as of boilerplate, as in `market-share` or `job-search`.
+OPEN_NAMES = frozenset("share sharing search notice alert copyright widget pager toolbar overlay header menu banner promo social login".split())
+#: What speaks against an element. DOUBTFUL: a form, or an open name, which may hold the whole page. NAMED: a compound name. An article or main inside either stays.
+VISIBLE, DOUBTFUL, NAMED, HIDDEN = 0, 1, 2, 3
 #: A start tag ends an open element of these, if it is nearer than the element that holds both.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 KEEPS = frozenset("ul ol dl table tbody thead tfoot body html div article section".split())
@@ -80,21 +83,22 @@ class Node:
 
 
 def _named(tag: str, value: str) -> int:
-    """What a class or id value says: HIDDEN if one of its names is listed, NAMED if the last part of a compound name is, as in `user-comments`."""
+    """What a class or id value says: HIDDEN if one of its names is listed, NAMED or DOUBTFUL if the last part of a compound name is, as in `user-comments` or `market-share`."""
     names = value.split()
     if not NO_CONTENT_NAMES.isdisjoint(names):
         return HIDDEN
+    worst = VISIBLE
     if tag != "article":
         for name in names:
             parts = _PARTS.findall(name)
             if len(parts) > 1 and parts[-1] in NO_CONTENT_NAMES and parts[0] not in STATES and not (parts[-1] == "header" and parts[0] in OF_TEXT):
-                return NAMED
-    return VISIBLE
+                worst = max(worst, DOUBTFUL if parts[-1] in OPEN_NAMES else NAMED)
+    return worst
 
 
 def _marked(tag: str, attributes: str, inside: frozenset) -> tuple[str, int]:
     """The label of an element, and whether HTML or its names mark it as no content."""
-    classes, skip = "", HIDDEN if tag in NO_CONTENT or (tag == "header" and not inside) else VISIBLE
+    classes, skip = "", HIDDEN if tag in NO_CONTENT or (tag == "header" and not inside) else DOUBTFUL if tag == "form" else VISIBLE
     seen = set()
     for m in _ATTRIBUTE.finditer(attributes or ""):
         key = m[1].lower()
@@ -115,7 +119,7 @@ def _marked(tag: str, attributes: str, inside: frozenset) -> tuple[str, int]:
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """The block elements of a page, and its blocks of text with the element that each lies in, in page order."""
+    """The block elements of a page, and its visible and doubtful blocks of text with the element that each lies in, in page order."""
     root = Node("", "", None, VISIBLE)
     nodes, blocks, stack = [], [], [root]
     opened: list[str] = [""]
@@ -129,7 +133,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             if text:
                 node = stack[-1]
                 node.text.append(text)
-                if not node.skip:
+                if node.skip <= DOUBTFUL:
                     blocks.append((node, text))
 
     def pop_to(depth: int) -> None:
@@ -177,15 +181,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         if tag in BLOCK:
             # A compound name may be one of layout: an article or main inside shows that its element is a wrapper.
-            above = VISIBLE if tag in ("article", "main") and parent.skip == NAMED else parent.skip
-            node = Node(tag, label, parent, max(above, skip))
+            above = VISIBLE if tag in ("article", "main") and parent.skip < HIDDEN else parent.skip
+            # Inside an inline element that is no content, such as noscript or a button, blocks are none either.
+            node = Node(tag, label, parent, HIDDEN if hidden[-1] else max(above, skip))
             parent.children.append(label)
             nodes.append(node)
             stack.append(node)
+            # What it hides is in its own state.
             hidden.append(False)
         else:
             stack.append(parent)
-            # An inline element marked as no content takes its text away; blocks inside it are not looked at apart.
             hidden.append(hidden[-1] or skip > VISIBLE)
         opened.append(tag)
     flush()
@@ -275,12 +280,34 @@ def _text(host: str, page: str, low: set[int]) -> str:
             node = node.parent
         return False
 
-    for within in ("article", "main", None):
-        found = [(n, t) for n, t in blocks if within is None or within in n.inside]
-        kept = [t for n, t in found if not low or not removed(n, within)]
-        if kept:
-            return "\n\n".join(kept)
-    return ""
+    def kept(chosen: list[tuple[Node, str]], within: str | None) -> list[tuple[Node, str]]:
+        return [(n, t) for n, t in chosen if not low or not removed(n, within)]
+
+    def prose(chosen: list[tuple[Node, str]]) -> int:
+        return sum(len(t) for n, t in chosen if n.tag in FLOW)
+
+    def joined(chosen: list[tuple[Node, str]]) -> str:
+        return "\n\n".join(t for _, t in chosen)
+
+    visible = [(n, t) for n, t in blocks if n.skip == VISIBLE]
+    found: list[tuple[Node, str]] = []
+    for within in ("article", "main"):
+        found = kept([(n, t) for n, t in visible if within in n.inside], within)
+        if found:
+            # Where more prose stands outside, articles are teasers beside the story.
+            outside = kept([(n, t) for n, t in visible if within not in n.inside], None)
+            if prose(outside) <= prose(found):
+                break
+            found = outside
+            break
+    else:
+        found = kept(visible, None)
+    # A form or an element of an open name is the page itself if it holds more prose than all else.
+    doubtful = kept([(n, t) for n, t in blocks if n.skip == DOUBTFUL], None)
+    if prose(doubtful) > prose(found):
+        chosen = {id(n) for n, _ in (*found, *doubtful)}
+        return joined([(n, t) for n, t in blocks if id(n) in chosen])
+    return joined(found)
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -292,8 +319,10 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
-            columns = (batch.column(c).to_pylist() for c in ("host", "html", "low"))
-            texts = [_text(host, page, set(nodes or ())) for host, page, nodes in zip(*columns)]
+            hosts = batch.column("host").to_pylist()
+            # The pages of a host share one list.
+            lows = {host: set(batch.column("low")[i].as_py() or ()) for host, i in {h: i for i, h in enumerate(hosts)}.items()}
+            texts = [_text(host, page, lows[host]) for host, page in zip(hosts, batch.column("html").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string"

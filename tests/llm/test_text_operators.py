@@ -311,6 +311,43 @@ def test_names_and_attributes_of_pages(page, want):
     assert style_tree._text("h", page, set()) == want
 
 
+STORY = "The harbour was quiet when the first boats came back with what they had found."
+
+
+@pytest.mark.parametrize("page, want", [
+    # An article that is smaller than the story beside it is a teaser.
+    (f'<div class="content"><p>{STORY}</p></div><article class="teaser"><p>Other</p></article>', STORY),
+    (f'<div><p>{STORY}</p></div><article><p>One</p></article><article><p>Two</p></article>', STORY),
+    (f"<article><p>{STORY}</p></article><div><p>Short end.</p></div>", STORY), (f"<main><p>{STORY}</p></main><p>More</p>", STORY),
+    (f"<main><article><p>{STORY}</p></article><p>x</p></main>", STORY), (f"<p>Lead</p><main><p>{STORY}</p></main>", STORY),
+    # A form around the page is a wrapper; a form beside a story is none of it.
+    (f'<form id="aspnetForm"><article><p>{STORY}</p></article></form>', STORY), (f'<form id="aspnetForm"><div><p>{STORY}</p></div></form>', STORY),
+    (f'<form action="x"><main><h1>T</h1><p>{STORY}</p></main><p>Send</p></form>', f"T\n\n{STORY}"), (f"<p>{STORY}</p><form><p>Your mail</p></form>", STORY),
+    (f"<article><p>{STORY}</p><form><p>Your mail</p></form></article>", STORY), (f"<aside><form><article><p>no</p></article></form></aside><p>{STORY}</p>", STORY),
+    # Blocks inside inline elements that are no content.
+    ("<article><p>a</p><noscript><p>enable scripts</p></noscript><p>b</p></article>", "a\n\nb"), ("<article><p>a</p><button><div>Subscribe now</div></button></article>", "a"),
+    ("<article><iframe><p>advert</p></iframe><p>a</p></article>", "a"), ('<p>a</p><a class="ad"><div><p>buy</p></div></a><p>b</p>', "a\n\nb"), ("<p>a <button>no <b>never</b></button> b</p>", "a b"),
+    ('<span class="share"><ul><li>x</li></ul></span><p>a</p>', "a"), ("<div><select><option>1</option></select><p>a</p></div>", "a"),
+    # Compound names: open ones may name the story, others don't.
+    (f'<div id="market-share"><p>{STORY}</p></div>', STORY), (f'<div class="job-search"><h1>T</h1><p>{STORY}</p></div><p>end</p>', f"T\n\n{STORY}\n\nend"),
+    (f'<div class="x-search"><p>Find</p></div><p>{STORY}</p>', STORY), (f'<div class="user-comments"><p>{STORY}</p></div><p>a</p>', "a"), (f'<div id="main-sidebar"><p>{STORY}</p></div>', ""),
+    (f'<article><p>a long enough line</p></article><div class="reader-comments"><p>{STORY}</p></div>', "a long enough line"),
+])
+def test_what_holds_the_story(page, want):
+    assert style_tree._text("h", page, set()) == want
+
+
+def test_the_tree_decides_about_open_names(spark):
+    """Boilerplate of an open name repeats from page to page and goes; a story of an open name doesn't and stays, whatever its name."""
+    box = '<div class="site-notice"><p>These words come with every page of this host, again and again and again.</p></div>'
+    pages = [(i, f"http://a.example/{i}", f'<body>{box}<div class="text"><p>Short {i}.</p></div></body>') for i in range(9)]
+    pages += [(20 + i, f"http://b.example/{i}", f'<body><div class="market-share"><p>Story number {i} has its own words {i * 7}.</p></div><p>Foot</p></body>') for i in range(9)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.extract(df).collect()}
+    assert all(got[i] == f"Short {i}." for i in range(9))
+    assert all(got[20 + i].startswith(f"Story number {i} has its own words {i * 7}.") for i in range(9))
+
+
 def test_repeated_branches_go(spark):
     pages = [(i, f"http://a.example/{i}", f"<body><div class=box><p>Always the same words here.</p></div><div class=text><p>Story number {i} has its own words {i * 7}.</p></div></body>") for i in range(12)]
     pages += [(50, None, None), (51, "x", ""), (51, "x", ""), (None, "http://b.example/", "<p>alone</p>")]
