@@ -160,30 +160,52 @@ def test_python_grammar(evaluate):
 
 
 def test_bracket_issues_on_random_code(evaluate):
-    texts = random_texts(list("(){}[]") + ['"', "'", "`", "\\", "x", "\n"], count=800, longest=12)
+    import random
 
-    def expected(code):
-        issues, stack, quote = [], [], None
-        for i, char in enumerate(code):
+    closes = {"(": ")", "{": "}", "[": "]"}
+
+    def balanced(code):
+        stack, inside, i = [], None, 0
+        while i < len(code):
+            char, two = code[i], code[i : i + 2]
             if i and code[i - 1] == "\\":
-                continue
-            if quote:
-                quote = None if char == quote else quote
+                pass
+            elif inside in ("//", "/*"):
+                ends = char == "\n" if inside == "//" else two == "*/"
+                i += ends and inside == "/*"
+                inside = None if ends else inside
+            elif inside:
+                inside = None if char == inside else inside
             elif char in "\"'`":
-                quote = char
-            elif char in "([{":
+                inside = char
+            elif two in ("//", "/*"):
+                inside, i = two, i + 1
+            elif char in closes:
                 stack.append(char)
-            elif char in ")]}":
-                wanted = {"(": ")", "[": "]", "{": "}"}[stack[-1]] if stack else None
-                if wanted == char:
-                    stack.pop()
-                elif wanted is None:
-                    issues.append(f"Unexpected '{char}' with no opening bracket")
-                else:
-                    issues.append(f"Mismatched bracket: expected '{wanted}', got '{char}'")
-        return issues + ([f"Unclosed brackets: {''.join(stack)}"] if stack else [])
-
-    assert evaluate(texts, C.bracket_issues) == [expected(t) for t in texts]
+            elif char in closes.values():
+                if not stack or closes[stack.pop()] != char:
+                    return False
+            i += 1
+        return not stack
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("(){}[]\"'`ab\n/*") for _ in range(rng.randint(0, 12))) for _ in range(4000)] + ["", "x"]
+    texts += ["".join(rng.choice(["()", "[]", "{", "}", "(", ")", "\"(\"", "// )\n", "/* [ */", "'\\''"]) for _ in range(rng.randint(1, 8))) for _ in range(2000)]
+    got = evaluate(texts, C.bracket_issues)
+    assert [not g for g in got] == [balanced(t) for t in texts] and 500 < sum(map(balanced, texts)) < 4000
+
+
+@pytest.mark.parametrize("code, issues", [
+    ("([)]", ["crossed"]), ("(", ["unclosed"]), (")(", ["unopened"]), ("({[]})", []), ("// (((\n()", []), ("/* { */ ()", []), ("'(' + `[` + \"{\"", []), ("/* (", []), (None, None),
+])
+def test_bracket_issues(evaluate, code, issues):
+    assert evaluate([code], C.bracket_issues) == [issues]
+
+
+def test_brackets_take_linear_time(evaluate):
+    half = 40_000
+    deep, flat = "(" * half + ")" * half, "()" * half
+    assert evaluate([deep, flat, deep + ")"], C.bracket_issues) == [[], [], ["unopened"]]
 
 
 def test_javascript(evaluate):
