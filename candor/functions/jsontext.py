@@ -183,8 +183,12 @@ def same_value(a: Column, b: Column) -> Column:
 
 def covers_fuzzily(data: Column, truth: Column) -> Column:
     """Every key of the `truth` object has a loosely equal value in the `data` object, at any depth (extra keys allowed). Both VARIANT."""
+
+    def compared(both: Column) -> Column:
+        return P.covers(P.document(both["data"]), P.document(both["truth"]))
+
     objects = as_object(data).isNotNull() & as_object(truth).isNotNull()
-    return F.coalesce(P.covers(P.document(F.when(objects, data)), P.document(F.when(objects, truth))), F.lit(False))
+    return F.coalesce(bind(F.when(objects, F.struct(data.alias("data"), truth.alias("truth"))), compared), F.lit(False))
 
 
 def covers_exactly(data: Column, truth: Column) -> Column:

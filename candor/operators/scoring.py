@@ -177,7 +177,7 @@ def truth_comparison(data: Column, truth: Column) -> Column:
     equal = J.canonical(data) == J.canonical(truth)
     contained = J.covers_exactly(a, b)
     left = ~F.coalesce(equal, F.lit(False)) & ~F.coalesce(contained, F.lit(False))
-    loose = J.covers_fuzzily(F.when(left, data), F.when(left, truth))
+    loose = bind(F.when(left, F.struct(data.alias("data"), truth.alias("truth"))), lambda pair: J.covers_fuzzily(pair["data"], pair["truth"]))
     return (
         F.when(truth.isNull(), failure(name, "Ground truth is not valid JSON", "bad_truth"))
         .when(equal, score(name, True, 1.0, "Equal to the truth", "ground_truth_exact"))
