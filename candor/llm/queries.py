@@ -100,9 +100,12 @@ def _digest(spans: Column) -> Column:
 
 @query("op9_secret_ledger")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
-    """Secrets of all documents by way of a ledger that starts empty."""
+    """Secrets of all documents by way of a stored ledger. They land in two batches, of odd and of even checksums; the second only scans what the first did not hold."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    located = secret_ledger.locate(docs, secret_ledger.scan_unseen(docs))
+    path = scratch_path(spark, "secret_ledger")
+    second = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    secret_ledger.advance(docs.where(~second), path)
+    located = secret_ledger.locate(docs, secret_ledger.advance(docs.where(second), path))
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_ledger.BASE.rules]))
     counts = [F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return located.select("doc_id", *counts, F.sha2(_digest(base).cast("binary"), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"))

@@ -3,13 +3,18 @@
 A text version is a blob, addressed by the SHA-256 of its bytes. Rules come in packs with a version and a digest of the rules; a changed rule changes the digest,
 and what the pack scanned before counts as missing. The ledger has a row for each (blob, pack) that was ever
 scanned, with the spans found, also if there are none; a scan takes only the pairs that are missing and each distinct blob once, however many documents
-hold it. Findings then go back to every document through the address.
+hold it. Findings then go back to every document, or to every version of it, through the address.
+
+The ledger is a stored table that only grows. `advance` scans what landed and is not in it, and appends the rows that it made. A batch that is scanned again after a
+failure, or by two jobs at once, may leave a pair twice; both rows say the same, and `findings` takes their spans once.
 
 Shuffles: one of the distinct unseen texts by address (copies meet inside each task first), one of the narrow rows (doc_id, address) against the findings.
-The latter is a plain join of two shuffles, so adaptive execution splits the address that a third of all rows may share.
+Findings are an aggregate by address, so they join on a new expression of it: only between two plain shuffles can adaptive execution split the address that a third of
+all rows may share.
 
-Defined cases: NULL text is the empty blob and has no spans. Repeated rows and repeated ids give repeated results. Other columns stay with `redact` and
-are not read elsewhere; names that start with `__ledger` are reserved. Offsets count code points, the end is exclusive.
+Defined cases: NULL text is the empty blob and has no spans. Repeated rows and repeated ids give repeated results. Very long texts are one blob each, scanned as a whole
+by one task. Empty tables give empty ledgers and results. Other columns stay with `redact` and are not read elsewhere; names that start with `__ledger` are reserved.
+Offsets count code points, the end is exclusive.
 """
 
 from __future__ import annotations
@@ -21,11 +26,14 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from candor.llm.common import small_batches, text_of
+from candor.operators.joins import fresh
 
 LEDGER_SCHEMA = "blob string, pack string, rules string, spans array<struct<kind: string, start: int, end: int>>"
 
@@ -100,6 +108,24 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at `path`; an empty one where none was written yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return empty_ledger(spark)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def advance(docs: DataFrame, path: str, packs: Sequence[Pack] = PACKS) -> DataFrame:
+    """Scans the (blob, pack) pairs of `docs.text` that the ledger at `path` lacks, appends them, and returns the ledger as it is then.
+
+    Rows appear in the ledger when the job commits, so a lost executor repeats tasks and a lost job repeats the batch.
+    """
+    spark = docs.sparkSession
+    scan_unseen(docs, stored(spark, path), packs).write.mode("append").parquet(path)
+    return stored(spark, path)
+
+
 def _current(ledger: DataFrame, packs: Sequence[Pack]) -> DataFrame:
     """The rows of a ledger that the present rules of the packs have made. A ledger without digests has none."""
     if "rules" not in ledger.columns:
@@ -139,31 +165,40 @@ def findings(ledger: DataFrame, packs: Sequence[Pack] = PACKS) -> DataFrame:
     """Per blob, the spans of the given packs in order of their start."""
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    found = _current(ledger, packs).groupBy("blob").agg(F.flatten(F.collect_list(ranked)).alias("spans"))
+    found = _current(ledger, packs).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list(ranked))).alias("spans"))
     return found.select("blob", F.transform(F.sort_array("spans"), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
-def locate(docs: DataFrame, ledger: DataFrame, packs: Sequence[Pack] = PACKS) -> DataFrame:
-    """`doc_id`, `blob` and `spans` of every document, from a ledger that covers its blobs."""
-    paths = docs.select("doc_id", blob_of(F.col("text")).alias("blob"))
-    return paths.join(findings(ledger, packs), "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast("array<struct<kind: string, start: int, end: int>>")).alias("spans"))
+def locate(docs: DataFrame, ledger: DataFrame, packs: Sequence[Pack] = PACKS, path: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The `path` columns, `blob` and `spans` of every row of `docs`, from a ledger that covers its blobs. Rows may be versions of a document: name what tells them apart in `path`."""
+    rows = docs.select(*path, blob_of(F.col("text")).alias("blob"))
+    found = findings(ledger, packs).select(fresh(F.col("blob")).alias("__ledger_blob"), F.col("spans").alias("__ledger_spans"))
+    spans = F.coalesce("__ledger_spans", F.array().cast("array<struct<kind: string, start: int, end: int>>"))
+    return rows.join(found, F.col("blob") == F.col("__ledger_blob"), "left").select(*path, "blob", spans.alias("spans"))
 
 
-def masked(text: Column, spans: Column, mask: str = "[secret]") -> Column:
-    """The text with every span, or run of spans that overlap, replaced by `mask`."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+def mask_text(text: str, spans: Sequence[tuple[int, int]], mask: str = "[secret]") -> str:
+    """The text with every span, or run of spans that overlap, replaced by `mask`. Spans are in order of their start."""
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += (text[at:start], mask)
+        at = max(at, end)
+    return "".join([*out, text[at:]])
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        kept = F.substring(text, a["at"] + 1, s["start"] - a["at"])
-        return F.struct(F.when(fresh, F.concat(a["out"], kept, F.lit(mask))).otherwise(a["out"]).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
 
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+@F.pandas_udf(StringType())
+def _masked(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None else mask_text(t, list(zip(a, b))) for t, a, b in zip(text, starts, ends)], dtype=object)
 
 
 def redact(docs: DataFrame, ledger: DataFrame, packs: Sequence[Pack] = PACKS) -> DataFrame:
-    """All rows and columns of `docs`, with the secrets in `text` masked. Texts without one are unchanged, NULL stays NULL."""
-    found = findings(ledger, packs).where(F.size("spans") > 0).select(F.col("blob").alias("__ledger_blob"), F.col("spans").alias("__ledger_spans"))
-    joined = docs.withColumn("__ledger_blob", blob_of(F.col("text"))).join(found, "__ledger_blob", "left")
-    text = F.when(F.col("__ledger_spans").isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col("__ledger_spans")))
-    return joined.withColumn("text", text).select(*docs.columns)
+    """All rows and columns of `docs`, with the secrets in `text` masked. Texts without one are unchanged, NULL stays NULL.
+
+    Only texts with spans are sent to Python.
+    """
+    found = findings(ledger, packs).where(F.size("spans") > 0).select(fresh(F.col("blob")).alias("__ledger_blob"), F.col("spans").alias("__ledger_spans"))
+    joined = docs.withColumn("__ledger_own", blob_of(F.col("text"))).join(found, F.col("__ledger_own") == F.col("__ledger_blob"), "left")
+    hit = F.col("__ledger_spans").isNotNull()
+    masked = _masked(F.when(hit, F.col("text")), F.col("__ledger_spans.start"), F.col("__ledger_spans.end"))
+    return joined.withColumn("text", F.when(hit, masked).otherwise(F.col("text"))).select(*docs.columns)

@@ -454,6 +454,58 @@ def test_ledger_scans_only_what_is_missing(spark, rows):
     assert secret_ledger.locate(rows.limit(0), secret_ledger.scan_unseen(rows.limit(0))).collect() == []
 
 
+def test_stored_ledger_grows_by_what_is_unseen(spark, rows):
+    path, key = scratch_path(spark, "ledger"), "password = abcdef1"
+    old = [secret_ledger.BASE, secret_ledger.Pack("more-0", (secret_ledger.Rule("chat", r"\bxoxb-[A-Za-z0-9-]{10,}", 1),))]
+    history = spark.createDataFrame([(1, 1, "a.txt", key), (1, 2, "a.txt", None), (2, 1, "b.txt", key), (2, 2, "b.txt", "x xoxb-0123456789 y")], "doc_id long, version int, file string, text string")
+    assert secret_ledger.stored(spark, path).count() == 0
+    assert secret_ledger.advance(history.where("version = 1"), path, old).count() == 2
+    assert secret_ledger.advance(history, path, old).count() == 6
+    files = set(spark.read.parquet(path).inputFiles())
+    assert secret_ledger.advance(history, path).count() == 9 and files < set(spark.read.parquet(path).inputFiles())
+    assert secret_ledger.advance(history, path).count() == 9
+    # A batch that two jobs scanned at once.
+    secret_ledger.scan_unseen(history).write.mode("append").parquet(path)
+    ledger = secret_ledger.stored(spark, path)
+    got = {(r.file, r.version): [(s.kind, s.start, s.end) for s in r.spans] for r in secret_ledger.locate(history, ledger, path=("file", "version")).collect()}
+    assert got == {("a.txt", 1): [("assign", 0, 18)], ("a.txt", 2): [], ("b.txt", 1): [("assign", 0, 18)], ("b.txt", 2): [("chat", 2, 17)]}
+    assert {(r.file, r.version): r.text for r in secret_ledger.redact(history, ledger).collect()}["b.txt", 2] == "x [secret] y"
+    empty = scratch_path(spark, "ledger")
+    assert secret_ledger.advance(rows.limit(0), empty).count() == 0 and secret_ledger.advance(rows.limit(0), empty).count() == 0
+
+
+def test_masks_runs_of_overlapping_spans():
+    text = "é0123456789"
+    for spans in ([], [(0, 1)], [(1, 4), (2, 3), (3, 6)], [(1, 4), (4, 6), (9, 11)], [(0, 11), (2, 3)]):
+        gone, heads, at = set(), set(), 0
+        for start, end in spans:
+            heads |= {start} if start >= at else set()
+            gone, at = gone | set(range(start, end)), max(at, end)
+        want = "".join(("[secret]" if i in heads else "") + ("" if i in gone else c) for i, c in enumerate(text))
+        assert secret_ledger.mask_text(text, spans) == want
+
+
+def test_a_blob_that_a_third_of_the_rows_share_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        text = F.when(F.col("id") % 3 == 0, F.lit("token = hotblob")).otherwise(F.concat(F.lit("token = "), F.sha2(F.col("id").cast("string"), 256)))
+        docs = spark.range(0, 20000, 1, 8).select(F.col("id").alias("doc_id"), F.sha2(F.concat(F.lit("p"), "id"), 512).alias("file"), text.alias("text"))
+        ledger = secret_ledger.advance(docs, scratch_path(spark, "ledger"))
+        for found in (secret_ledger.locate(docs, ledger, path=("doc_id", "file")), secret_ledger.redact(docs, ledger)):
+            assert found.count() == 20000
+            found.collect()
+            assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_body_of_a_private_key_goes(spark):
     rng = random.Random(9)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
