@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candor.functions.jsontext import parse
@@ -17,6 +17,8 @@ from candor.operators.selection import filter_rows
 from candor.schema import first_present, optional, stored_question
 
 RETRY_REASON = "capability_refusal_dynamic_mock"
+#: Columns of a row that a merge fills.
+MERGED_COLUMNS = ("raw_response", "analysis", "final_answer", "regenerated_at")
 
 
 def _query_keys(df: DataFrame) -> list[Column]:
@@ -68,6 +70,11 @@ def preview(queries: DataFrame, count: int = 5, width: int = 60) -> DataFrame:
     return shown.select("query_id", "split", F.substring("question", 1, width).alias("question"))
 
 
+def _entry_key() -> Column:
+    """Key of a new entry: its query_id, or its question where that is missing."""
+    return F.when(non_empty(F.col("query_id")), F.concat(F.lit("i"), "query_id")).otherwise(F.concat(F.lit("q"), "question"))
+
+
 def merge_results(
     original: DataFrame, regenerated: DataFrame, split: str | None = None, stamp: Column | None = None,
     arrival: list[str] | None = None, rescore: Callable[[DataFrame], DataFrame] | None = None,
@@ -81,8 +88,7 @@ def merge_results(
     stamp = F.current_timestamp().cast("string") if stamp is None else stamp
     order = arrival or ["candidates"]
     # One lookup table for both kinds of keys, made once and read by both lookups.
-    key = F.when(non_empty(F.col("query_id")), F.concat(F.lit("i"), "query_id")).otherwise(F.concat(F.lit("q"), "question"))
-    entries = one_per_key(regenerated.select(key.alias("_entry"), *dict.fromkeys(["candidates", *order])).where("_entry IS NOT NULL"), ["_entry"], order)
+    entries = one_per_key(regenerated.select(_entry_key().alias("_entry"), *dict.fromkeys(["candidates", *order])).where("_entry IS NOT NULL"), ["_entry"], order)
 
     def found_by(name: str) -> DataFrame:
         return entries.select(fresh(F.col("_entry")).alias(f"_{name}"), F.col("candidates").alias(f"_by_{name}"))
@@ -123,6 +129,43 @@ def merge_results(
     return result.where(~F.col("_updated")).drop("_updated").unionByName(again, allowMissingColumns=True)
 
 
+def touched_partitions(table: DataFrame, regenerated: DataFrame, by: str, split: str | None = None) -> DataFrame:
+    """Values of the partition column `by` under which some row may meet an entry. Reads ids and splits only; questions too if some entry has no id."""
+    keys = regenerated.select(_entry_key().alias("_entry")).where("_entry IS NOT NULL").distinct()
+    by_question = not regenerated.where(~non_empty(F.col("query_id"))).isEmpty()
+    in_scope = table if split is None else table.where(F.col("split") == split)
+    found = [F.concat(F.lit("i"), "query_id")] + ([F.concat(F.lit("q"), stored_question(table))] if by_question else [])
+    rows = in_scope.select(by, F.explode(F.array(*found)).alias("_key"))
+    return rows.join(keys.select(fresh(F.col("_entry")).alias("_key")), "_key", "left_semi").select(by).distinct()
+
+
+def merge_into(
+    spark: SparkSession, path: str, regenerated: DataFrame, by: str, split: str | None = None, stamp: Column | None = None,
+    arrival: list[str] | None = None, rescore: Callable[[DataFrame], DataFrame] | None = None,
+) -> list:
+    """`merge_results` for a stored table with partitions by the column `by`: only partitions that some entry touches are read in full and written again.
+
+    Files of other partitions stay as they are, so the rows that move are those of the touched partitions and not those of the table. Returns the touched values;
+    there are no more of them than folders of the table, which the driver lists in any case. The table must have the columns that a merge fills, or partitions
+    would differ in their columns. A partition is replaced when the whole job commits; merging the same entries once more gives the same rows, so a merge that
+    was cut off is repeated.
+    """
+    table = spark.read.parquet(path)
+    missing = [c for c in MERGED_COLUMNS if c not in table.columns]
+    if missing:
+        raise ValueError(f"the stored table lacks {', '.join(missing)}")
+    touched = [row[0] for row in touched_partitions(table, regenerated, by, split).collect()]
+    if not touched:
+        return []
+    chosen = F.col(by).isin([v for v in touched if v is not None])
+    if None in touched:
+        chosen = chosen | F.col(by).isNull()
+    merged = merge_results(table.where(chosen), regenerated, split, stamp, arrival, rescore).select(table.columns)
+    # Few files per partition, and several where one holds a third of all rows: adaptive execution evens them out.
+    merged.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    return touched
+
+
 def build_retries(originals: DataFrame, retried: DataFrame) -> DataFrame:
     """Retry rows in the flat layout, numbered after the original candidates of their query.
 

@@ -78,6 +78,18 @@ def j02(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select(*KEY, F.col("regenerated_at").isNotNull().alias("updated"), "raw_response", final_text(messages).alias("final_text"), F.size(messages).alias("messages"))
 
 
+@query("j02_merge_into", QUERIES["j02_merge_results"].sql)
+def j02_into(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge into a stored table with a partition per split: the files of the other splits stay."""
+    path = scratch_path(spark, "merge_into")
+    unfilled = {c: F.lit(None).cast("string") for c in G.MERGED_COLUMNS}
+    candidates(spark, folder).withColumns(unfilled).hint("rebalance", "split").write.partitionBy("split").parquet(path)
+    G.merge_into(spark, path, regenerated(spark, folder), "split", split="math", stamp=F.lit("2024-01-01T00:00:00"), arrival=["placed"])
+    merged = spark.read.parquet(path)
+    messages = from_json_text(F.col("output_messages"))
+    return merged.select(*KEY, F.col("regenerated_at").isNotNull().alias("updated"), "raw_response", final_text(messages).alias("final_text"), F.size(messages).alias("messages"))
+
+
 PER_QUERY = f"SELECT query_id, count(*) AS n, count(*) FILTER (WHERE {V}) AS v, avg(verification_score) AS s FROM cand WHERE run_id = '%s' GROUP BY query_id"
 COMPARED = f"FROM ({PER_QUERY % 0}) b JOIN ({PER_QUERY % 1}) o USING (query_id)"
 

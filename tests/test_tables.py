@@ -1,6 +1,8 @@
 """Layouts, joins, numbering, work lists, merging, reports, files and streams."""
 
+import glob
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +118,55 @@ def test_no_splits_is_an_error(spark):
         P.in_splits(table(spark, "split string", [("a",)]), " , ")
 
 
+# --- merging into stored tables ---
+
+
+def merge_case(spark):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 9 != 0, F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("query_id"), F.concat(F.lit("ask "), "id").alias("question"),
+        F.when(F.col("id") % 4 == 0, "math").when(F.col("id") % 4 < 3, "code").alias("split"), (F.col("id") % 3).cast("int").alias("candidate_idx"), F.lit("[]").alias("output_messages"),
+        *[F.lit(None).cast("string").alias(c) for c in G.MERGED_COLUMNS], F.when(F.col("id") % 16 != 15, (F.col("id") % 16).cast("int")).alias("part"), "id",
+    )
+    schema = "query_id string, question string, candidates array<struct<raw_text: string, analysis: string, final_answer: string>>"
+    new = [(f"raw {i}", "why", f"new {i}") for i in range(2)]
+    return rows, schema, [("k3", "-", new), (None, "ask 9", new), ("", "ask 31", []), ("none", "-", new), (None, None, new)]
+
+
+@pytest.mark.parametrize("split", [None, "code"])
+def test_merge_into_equals_a_merge_of_all_rows(spark, split):
+    rows, schema, entries = merge_case(spark)
+    path = scratch_path(spark, "merge")
+    rows.write.partitionBy("part").parquet(path)
+    kept = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path.removeprefix('file:')}/part=*/*.parquet")}
+    table_schema = spark.read.parquet(path).schema
+    new = spark.createDataFrame(entries, schema)
+    touched = G.merge_into(spark, path, new, "part", split, F.lit("now"))
+    again = spark.read.parquet(path)
+    assert again.schema == table_schema
+    want = G.merge_results(rows, new, split, F.lit("now")).select(again.columns)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, want.collect()))
+    # Rows of k3 are 3, 53, 103 and so on; 9 is asked by its question, 31 lies in the partition without a value.
+    by_rule = {i % 16 if i % 16 != 15 else None for i in range(400) if (i % 9 and i % 50 == 3 or i in (9, 31)) and (split is None or i % 4 in (1, 2))}
+    assert set(touched) == by_rule and len(touched) < 16
+    untouched = [f for f in kept if (None if "HIVE_DEFAULT" in f else int(f.split("part=")[1].split("/")[0])) not in by_rule]
+    assert untouched and all(os.stat(f).st_mtime_ns == kept[f] for f in untouched)
+    # Once more, as after a failure: nothing changes.
+    G.merge_into(spark, path, new, "part", split, F.lit("now"))
+    assert sorted(map(repr, spark.read.parquet(path).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_merge_into_without_entries_or_columns(spark):
+    rows, schema, _ = merge_case(spark)
+    path = scratch_path(spark, "merge")
+    rows.write.partitionBy("part").parquet(path)
+    before = spark.read.parquet(path).inputFiles()
+    assert G.merge_into(spark, path, spark.createDataFrame([], schema), "part") == [] and spark.read.parquet(path).inputFiles() == before
+    poor = scratch_path(spark, "merge")
+    rows.drop("analysis").write.partitionBy("part").parquet(poor)
+    with pytest.raises(ValueError, match="analysis"):
+        G.merge_into(spark, poor, spark.createDataFrame([], schema), "part")
+
+
 # --- numbering under skew ---
 
 
