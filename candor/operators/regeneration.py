@@ -147,8 +147,9 @@ def merge_into(
 
     Files of other partitions stay as they are, so the rows that move are those of the touched partitions and not those of the table. Returns the touched values;
     there are no more of them than folders of the table, which the driver lists in any case. The table must have the columns that a merge fills, or partitions
-    would differ in their columns. A partition is replaced when the whole job commits; merging the same entries once more gives the same rows, so a merge that
-    was cut off is repeated.
+    would differ in their columns. Lost executors only repeat tasks: partitions are replaced when the job commits, one after the other. A driver that dies before
+    the commit leaves the table as it was, and merging the same entries once more gives the same rows; one that dies within the commit can leave a partition whose new
+    files are still in Spark's staging folder.
     """
     table = spark.read.parquet(path)
     missing = [c for c in MERGED_COLUMNS if c not in table.columns]
