@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from candor.session import scratch_root
 
 _ROW_BITS = 33
+#: Parts of a group that are ranked apart before the whole group is.
+_BUCKETS = 64
+#: Ranks up to which a group is sliced that way: the last step sees _BUCKETS times as many rows of a group at most.
+_RANKS = 20_000
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str, start: int | Column = 0, spread: bool = False) -> DataFrame:
@@ -59,9 +63,17 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[str], count: int
 
 
 def slice_per_group(df: DataFrame, keys: list[str], order: list[str], offset: int, limit: int | None) -> DataFrame:
-    """Skips `offset` rows of each group, then takes `limit` (all the rest when None)."""
-    if limit is None:
-        return number_rows(df, keys, order, "_rank", 1, spread=True).where(F.col("_rank") > offset).drop("_rank")
+    """Skips `offset` rows of each group, then takes `limit` (all the rest when None).
+
+    Spark trims partitions before the shuffle only up to a threshold of ranks. Beyond it, rows of a group are first ranked in parts that a hash of the order deals out,
+    so that no task holds a group; what is left of each part is ranked together. Very far slices number the whole table in range partitions.
+    """
+    last = None if limit is None else offset + limit
+    if last is None or last > _RANKS:
+        ranked = number_rows(df, keys, order, "_rank", 1, spread=True)
+        return ranked.where((F.col("_rank") > offset) & (F.lit(True) if last is None else F.col("_rank") <= last)).drop("_rank")
+    if last > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        df = first_per_group(df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(_BUCKETS))), [*keys, "_bucket"], order, last).drop("_bucket")
     window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= offset + limit)
+    ranked = df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= last)
     return ranked.where(F.col("_rank") > offset).drop("_rank")

@@ -533,3 +533,25 @@ def test_hot_key_is_split(spark, name):
     count, plan = skew_plans(spark, makers[name])
     assert count == (39999 if name == "anti" else 40000)
     assert "skew=true" in plan, plan[:3000]
+
+
+@pytest.mark.parametrize("ranks", [100, 10])
+def test_far_slices_are_ranked_in_parts(spark, monkeypatch, ranks):
+    """Beyond the threshold up to which Spark trims partitions no task ranks a whole group, and the rows stay the same."""
+    from candor.operators import numbering
+
+    monkeypatch.setattr(numbering, "_RANKS", ranks)
+    rows = spark.range(3000).selectExpr("IF(id % 10 = 0, NULL, IF(id % 3 = 0, 'a', 'b')) AS k", "CAST(id AS STRING) AS o")
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(threshold, 20)
+    try:
+        sliced = slice_per_group(rows, ["k"], ["o"], 25, 30)
+        plan = sliced._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r["k"] or "", r["o"]) for r in sliced.collect())
+    finally:
+        spark.conf.unset(threshold)
+    by_key = {}
+    for r in rows.collect():
+        by_key.setdefault(r["k"] or "", []).append(r["o"])
+    assert got == sorted((k, o) for k, all_ in by_key.items() for o in sorted(all_)[25:55])
+    assert ("xxhash64" in plan) == (ranks == 100)
