@@ -19,6 +19,8 @@ from candor.schema import first_present, optional, stored_question
 RETRY_REASON = "capability_refusal_dynamic_mock"
 #: Columns of a row that a merge fills.
 MERGED_COLUMNS = ("raw_response", "analysis", "final_answer", "regenerated_at")
+#: So many partitions are written without another shuffle of the rows: each task leaves one file per partition at most.
+FEW_PARTITIONS = 8
 
 
 def _query_keys(df: DataFrame) -> list[Column]:
@@ -96,16 +98,20 @@ def merge_results(
     in_scope = F.lit(True) if split is None else F.coalesce(F.col("split") == split, F.lit(False))
     index = first_present(original, "candidate_idx", "candidate_index")
     index = F.lit(0) if index is None else F.coalesce(index.cast("int"), F.lit(0))
-    # Rows that look nothing up get a key of their own that no entry has, so they are spread.
-    own = F.concat(F.lit("-"), F.xxhash64(optional(original, "query_id"), index).cast("string"))
-    rows = original.withColumn("_key", F.when(in_scope & F.col("query_id").isNotNull(), F.concat(F.lit("i"), "query_id")).otherwise(own))
-    joined = rows.join(found_by("id"), F.col("_key") == F.col("_id"), "left")
-    # Rows that found their query_id need no second lookup: their stored messages are not even read for a question.
-    asked = F.when(in_scope & F.col("_id").isNull(), F.concat(F.lit("q"), stored_question(original)))
-    joined = joined.withColumn("_key", F.coalesce(asked, own)).join(found_by("text"), F.col("_key") == F.col("_text"), "left")
-    candidates = F.coalesce(F.col("_by_id"), F.col("_by_text"))
-    new = F.get(candidates, index)
-    merged = joined.withColumn("_new", new)
+    rows = original.where(in_scope).withColumn("_asked_id", F.coalesce(F.concat(F.lit("i"), "query_id"), F.lit(""))).withColumn("_asked", F.concat(F.lit("q"), stored_question(original)))
+    # Both lookups are made once per query, on keys alone; whole rows then move once, to what their query found.
+    asked = rows.select("_asked_id", "_asked").distinct()
+    asked = asked.join(found_by("id"), F.col("_asked_id") == F.col("_id"), "left")
+    rest = F.when(F.col("_id").isNull(), F.col("_asked")).otherwise(F.concat(F.lit("-"), "_asked"))
+    asked = asked.withColumn("_key", rest).join(found_by("text"), F.col("_key") == F.col("_text"), "left")
+    met = asked.select(
+        fresh(F.col("_asked_id")).alias("_met_id"), fresh(F.col("_asked")).alias("_met"), F.coalesce(F.col("_by_id"), F.col("_by_text")).alias("_candidates"),
+    ).where("_candidates IS NOT NULL")
+    joined = rows.join(met, (F.col("_asked_id") == F.col("_met_id")) & (F.col("_asked") == F.col("_met")), "left")
+    merged = joined.withColumn("_new", F.get(F.col("_candidates"), index)).drop("_asked_id", "_asked", "_met_id", "_met", "_candidates")
+    if split is not None:
+        # Rows out of scope don't move at all.
+        merged = merged.unionByName(original.where(~in_scope).withColumn("_new", F.lit(None).cast(merged.schema["_new"].dataType)))
 
     found = F.col("_new").isNotNull()
     reasoning, answer = F.coalesce(F.col("_new.analysis"), F.lit("")), F.coalesce(F.col("_new.final_answer"), F.lit(""))
@@ -122,7 +128,7 @@ def merge_results(
     if "output_messages" in original.columns:
         updates["output_messages"] = F.when(found, to_json_text(messages)).otherwise(F.col("output_messages"))
     result = merged.withColumn("_updated", found).withColumns(updates)
-    result = result.drop("_key", "_id", "_by_id", "_text", "_by_text", "_new")
+    result = result.drop("_new")
     if rescore is None:
         return result.drop("_updated")
     again = rescore(result.where("_updated").drop("_updated"))
@@ -162,8 +168,10 @@ def merge_into(
     if None in touched:
         chosen = chosen | F.col(by).isNull()
     merged = merge_results(table.where(chosen), regenerated, split, stamp, arrival, rescore).select(table.columns)
-    # Few files per partition, and several where one holds a third of all rows: adaptive execution evens them out.
-    merged.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    # Few files per partition, and several where one holds a third of all rows: adaptive execution evens them out. Where few partitions are touched, each task writes its share of them.
+    if len(touched) > FEW_PARTITIONS:
+        merged = merged.hint("rebalance", by)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     return touched
 
 

@@ -555,3 +555,26 @@ def test_far_slices_are_ranked_in_parts(spark, monkeypatch, ranks):
         by_key.setdefault(r["k"] or "", []).append(r["o"])
     assert got == sorted((k, o) for k, all_ in by_key.items() for o in sorted(all_)[25:55])
     assert ("xxhash64" in plan) == (ranks == 100)
+
+
+def test_merge_moves_whole_rows_once(spark):
+    """Lookups by id and by question are made on keys; the wide column is in one shuffle, and rows out of scope are in none."""
+    wide = F.concat(F.lit("wide"), F.col("id").cast("string"))
+    rows = spark.range(40).select(
+        F.when(F.col("id") % 4 > 0, F.col("id").cast("string")).alias("query_id"), F.concat(F.lit("q"), F.col("id").cast("string")).alias("question"),
+        F.lit(0).alias("candidate_idx"), F.when(F.col("id") % 2 == 0, F.lit("math")).otherwise(F.lit("code")).alias("split"), wide.alias("text"),
+    )
+    path = scratch_path(spark, "rows")
+    rows.write.parquet(path)
+    kind = "query_id string, question string, candidates array<struct<raw_text:string,analysis:string,final_answer:string>>"
+    new = spark.createDataFrame([("2", "none", [("r", "a", "by id")]), (None, "q4", [("r", "a", "by text")]), ("1", "q1", [("r", "a", "code")])], kind)
+    hinted = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = G.merge_results(spark.read.parquet(path), new, "math", F.lit("now"))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        got = {r["text"]: r["final_answer"] for r in merged.collect() if r["regenerated_at"]}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hinted)
+    assert got == {"wide2": "by id", "wide4": "by text"} and merged.count() == 40
+    assert sum("FileScan parquet" in line and "text#" in line for line in plan.splitlines()) == 2
