@@ -557,6 +557,21 @@ def test_far_slices_are_ranked_in_parts(spark, monkeypatch, ranks):
     assert ("xxhash64" in plan) == (ranks == 100)
 
 
+def test_only_columns_that_are_read_reach_the_state(spark):
+    """A scored stream moves the keys and the columns that it names, not the wide rows."""
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    rows = spark.range(20).selectExpr("CAST(id % 10 AS STRING) AS query_id", "0 AS candidate_idx", "CAST(id % 10 AS STRING) AS answer", "'wide' AS text")
+    rows.write.parquet(landing)
+    seen = []
+
+    def score(df):
+        seen.append(df.columns)
+        return df
+
+    T.score_landed(T.landed(spark, landing, rows.schema), score, sink, scratch_path(spark, "progress"), keys=T.KEYS, reads=["answer"]).awaitTermination()
+    assert seen == [["query_id", "candidate_idx", "answer"]] and spark.read.parquet(sink).count() == 10
+
+
 def test_merge_moves_whole_rows_once(spark):
     """Lookups by id and by question are made on keys; the wide column is in one shuffle, and rows out of scope are in none."""
     wide = F.concat(F.lit("wide"), F.col("id").cast("string"))
