@@ -25,3 +25,7 @@ def test_strict_parse_accepts_what_json_accepts(spark, text):
         wanted = None
     [row] = spark.createDataFrame([(text,)], "x string").select(F.to_json(J.parse(F.col("x"))).alias("r")).collect()
     assert row.r == wanted
+
+
+def test_a_comparison_of_results_asks_for_no_schema():
+    assert "schema_of_variant" not in str(J.same_result(F.col("a"), F.col("b")))
