@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candor.functions import jsontext as J
+from candor.operators.joins import match_tool_calls
 
 
 def test_a_strict_parse_builds_one_value(spark):
@@ -29,3 +30,7 @@ def test_strict_parse_accepts_what_json_accepts(spark, text):
 
 def test_a_comparison_of_results_asks_for_no_schema():
     assert "schema_of_variant" not in str(J.same_result(F.col("a"), F.col("b")))
+
+
+def test_calls_are_matched_once():
+    assert str(match_tool_calls(F.col("a"), F.col("b"))).count("filter(") == 1
