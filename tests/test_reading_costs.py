@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from paths import FOLDER
 from pyspark.sql import functions as F
 
 from candor.functions import jsontext as J
+from candor.functions import messages as M
 from candor.operators.joins import match_tool_calls
+from candor.plans.catalog import QUERIES
 
 
 def test_a_strict_parse_builds_one_value(spark):
@@ -34,3 +37,24 @@ def test_a_comparison_of_results_asks_for_no_schema():
 
 def test_calls_are_matched_once():
     assert str(match_tool_calls(F.col("a"), F.col("b"))).count("filter(") == 1
+
+
+def plan(spark, name):
+    return QUERIES[name].run(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_are_read_without_maps(spark):
+    assert "map<string,variant>" not in plan(spark, "p24_block_conversation_messages")
+
+
+def test_odd_blocks(spark):
+    turns = [
+        {"role": "user", "content": "q"}, {"role": 5, "content": "lost"}, {"role": "assistant", "content": 7}, 3,
+        {"role": "assistant", "content": [{"type": "text", "text": None}, {"type": "text"}, {"type": 1, "text": "no"}, "x", {"type": "text", "text": {"b": 1.0, "a": "k"}}]},
+        {"role": "user", "content": [{"type": "tool_result", "tool_use_id": 9, "content": ["r"]}]}, {"role": "user", "content": "none"},
+    ]
+    df = spark.createDataFrame([(json.dumps(turns),)], "t string").select(M.block_conversation_messages(F.col("t")).alias("m"))
+    [row] = df.collect()
+    assert [(m.role, m.content, m.channel) for m in row.m] == [
+        ("assistant", "", "final"), ("assistant", 'null\n\n{"a":"k","b":1}', "final"), ("tool", '{"tool_use_id":"9","content":"[\\"r\\"]"}', "tool_result"),
+    ]
