@@ -187,8 +187,8 @@ CONFORMS_SQL = """CASE supplier % 3
 
 
 def schemas(spark: SparkSession) -> DataFrame:
-    """The schemas as a constraint table, read once each."""
-    rows = spark.createDataFrame(list(enumerate(SCHEMAS)), "schema_no int, text string")
+    """The schemas as a constraint table, read once each. Made of a range, whose size Spark knows: rows of few schemas must not be shuffled by their schema."""
+    rows = spark.range(len(SCHEMAS)).select(F.col("id").cast("int").alias("schema_no"), F.get(F.array(*[F.lit(s) for s in SCHEMAS]), F.col("id").cast("int")).alias("text"))
     return S.schema_table(rows.select("schema_no", F.parse_json("text").alias("tool_schema")), "tool_schema")
 
 

@@ -58,3 +58,9 @@ def test_odd_blocks(spark):
     assert [(m.role, m.content, m.channel) for m in row.m] == [
         ("assistant", "", "final"), ("assistant", 'null\n\n{"a":"k","b":1}', "final"), ("tool", '{"tool_use_id":"9","content":"[\\"r\\"]"}', "tool_result"),
     ]
+
+
+@pytest.mark.parametrize("name", ["v07_schema_conformance", "v06_tool_score_all_stages"])
+def test_rows_are_not_shuffled_by_their_schema(spark, name):
+    executed = QUERIES[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in executed and "SortMergeJoin" not in executed
