@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candor.functions import jsontext as J
 from candor.functions import messages as M
+from candor.functions.refusal import folded
 from candor.operators.joins import match_tool_calls
 from candor.plans.catalog import QUERIES
 
@@ -64,3 +65,8 @@ def test_odd_blocks(spark):
 def test_rows_are_not_shuffled_by_their_schema(spark, name):
     executed = QUERIES[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in executed and "SortMergeJoin" not in executed
+
+
+
+def test_only_texts_with_odd_letters_are_translated():
+    assert str(folded(F.col("t"))).count("CASE WHEN") == 1
