@@ -2,7 +2,8 @@
 
 Features are the relative frequencies of hashed byte trigrams of the whole lower-cased text, so a linear score is the mean weight of its trigrams: a task
 looks each trigram up once per machine and never builds a feature vector. Training takes at most `per_language` labelled documents of each language, chosen
-by a hash of their id; only their feature vectors (16 KB each) reach the driver.
+by a hash of their id; only their features that are not zero (6 bytes each) reach the driver. It holds them as one table of 16 KB a document and, while a machine
+is trained, one copy of the rows that this machine compares.
 
 Evidence. The scores of the machines compare the learned languages with each other only, so their largest is never small. Whether a text is in any of them is
 told by its fit: the mean over its trigrams of the log of their share in the language found, against an even share. A text whose fit stays below LEAST_FIT, two
@@ -83,12 +84,47 @@ def frequencies(texts: list[str]) -> np.ndarray:
     return out
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 100) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by accelerated gradient steps. y is 1 or -1; classes weigh the same."""
+#: A feature that is not zero, with its bucket counted from the last one. Rows of these, by ascending bucket, have as bytes the order of the whole vectors as bytes.
+FEATURE = np.dtype([("from_last", ">u2"), ("share", "<f4")])
+#: Rows of a table that are looked at together where a copy of all of them is not wanted.
+ROWS = 256
+
+
+def packed(vector: np.ndarray) -> bytes:
+    """The features of a vector that are not zero."""
+    at = np.flatnonzero(vector)
+    out = np.empty(len(at), FEATURE)
+    out["from_last"], out["share"] = len(vector) - 1 - at, vector[at]
+    return out.tobytes()
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """The vectors of `packed` rows, as one table."""
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for vector, row in zip(x, rows):
+        features = np.frombuffer(row, FEATURE)
+        vector[BUCKETS - 1 - features["from_last"].astype(np.int64)] = features["share"]
+    return x
+
+
+def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 100, rows: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, by accelerated gradient steps. y is 1 or -1; classes weigh the same.
+
+    `rows`: those of `x` that `y` speaks of, all by default. They are copied once.
+    """
+    rows = np.arange(len(x)) if rows is None else rows
     y = y.astype(np.float32)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    scale = np.float32(1 / max(1e-9, float(np.sqrt(weight @ np.einsum("ij,ij->i", x, x)))))
-    x = np.hstack([x * scale, np.ones((len(x), 1), np.float32)])
+    squares = np.empty(len(rows), x.dtype)
+    for s in range(0, len(rows), ROWS):
+        part = x[rows[s : s + ROWS]]
+        squares[s : s + ROWS] = np.einsum("ij,ij->i", part, part)
+    scale = np.float32(1 / max(1e-9, float(np.sqrt(weight @ squares))))
+    table = np.empty((len(rows), x.shape[1] + 1), np.float32)
+    for s in range(0, len(rows), ROWS):
+        table[s : s + ROWS, :-1] = x[rows[s : s + ROWS]] * scale
+    table[:, -1] = 1
+    x = table
     step, penalty = np.float32(1 / (4 + penalty)), np.float32(penalty)
     w = v = np.zeros(x.shape[1], np.float32)
     for k in range(steps):
@@ -131,7 +167,7 @@ class Model:
 
         def machine(a: str, b: str, in_a: np.ndarray, in_b: np.ndarray) -> Machine:
             rows = np.flatnonzero(in_a | in_b)
-            return Machine(a, b, *train_svm(x[rows], np.where(in_a[rows], 1.0, -1.0)))
+            return Machine(a, b, *train_svm(x, np.where(in_a[rows], 1.0, -1.0), rows=rows))
 
         members = {f: np.isin(langs_array, codes) for f, codes in families.items()}
         between = [machine(f, g, members[f], members[g]) for f, g in combinations(families, 2)]
@@ -185,13 +221,15 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2 << 20):
             rows = frequencies(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], ["lang", "vector"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(map(packed, rows), pa.binary())], ["lang", "vector"])
 
     rows = sample.mapInArrow(vectors, "lang string, vector binary").collect()
     # Order must not depend on how the tasks were scheduled.
     rows.sort(key=lambda r: (r["lang"], bytes(r["vector"])))
-    x = np.frombuffer(b"".join(r["vector"] for r in rows), np.float32).reshape(len(rows), BUCKETS)
-    return Model.fit(x, [r["lang"] for r in rows])
+    langs = [r["lang"] for r in rows]
+    x = unpacked([r["vector"] for r in rows])
+    del rows
+    return Model.fit(x, langs)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -391,6 +391,24 @@ def test_language_awkward_rows(spark, rows):
     assert language_id.predict(rows.limit(0), model).collect() == []
 
 
+def test_language_training_holds_one_copy():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    rows = [np.where(rng.random(language_id.BUCKETS) < 0.1, rng.random(language_id.BUCKETS), 0).astype(np.float32) for _ in range(599)] + [np.zeros(language_id.BUCKETS, np.float32)]
+    packed = [language_id.packed(r) for r in rows]
+    # Less is sent than whole vectors, nothing is lost, and the order of the rows is that of whole vectors.
+    assert sum(map(len, packed)) < 0.2 * sum(r.nbytes for r in rows)
+    x = language_id.unpacked(packed)
+    assert (x == np.array(rows)).all()
+    assert sorted(range(600), key=lambda i: packed[i]) == sorted(range(600), key=lambda i: rows[i].tobytes())
+    tracemalloc.start()
+    model = language_id.Model.fit(x, ["de" if i % 2 else "fr" for i in range(600)])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.between) == 1 and most < 2 * x.nbytes
+
+
 OTHER = [
     "De kleine hond loopt elke ochtend door het park en kijkt naar de vogels die in de bomen zitten. Daarna gaat hij weer naar huis om te slapen.",
     "Mały pies biega każdego ranka po parku i patrzy na ptaki siedzące na drzewach. Potem wraca do domu, żeby spać przez cały dzień.",
