@@ -70,3 +70,18 @@ def test_rows_are_not_shuffled_by_their_schema(spark, name):
 
 def test_only_texts_with_odd_letters_are_translated():
     assert str(folded(F.col("t"))).count("CASE WHEN") == 1
+
+
+def test_queries_keep_generated_methods_small_enough_to_compile(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.unset(limit)
+        QUERIES["p22_step_messages"].run(spark, FOLDER)
+        assert int(spark.conf.get(limit)) <= 8000
+        # A limit that the session names itself stays.
+        spark.conf.set(limit, "20000")
+        QUERIES["p22_step_messages"].run(spark, FOLDER)
+        assert spark.conf.get(limit) == "20000"
+    finally:
+        spark.conf.set(limit, before)
