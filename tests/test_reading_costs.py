@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 
 import pytest
 from paths import FOLDER
 from pyspark.sql import functions as F
 
+from candor.functions import code as C
 from candor.functions import jsontext as J
 from candor.functions import messages as M
-from candor.functions.refusal import folded
+from candor.functions.refusal import GATES, PATTERNS, folded
+from candor.functions.text import strip_once
+from candor.operators import scoring as S
 from candor.operators.joins import match_tool_calls
 from candor.plans.catalog import QUERIES
 
@@ -85,3 +90,38 @@ def test_queries_keep_generated_methods_small_enough_to_compile(spark):
         assert spark.conf.get(limit) == "20000"
     finally:
         spark.conf.set(limit, before)
+
+
+def test_languages_are_counted_in_generated_code():
+    assert "transform(" not in str(C.language_of(F.col("x")))
+
+
+def test_keys_are_made_once(spark):
+    """A key that Spark takes for nullable is made a second time, in a filter below the lookup."""
+    lines = plan(spark, "v17_v18_all_stages").splitlines()
+    assert not [line for line in lines if "Filter" in line and "sha2(" in line]
+
+
+def test_strip_once_is_strip(spark):
+    texts = ["", " ", "a", " a", "a ", "\ta", "a\x1f", "a ", "　a", "é", "é ", "a\x7f", "\x7f", "~", "!", "\x01a", "a\x01", "a\u0085", "😀", "😀 ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip_once(F.col("t")).alias("s")).collect()
+    assert [r.s for r in rows] == [None if r.t is None else r.t.strip() for r in rows]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_every_match_holds_a_gate(pattern):
+    pieces = re.split(r"\(([^)]*)\)\??", pattern.replace("?", "¿"))
+    for combination in itertools.product(*[piece.split("|") if i % 2 else [piece] for i, piece in enumerate(pieces)]):
+        text = "".join(combination).replace(".*", " ")
+        for variant in (re.sub(".¿", "", text), text.replace("¿", "")):
+            assert re.search(pattern, variant, re.I) and any(gate in variant.lower() for gate in GATES), variant
+
+
+def test_code_scores_of_a_table(spark):
+    answers = ["", " ", None, "no code", "```python\nprint(5)\n```", "```js\nf()\n```", "```\n\n```", "def f(): return 1"]
+    cases = [(a, t, o, e) for a in answers for t, o in (("5", "5\n"), ("5", "got 5"), ("5.0", "4.9999999999"), ("6", None), (None, "x"), (" ", "x")) for e in (0, 1, None)]
+    df = spark.createDataFrame(cases, "answer string, ground_truth string, exec_stdout string, exec_exit_code int")
+    df = df.withColumns({"exec_timed_out": F.lit(None).cast("boolean"), "exec_error": F.lit(None).cast("string")})
+    ran = S.succeeded(F.col("exec_exit_code"), F.col("exec_timed_out"), F.col("exec_error"))
+    both = S.code_scores(df).withColumn("plain", S.code_score(F.col("answer"), F.col("ground_truth"), ran, F.col("exec_stdout")))
+    assert both.where(~F.col("code_score").eqNullSafe(F.col("plain"))).count() == 0
