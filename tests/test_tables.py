@@ -593,3 +593,16 @@ def test_merge_moves_whole_rows_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", hinted)
     assert got == {"wide2": "by id", "wide4": "by text"} and merged.count() == 40
     assert sum("FileScan parquet" in line and "text#" in line for line in plan.splitlines()) == 2
+
+
+def test_landed_keys_are_kept_on_disk(spark):
+    import os
+
+    landing, sink, progress = (scratch_path(spark, n) for n in ("landing", "sink", "progress"))
+    rows = table(spark, "query_id string, candidate_idx int", [("a", 0), (None, 0), ("a", 0)])
+    rows.coalesce(1).write.parquet(landing)
+    T.score_landed(T.landed(spark, landing, rows.schema), lambda df: df, sink, progress).awaitTermination()
+    kinds = {os.path.splitext(f)[1] for _, _, files in os.walk(f"{progress.removeprefix('file:')}/state") for f in files if not f.startswith(".")}
+    assert ".zip" in kinds and ".delta" not in kinds
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
+    assert spark.read.parquet(sink).count() == 2
