@@ -112,3 +112,63 @@ def test_operations_of_a_description(spark, answer, method):
     assert found.method == method
     # B holds itself; 1 is no object, so its rules don't apply to it.
     assert found.is_correct == (method == "openapi" or answer is not None and '"n": 1' in answer)
+
+
+PLAIN_KEYS = ["a", "A", "a_b", "ab", "a-b", "B", "city", "Days", "_", "", ":c", "d,", "{", "e"]
+PLAIN_LEAVES = [1, 1.0, 0, -0.0, -5, 1e-7, 1.5e300, True, False, None, "x", "X_y", "yes", "no", "1", "1.0", " 1 ", "5.", "-5", "off", "TRUE", "nan", "+inf", "inf", "a:b", "{", "}", ",", "", "a_b-c", "é", "[", 'q"']
+
+
+def plain_value(rng, depth):
+    if depth and rng.random() < 0.4:
+        return {k: plain_value(rng, depth - 1) for k in rng.sample(PLAIN_KEYS, rng.randint(0, 3))}
+    return rng.choice(PLAIN_LEAVES[:24] if rng.random() < 0.9 else PLAIN_LEAVES)
+
+
+def test_staged_comparison_equals_the_comparison_of_documents(spark):
+    rng, rows = random.Random(11), []
+    near = lambda x: {(rng.choice([k.upper(), k + "_", k]) if rng.random() < 0.3 else k): near(v) for k, v in x.items() if rng.random() > 0.1} if isinstance(x, dict) else (
+        rng.choice(PLAIN_LEAVES[:24]) if rng.random() < 0.15 else x.upper() if isinstance(x, str) and rng.random() < 0.3 else x
+    )
+    for i in range(3000):
+        x = {k: plain_value(rng, 2) for k in rng.sample(PLAIN_KEYS, rng.randint(0, 4))}
+        rows.append((i, json.dumps(x), json.dumps(near(x)) if i % 50 else rng.choice(["[1]", "not json", "", "3"])))
+    texts = spark.createDataFrame(rows, "i int, x string, truth string").select("i", "truth", J.parse(F.col("x")).alias("data"))
+    texts = texts.withColumn("fields", J.as_object(F.col("data")))
+    whole, part = F.to_json("data"), J.canonical(J.parse(F.col("truth")))
+    lows = [P.plain_text(P.simple_text(text)) for text in (whole, part)]
+    quick = P.plain_covers(*[P.plain_rows(low) for low in lows])
+    clear = F.lit(True)
+    for low in lows:
+        clear = clear & (F.size(F.array_distinct(P.plain_keys(low))) == F.size(P.plain_keys(low)))
+    found = S.truth_scores(texts, "data", "fields", "truth", "staged").select(
+        "*", S.truth_comparison(F.col("data"), J.parse(F.col("truth"))).alias("plain"), F.when(clear, quick).alias("quick"), J.covers_fuzzily(F.col("data"), J.parse(F.col("truth"))).alias("covers")
+    ).collect()
+    methods = {}
+    for row in found:
+        assert row.staged == row.plain, row
+        assert row.quick is None or row.quick == row.covers, row
+        methods[row.plain.method] = methods.get(row.plain.method, 0) + 1
+    assert min(methods[m] for m in ("ground_truth_exact", "ground_truth_lenient", "ground_truth_fuzzy", "ground_truth")) > 100
+    assert sum(row.quick is not None for row in found) > 1000
+
+
+def test_a_table_of_calls_reads_what_one_call_reads(spark):
+    answers = [
+        None, "", "hello", "to=functions.get {\"a\": 1}", "to=get", "to=a.b.c {broken} {", "to= {\"a\": 1}", "<commentary>{\"b\": 2}</commentary> {\"c\": 3}", "```json\n{\"d\": [1.0]}\n```", "null", "[1, 2] x",
+        "x {\"a\": 1} y", "{\"a\": 1}}", "3", "TO=x {\"a\": 1}", "to=é.f {\"to\": \"x\"}",
+    ]
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i int, answer string")
+    for row in S.calls_in(rows, "answer", "call").select("answer", F.to_json("call").alias("staged"), F.to_json(S.call_in(F.col("answer"))).alias("plain")).collect():
+        assert row.staged == row.plain, row
+
+
+def test_short_plain_texts_meet_what_documents_meet(spark):
+    rng = random.Random(5)
+    named = lambda depth: {"type": "object", "properties": {k: named(depth - 1) if depth and rng.random() < 0.4 else schema(rng, 1) for k in rng.sample(PLAIN_KEYS, 4)}, **rng.choice([
+        {}, {"required": rng.sample(PLAIN_KEYS, 2)}, {"additionalProperties": False}, {"enum": [{}, 1, "x"]}])}
+    rows = [(json.dumps({k: plain_value(rng, 2) for k in rng.sample(PLAIN_KEYS, rng.randint(0, 4))}), json.dumps(named(2) if rng.random() < 0.7 else schema(rng, 2))) for _ in range(2000)]
+    parsed = spark.createDataFrame(rows, "x string, s string").select("*", J.parse(F.col("x")).alias("v"), P.constraints(J.parse(F.col("s"))).alias("rules"))
+    text = P.simple_text(F.to_json("v"))
+    found = parsed.select("x", "s", P.meets_plainly(P.plain_rows(text), F.col("rules")).alias("plain"), P.meets(P.document(F.col("v")), F.col("rules")).alias("whole")).collect()
+    assert all(row.plain is None or row.plain == row.whole for row in found), [row for row in found if row.plain not in (None, row.whole)][:3]
+    assert sum(row.plain is True for row in found) > 100 and sum(row.plain is False for row in found) > 100
