@@ -193,3 +193,11 @@ def test_thresholds_are_checked_and_frozen():
         Thresholds(max_failure_rate=2.0)
     with pytest.raises(AttributeError):
         Thresholds().max_json_size = 1
+
+
+def test_a_metric_that_is_not_asked_for_reads_no_messages(spark):
+    rows = spark.createDataFrame([("q", 0, "math", "q?", "4", "", "4", "[]")], "query_id string, candidate_idx int, split string, question string, answer string, analysis string, ground_truth string, output_messages string")
+    scored = K.score_candidates(rows, "b")
+    assert "quality" in scored.columns and not any(c.startswith("_") for c in scored.columns)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan(scored.select("quality.answer_length")) and "from_json" in plan(scored.select("quality.total_response_length"))
